@@ -80,11 +80,8 @@ def or_zero(col: Column) -> Column:
 
 def ratio(numerator: Column, denominator: Column) -> Column:
     """IEEE division without raising: x/0 is a signed infinity, 0/0 is NULL."""
-    return (
-        F.when(denominator != 0, numerator / denominator)
-        .when(numerator > 0, F.lit(INFINITY))
-        .when(numerator < 0, F.lit(-INFINITY))
-    )
+    by_zero = F.when(numerator > 0, F.lit(INFINITY)).when(numerator < 0, F.lit(-INFINITY))
+    return F.when(denominator != 0, numerator / denominator).when(denominator == 0, by_zero)
 
 
 def log1p(col: Column) -> Column:

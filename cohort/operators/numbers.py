@@ -34,21 +34,26 @@ class NumberSummary:
 
     rows: int
     present: int
-    infinite: int
     low: float | None
     high: float | None
     mean: float | None
     var_pop: float | None
-    var_samp: float | None
     quantiles: dict[float, float | None] = field(default_factory=dict)
 
     @property
     def missing(self) -> int:
         return self.rows - self.present
 
+    @property
+    def infinite(self) -> bool:
+        return bool(self.present) and math.inf in (-self.low, self.high)
+
     @property
     def std_samp(self) -> float | None:
-        return None if self.var_samp is None else math.sqrt(self.var_samp)
+        """Sample deviation; None for fewer than two values."""
+        if self.present < 2:
+            return None
+        return math.sqrt(self.var_pop * self.present / (self.present - 1))
 
 
 @dataclass
@@ -134,12 +139,10 @@ def summarize_numbers(
         x = F.col(v)
         wanted += [
             F.count(x).alias(f"{v}_n"),
-            F.count_if(F.abs(x) == math.inf).alias(f"{v}_inf"),
             F.min(x).alias(f"{v}_min"),
             F.max(x).alias(f"{v}_max"),
             F.avg(x).alias(f"{v}_avg"),
             F.var_pop(x).alias(f"{v}_vp"),
-            F.var_samp(x).alias(f"{v}_vs"),
         ]
         if probabilities and method == "approx":
             wanted.append(
@@ -151,12 +154,10 @@ def summarize_numbers(
         c: NumberSummary(
             rows=row["rows"],
             present=row[f"{v}_n"],
-            infinite=row[f"{v}_inf"],
             low=row[f"{v}_min"],
             high=row[f"{v}_max"],
             mean=row[f"{v}_avg"],
             var_pop=row[f"{v}_vp"],
-            var_samp=row[f"{v}_vs"],
         )
         for c, v in names.items()
     }

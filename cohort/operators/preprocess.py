@@ -182,10 +182,9 @@ class PreprocessorModel:
         if texts:
             # Unseen categories take the extra last index, which the encoder
             # drops: they come out as all zeros.
-            indexer = StringIndexerModel.from_arrays_of_labels(
-                listed, texts, indices, handleInvalid="keep"
-            )
-            out = indexer.transform(out)
+            for labels, text, index in zip(listed, texts, indices):
+                indexer = StringIndexerModel.from_labels(labels, text, index, handleInvalid="keep")
+                out = indexer.transform(out)
             encoder = OneHotEncoder(inputCols=indices, outputCols=hots, dropLast=True)
             out = encoder.fit(out).transform(out)
         assembler = VectorAssembler(inputCols=[*numbers, *hots], outputCol=output)

@@ -127,8 +127,10 @@ def load_raw(spark: SparkSession, path: str, **options) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str, *, mode: str = "overwrite") -> str:
-    """CSV with a header in every part, no row numbers."""
-    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
+    """CSV with a header in every part, no row numbers; blanks are kept."""
+    writer = df.write.mode(mode).option("header", True).option("escape", '"')
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.csv(path)
     return path
 
 
