@@ -34,7 +34,10 @@ ALL_COLUMNS = (
 
 
 def r6(x: str) -> str:
-    return f"(case when abs({x}) < 5e-7 then cast(0 as double) else round({x}, 6) end)"
+    return (
+        f"(case when abs({x}) < 1e12::double "
+        f"then floor(({x}) * 1e6::double + 0.5::double) / 1e6::double else {x} end)"
+    )
 
 
 def _with(*parts: tuple[str, str]) -> str:

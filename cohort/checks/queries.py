@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from cohort.checks.fixtures import labelled, population, raw_population, scored
 from cohort.functions.values import quoted
 from cohort.operators import clean, features, groups, metrics, model, preprocess, profile, split
-from cohort.plans.workspace import shared_folder
+from cohort.plans.workspace import materialize, shared_folder
 from cohort.sources.tables import read_csv, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,7 +34,8 @@ def query(function: Query) -> Query:
 
 
 def r6(col: Column) -> Column:
-    return F.when(F.abs(col) < 5e-7, F.lit(0.0)).otherwise(F.round(col, 6))
+    """6 places by plain double arithmetic, the same in every engine."""
+    return F.when(F.abs(col) < 1e12, F.floor(col * 1e6 + 0.5) / 1e6).otherwise(col)
 
 
 def rounded(df: DataFrame) -> DataFrame:
@@ -513,14 +514,17 @@ def class_weights_imbalanced(spark, folder):
     return rounded(model.class_weights(labelled(spark, folder), "quality"))
 
 
-def _trained(spark, folder) -> model.Training:
-    df = features.build_features(population(spark, folder), key="id")
+def _feature_table(spark, folder) -> DataFrame:
+    return materialize(features.build_features(population(spark, folder), key="id"), "features")
+
+
+def _trained(df: DataFrame) -> model.Training:
     return model.train_model(df, target=TARGET, n_estimators=FOREST_TREES)
 
 
 @query
 def rf_train(spark, folder):
-    found = _trained(spark, folder).metrics
+    found = _trained(_feature_table(spark, folder)).metrics
     row = (
         found["accuracy"], found["precision"], found["recall"], found["f1"],
         found["roc_auc"], found["log_loss"], found["support"]["n"],
@@ -534,14 +538,14 @@ def rf_train(spark, folder):
 
 @query
 def rf_predict(spark, folder):
-    df = features.build_features(population(spark, folder), key="id")
-    found = model.train_model(df, target=TARGET, n_estimators=FOREST_TREES)
+    df = _feature_table(spark, folder)
+    found = _trained(df)
     return model.predict_df(df, found.model, preprocessor=found.preprocessor, target=TARGET)
 
 
 @query
 def rf_importances(spark, folder):
-    found = _trained(spark, folder)
+    found = _trained(_feature_table(spark, folder))
     return model.feature_importances(spark, found.model, found.feature_names)
 
 
