@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohort.sources.tables import spread
+
 POPULATION = """
 select
   o.o_orderkey as id,
@@ -83,7 +85,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def population(spark: SparkSession, folder: str) -> DataFrame:
     sql = POPULATION.replace("from orders o left join customer c", "from {orders} o left join {customer} c")
     return spark.sql(
-        sql, orders=table(spark, folder, "orders"), customer=table(spark, folder, "customer")
+        sql, orders=spread(table(spark, folder, "orders")), customer=table(spark, folder, "customer")
     )
 
 

@@ -129,54 +129,52 @@ def summarize_numbers(
     if not columns:
         return {}
     types = {f.name: f.dataType for f in df.schema.fields}
-    numbers = df.select(
-        *[to_number(quoted(c), types[c]).alias(f"v{i}") for i, c in enumerate(columns)]
-    )
     names = {c: f"v{i}" for i, c in enumerate(columns)}
-
-    wanted = [F.count(F.lit(1)).alias("rows")]
-    for v in names.values():
-        x = F.col(v)
-        wanted += [
-            F.count(x).alias(f"{v}_n"),
-            F.min(x).alias(f"{v}_min"),
-            F.max(x).alias(f"{v}_max"),
-            F.avg(x).alias(f"{v}_avg"),
-            F.var_pop(x).alias(f"{v}_vp"),
-        ]
-        if probabilities and method == "approx":
-            wanted.append(
-                F.percentile_approx(x, list(probabilities), accuracy).alias(f"{v}_q")
+    numbers = df.select(*[to_number(quoted(c), types[c]).alias(v) for c, v in names.items()])
+    # One (place, x) pair per cell: the generated code stays short however many
+    # columns there are, and the merge of partial results spreads over places.
+    cells = numbers.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(i).alias("place"), F.col(v).alias("x"))
+                    for i, v in enumerate(names.values())
+                ]
             )
-    row = numbers.agg(*wanted).first()
-
-    out = {
-        c: NumberSummary(
-            rows=row["rows"],
-            present=row[f"{v}_n"],
-            low=row[f"{v}_min"],
-            high=row[f"{v}_max"],
-            mean=row[f"{v}_avg"],
-            var_pop=row[f"{v}_vp"],
         )
-        for c, v in names.items()
-    }
-    if not probabilities:
-        return out
-    if method == "approx":
-        for c, v in names.items():
-            values = row[f"{v}_q"] or [None] * len(probabilities)
-            out[c].quantiles = dict(zip(probabilities, values))
-    elif row["rows"] <= small_rows:
-        exact = numbers.agg(
-            *[
-                F.percentile(F.col(v), F.array(*[F.lit(p) for p in probabilities])).alias(v)
-                for v in names.values()
-            ]
-        ).first()
-        for c, v in names.items():
-            values = exact[v] or [None] * len(probabilities)
+    )
+    wanted = [
+        F.count(F.lit(1)).alias("rows"),
+        F.count("x").alias("present"),
+        F.min("x").alias("low"),
+        F.max("x").alias("high"),
+        F.avg("x").alias("mean"),
+        F.var_pop("x").alias("var_pop"),
+    ]
+    if probabilities and method == "approx":
+        wanted.append(F.percentile_approx("x", list(probabilities), accuracy).alias("quantiles"))
+    found = {r["place"]: r for r in cells.groupBy("place").agg(*wanted).collect()}
+    out = {}
+    for i, c in enumerate(columns):
+        r = found.get(i)
+        out[c] = (
+            NumberSummary(r["rows"], r["present"], r["low"], r["high"], r["mean"], r["var_pop"])
+            if r is not None
+            else NumberSummary(0, 0, None, None, None, None)
+        )
+    if not probabilities or not found:
+        for c in columns:
+            out[c].quantiles = dict.fromkeys(probabilities)
+    elif method == "approx":
+        for i, c in enumerate(columns):
+            values = found[i]["quantiles"] or [None] * len(probabilities)
             out[c].quantiles = dict(zip(probabilities, values))
+    elif found[0]["rows"] <= small_rows:
+        levels = F.array(*[F.lit(p) for p in probabilities])
+        exact = cells.where("x is not null").groupBy("place").agg(F.percentile("x", levels).alias("q"))
+        values = {r["place"]: r["q"] for r in exact.collect()}
+        for i, c in enumerate(columns):
+            out[c].quantiles = dict(zip(probabilities, values.get(i, [None] * len(probabilities))))
     else:
         _search_quantiles(numbers, names, out, probabilities, fetch_rows, accuracy)
     return out

@@ -23,6 +23,16 @@ INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 BOOLEAN_PATTERN = r"^(True|TRUE|true|False|FALSE|false)$"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a table that arrives in fewer splits than there are.
+
+    A small file is one split; a large table already has enough of them and is
+    returned as it is, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on whatever file system holds it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
