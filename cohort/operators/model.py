@@ -190,7 +190,7 @@ def train_model(
     split = plan_split(
         df, target, key=key, test_size=test_size, random_state=random_state, stratify=stratify
     )
-    labelled = to01(df, target)
+    marked = to01(df.withColumn(_TEST, split.is_test()), target)
     if preprocessor is None and fit_on is not None:
         if fit_on not in ("train", "all"):
             raise ValueError(f"unknown fit_on: {fit_on}")
@@ -205,7 +205,6 @@ def train_model(
         forbid_target(rest, target)
         names = plain_features(rest, [key])
 
-    marked = labelled.withColumn(_TEST, split.is_test())
     vectors = feature_vector(marked, preprocessor, keep=[key, target, _TEST], features=names)
     # The forest reads its input several times; it is computed once.
     stored = materialize(vectors.withColumnRenamed(target, "label"), "vectors")

@@ -7,7 +7,7 @@ from collections import Counter
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -81,19 +81,27 @@ def read_csv(
     if first is None:
         raise ValueError(f"CSV has no header: {path}")
     names = _header_names(first)
-    text = T.StructType([T.StructField(n, T.StringType()) for n in names])
+    # Columns go by position until the end: headers may differ in case only.
+    places = [f"c{i}" for i in range(len(names))]
+    text = T.StructType([T.StructField(p, T.StringType()) for p in places])
     cells = reader.option("header", True).option("enforceSchema", True).schema(text).csv(path)
-    cells = cells.select(*[markers_to_null(quoted(n)).alias(n) for n in names])
+    cells = cells.select(*[markers_to_null(F.col(p)).alias(p) for p in places])
     if schema is None:
-        return infer_types(cells)
+        return infer_types(cells).toDF(*names)
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    return cells.select(*[_typed(f.name, f.dataType).alias(f.name) for f in wanted.fields])
+    absent = [f.name for f in wanted.fields if f.name not in names]
+    if absent:
+        raise ValueError(f"CSV has no columns {absent}: {path}")
+    place = dict(zip(names, places))
+    return cells.select(
+        *[_typed(F.col(place[f.name]), f.dataType).alias(f.name) for f in wanted.fields]
+    )
 
 
-def _typed(name: str, dtype: T.DataType):
+def _typed(cell: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.StringType):
-        return quoted(name)
-    text = strip(quoted(name))
+        return cell
+    text = strip(cell)
     if isinstance(dtype, T.NumericType):
         number = text.rlike(NUMBER_PATTERN) | text.rlike(INFINITY_PATTERN)
         return F.when(number, text.try_cast(dtype))
