@@ -14,7 +14,7 @@ from cohort.functions.values import nan_to_null, quoted
 # Fixed value: probabilities are clipped by the spacing of doubles at 1.
 PROBABILITY_EPSILON = 2.220446049250313e-16
 
-SCORE_BUCKETS = 2_000
+SCORE_BUCKETS = 1_000
 
 
 def to01(df: DataFrame, column: str) -> DataFrame:
@@ -97,7 +97,7 @@ def roc_auc(
         .where(F.col("score").isNotNull())
     )
     steps = [i / buckets for i in range(1, buckets)]
-    cuts = points.agg(F.percentile_approx("score", steps, 10 * buckets)).first()[0] or [0.0]
+    cuts = points.agg(F.percentile_approx("score", steps, 2 * buckets)).first()[0] or [0.0]
     cuts = sorted({c for c in cuts if abs(c) < float("inf")}) or [0.0]
     per_score = points.groupBy("score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")

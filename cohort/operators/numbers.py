@@ -6,8 +6,10 @@ pass.  Exact quantiles need order statistics.  For a small table Spark's own
 in one buffer, so it cannot be used on a large one.  There each wanted rank is
 narrowed down instead: a mergeable sketch proposes two values around the rank,
 exact counts say where the rank really lies, and once few enough values remain
-between the two they are fetched.  Every round is one aggregate over all
-columns, sketches only steer the search, and the counts make the answer exact.
+between the two they are fetched.  Every round serves all columns at once,
+sketches only steer the search, and the counts make the answer exact.  That is
+why the sketches may be coarse, which keeps them small when very many tasks
+send one each.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from cohort.functions.values import quoted, to_number
 
 SMALL_ROWS = 200_000
 FETCH_ROWS = 10_000
-SKETCH_ACCURACY = 10_000
+SKETCH_ACCURACY = 1_000
 # A plan with too many aggregates is slow to compile; searches run in groups.
 SEARCHES_PER_PASS = 64
 
@@ -82,14 +84,13 @@ class _Search:
             inside = inside & (value < self.below)
         return F.when(inside, value)
 
-    def share(self, accuracy: int) -> list[float]:
-        centre = self.rank - self.base
-        span = max(self.inside - 1, 1)
+    def aim(self, levels: list[float], accuracy: int) -> None:
+        """Take the sketched values around the rank from an even grid."""
+        steps = len(levels) - 1
+        centre = (self.rank - self.base) / max(self.inside - 1, 1)
         margin = 2.0 / accuracy
-        return [
-            min(max(centre / span - margin, 0.0), 1.0),
-            min(max(centre / span + margin, 0.0), 1.0),
-        ]
+        self.left = levels[max(math.floor((centre - margin) * steps), 0)]
+        self.right = levels[min(math.ceil((centre + margin) * steps), steps)]
 
     def settle(self, under: int, at_left: int, between: int, at_right: int) -> None:
         """Use exact counts around ``left`` and ``right`` to close in."""
@@ -230,22 +231,36 @@ def _narrow(
     """One round for a group of searches: fetch the few, sketch the many."""
     few = [s for s in searches if s.inside <= fetch_rows]
     many = [s for s in searches if s.inside > fetch_rows]
-    proposed = [
-        F.percentile_approx(s.within(F.col(s.column)), s.share(accuracy), accuracy)
-        for s in many
-    ]
-    # Exact counts bound each fetched list by fetch_rows.
-    fetched = [F.array_sort(F.collect_list(s.within(F.col(s.column)))) for s in few]
-    row = numbers.agg(
-        *[e.alias(f"r{i}") for i, e in enumerate(fetched + proposed)]
-    ).first()
-    for i, s in enumerate(few):
-        s.answer = row[f"r{i}"][s.rank - s.base]
-    for i, s in enumerate(many, start=len(few)):
-        s.left, s.right = row[f"r{i}"]
+    if few:
+        # Exact counts bound each fetched list by fetch_rows.
+        fetched = numbers.agg(
+            *[
+                F.array_sort(F.collect_list(s.within(F.col(s.column)))).alias(f"r{i}")
+                for i, s in enumerate(few)
+            ]
+        ).first()
+        for i, s in enumerate(few):
+            s.answer = fetched[f"r{i}"][s.rank - s.base]
     if not many:
         return
 
+    # Grouped by search, so that the sketches of different searches are merged
+    # by different tasks.
+    cells = numbers.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(i).alias("search"), s.within(F.col(s.column)).alias("x"))
+                    for i, s in enumerate(many)
+                ]
+            )
+        )
+    ).where("x is not null")
+    grid = [i / accuracy for i in range(accuracy + 1)]
+    sketches = cells.groupBy("search").agg(F.percentile_approx("x", grid, accuracy).alias("levels"))
+    for r in sketches.collect():
+        many[r["search"]].aim(r["levels"], accuracy)
+
     counts = []
     for i, s in enumerate(many):
         x = s.within(F.col(s.column))

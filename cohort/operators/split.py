@@ -6,9 +6,11 @@ seed alone, never on partitioning or on how often a task was retried.
 
 The cut of each class is found without sorting it: count rows by the leading
 hex digits of the draw, take the one bucket in which the quota is reached, and
-go on with the next digits inside that bucket only.  Four digits shrink a class
-65,536-fold per round, so two rounds place 10^9 rows.  Only one row per class
-ever reaches the driver, and the split itself needs no shuffle.
+go on with the next digits inside that bucket only.  Three digits make a bucket
+1/4096 of its class, so the table is read once to count and once to write out
+the draws of the boundary buckets; all further rounds read that small table.
+Only one row per class ever reaches the driver, and the split itself needs no
+shuffle.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ from pyspark.sql import functions as F
 from cohort.functions.values import quoted
 from cohort.plans.workspace import materialize
 
-DIGITS_PER_ROUND = 4
+DIGITS_PER_ROUND = 3
 DRAW_DIGITS = 32
 # The cuts become one condition per class, so this is for class labels only.
 MAX_CLASSES = 200
@@ -127,14 +129,17 @@ def plan_split(
 
     digits = 0
     while open_classes:
-        digits += DIGITS_PER_ROUND
-        if digits > DRAW_DIGITS:
+        if digits == DRAW_DIGITS:
             raise ValueError(
                 f"{key!r} does not identify rows: an exact split would have to cut "
                 f"through rows that share one key (classes {list(open_classes)})"
             )
+        digits = min(digits + DIGITS_PER_ROUND, DRAW_DIGITS)
         if digits > DIGITS_PER_ROUND:
-            histogram = _buckets(_searched(draws, open_classes), digits)
+            draws = _searched(draws, open_classes)
+            if digits == 2 * DIGITS_PER_ROUND:
+                draws = materialize(draws, "boundary")
+            histogram = _buckets(draws, digits)
         for r in _boundaries(histogram, open_classes):
             if r["taken"] == open_classes[r["label"]][1]:
                 cuts[r["label"]] = r["bucket"]
