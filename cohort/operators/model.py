@@ -211,7 +211,7 @@ def train_model(
     train = stored.where(~F.col(_TEST)).drop(_TEST)
     test = stored.where(_TEST).drop(_TEST)
     model = build_model(train, random_state=random_state, **forest_options)
-    metrics = metrics_of(score(model, test, keep=[key, "label"]))
+    metrics = metrics_of(_scored_once(model, test))
     return Training(model, train, test, metrics, preprocessor, names)
 
 
@@ -230,6 +230,11 @@ def score(model: Any, vectors: DataFrame, *, keep: Sequence[str] = ()) -> DataFr
     )
 
 
+def _scored_once(model: Any, vectors: DataFrame) -> DataFrame:
+    """Metrics read the scores several times; the trees are walked once."""
+    return materialize(score(model, vectors, keep=["label"]), "scored")
+
+
 def predict_df(
     df: DataFrame,
     model: Any,
@@ -263,7 +268,7 @@ def evaluate(
     vectors = to01(test, label).select(
         quoted(label).alias("label"), quoted(features).alias("features")
     )
-    found = metrics_of(score(model, vectors, keep=["label"]))
+    found = metrics_of(_scored_once(model, vectors))
     out = {name: found[name] for name in ("roc_auc", "accuracy", "precision", "recall", "f1")}
     out["confusion_matrix"] = found["confusion_matrix"]
     out["n_samples"] = found["support"]["n"]
