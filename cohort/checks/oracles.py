@@ -566,10 +566,15 @@ ORACLES: dict[str, str] = {
     ),
     "impute_missing_label": on_population("select id, 'missing' as referral_source from population"),
     "one_hot": on_population(
-        "select id, 'gender_' || gender as feature, cast(1 as double) as value "
-        "from population where gender = 'male' union all "
-        "select id, 'employment_status_' || employment_status, cast(1 as double) from population "
-        "where employment_status in (select employment_status from population where gender = 'male')"
+        " union all ".join(
+            f"select id, '{c}_' || {value} as feature, cast(1 as double) as value from population"
+            for c, value in (
+                ("gender", _filled("gender")),
+                ("employment_status", _filled("employment_status")),
+                ("education_level", _filled("education_level")),
+                ("referral_source", "'missing'"),
+            )
+        )
     ),
     "preprocess_matrix": on_population("select * from matrix", *_matrix()),
     "assert_no_nulls": on_population(

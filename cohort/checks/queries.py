@@ -476,12 +476,12 @@ def impute_missing_label(spark, folder):
 
 @query
 def one_hot(spark, folder):
-    """Long form; fitted without one gender, which stays all zeros."""
+    """Long form: one row per person and category."""
     df = _inputs(spark, folder)
     fitted = preprocess.fit_preprocessor(
-        df.where("gender = 'male'"),
+        df,
         numeric_cols=[],
-        categorical_cols=["gender", "employment_status"],
+        categorical_cols=["gender", "employment_status", "education_level", "referral_source"],
     )
     return fitted.transform_long(df, key="id")
 

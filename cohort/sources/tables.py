@@ -23,14 +23,19 @@ INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 BOOLEAN_PATTERN = r"^(True|TRUE|true|False|FALSE|false)$"
 
 
+# A table in this many splits holds at most a gigabyte at the default split size.
+FEW_SPLITS = 8
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a table that arrives in fewer splits than there are.
+    """Use all cores on a small table that arrives in fewer splits than cores.
 
-    A small file is one split; a large table already has enough of them and is
-    returned as it is, without a shuffle.
+    A small file is one split.  A table of more than a few splits is returned
+    as it is, without a shuffle, however many cores there are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    splits = df.rdd.getNumPartitions()
+    return df.repartition(cores) if splits < cores and splits <= FEW_SPLITS else df
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
