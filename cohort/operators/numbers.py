@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from cohort.functions.values import quoted, to_number
 
 SMALL_ROWS = 200_000
-FETCH_ROWS = 10_000
+FETCH_ROWS = 100_000
 SKETCH_ACCURACY = 1_000
 # A plan with too many aggregates is slow to compile; searches run in groups.
 SEARCHES_PER_PASS = 64
@@ -76,6 +76,10 @@ class _Search:
     right: float | None = None
     answer: float | None = None
 
+    @property
+    def interval(self) -> tuple[str, float | None, float | None]:
+        return self.column, self.above, self.below
+
     def within(self, value: Column) -> Column:
         inside = value.isNotNull()
         if self.above is not None:
@@ -231,52 +235,66 @@ def _narrow(
     """One round for a group of searches: fetch the few, sketch the many."""
     few = [s for s in searches if s.inside <= fetch_rows]
     many = [s for s in searches if s.inside > fetch_rows]
+    # Searches in the same interval share one list or sketch; in the first
+    # round that is one sketch per column, however many ranks are wanted.
+    few_intervals = {s.interval: s for s in few}
+    many_intervals = {s.interval: s for s in many}
     if few:
         # Exact counts bound each fetched list by fetch_rows.
-        fetched = numbers.agg(
-            *[
-                F.array_sort(F.collect_list(s.within(F.col(s.column)))).alias(f"r{i}")
-                for i, s in enumerate(few)
-            ]
-        ).first()
-        for i, s in enumerate(few):
-            s.answer = fetched[f"r{i}"][s.rank - s.base]
+        lists = [
+            F.array_sort(F.collect_list(s.within(F.col(s.column)))).alias(f"r{i}")
+            for i, s in enumerate(few_intervals.values())
+        ]
+        fetched = dict(zip(few_intervals, _only(numbers, few_intervals.values()).agg(*lists).first()))
+        for s in few:
+            s.answer = fetched[s.interval][s.rank - s.base]
     if not many:
         return
 
-    # Grouped by search, so that the sketches of different searches are merged
-    # by different tasks.
-    cells = numbers.select(
+    # Grouped by interval, so that different sketches are merged by different
+    # tasks.
+    cells = _only(numbers, many_intervals.values()).select(
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(i).alias("search"), s.within(F.col(s.column)).alias("x"))
-                    for i, s in enumerate(many)
+                    F.struct(F.lit(i).alias("place"), s.within(F.col(s.column)).alias("x"))
+                    for i, s in enumerate(many_intervals.values())
                 ]
             )
         )
     ).where("x is not null")
     grid = [i / accuracy for i in range(accuracy + 1)]
-    sketches = cells.groupBy("search").agg(F.percentile_approx("x", grid, accuracy).alias("levels"))
-    for r in sketches.collect():
-        many[r["search"]].aim(r["levels"], accuracy)
+    sketches = cells.groupBy("place").agg(F.percentile_approx("x", grid, accuracy).alias("levels"))
+    levels = {r["place"]: r["levels"] for r in sketches.collect()}
+    places = {interval: i for i, interval in enumerate(many_intervals)}
+    for s in many:
+        s.aim(levels[places[s.interval]], accuracy)
 
+    brackets = {(s.interval, s.left, s.right): s for s in many}
     counts = []
-    for i, s in enumerate(many):
+    for i, s in enumerate(brackets.values()):
         x = s.within(F.col(s.column))
         counts += [
             F.count_if(x < s.left).alias(f"u{i}"),
             F.count_if(x == s.left).alias(f"l{i}"),
             F.count_if((x > s.left) & (x < s.right)).alias(f"b{i}"),
-            (
-                F.count_if(x == s.right) if s.right > s.left else F.lit(0)
-            ).alias(f"h{i}"),
+            (F.count_if(x == s.right) if s.right > s.left else F.lit(0)).alias(f"h{i}"),
         ]
-    row = numbers.agg(*counts).first()
-    for i, s in enumerate(many):
+    row = _only(numbers, many_intervals.values()).agg(*counts).first()
+    order = {bracket: i for i, bracket in enumerate(brackets)}
+    for s in many:
+        i = order[s.interval, s.left, s.right]
         s.settle(row[f"u{i}"], row[f"l{i}"], row[f"b{i}"], row[f"h{i}"])
 
 
+def _only(numbers: DataFrame, searches: Iterable[_Search]) -> DataFrame:
+    """The rows that at least one interval needs."""
+    needed = F.lit(False)
+    for s in searches:
+        needed = needed | s.within(F.col(s.column)).isNotNull()
+    return numbers.where(needed)
+
+
 def _chunks(items: list, size: int) -> Iterable[list]:
     for start in range(0, len(items), size):
         yield items[start : start + size]
