@@ -4,22 +4,60 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohort.llm.exact_dedup import exact_dedup
+from cohort.llm.language_id import identify_language
+from cohort.llm.license_scan import license_scan
 from cohort.llm.line_dedup import line_dedup
 from cohort.llm.mixing import mix_sources
+from cohort.llm.packing import pack_documents
+from cohort.llm.quality import classify_quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"))
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_language(_table(spark, sf_dir, "documents"))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan(_table(spark, sf_dir, "documents"))
+
+    def labels(matches: Column) -> Column:
+        named = F.transform(matches, lambda m: m["label"])
+        return F.array_join(F.array_sort(F.array_distinct(named)), ",")
+
+    exact = F.filter("matches", lambda m: m["exact"])
+    starts = F.transform(exact, lambda m: m["start"])
+    best = F.array_max(F.transform("matches", lambda m: m["containment"]))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size(exact).cast("long").alias("n_base"),
+        F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"),
+        labels(exact).alias("base_labels"),
+        labels(F.col("matches")).alias("labels"),
+        F.coalesce(best, F.lit(0.0)).alias("score"),
+    )
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = line_dedup(_table(spark, sf_dir, "documents"))
     return found.select(
@@ -33,7 +71,11 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_packing": op2_packing,
+    "op4_language_id": op4_language_id,
+    "op6_license_scan": op6_license_scan,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_quality": op8_quality,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
 }

@@ -62,3 +62,27 @@ def process_memo(name: str, make):
     if not hasattr(kept, name):
         setattr(kept, name, make())
     return getattr(kept, name)
+
+
+def id_type(df: DataFrame, name: str = "doc_id") -> str:
+    """The SQL name of a column's type, for the schema of a Python step."""
+    return df.schema[name].dataType.simpleString()
+
+
+def slices(sizes, limit: int):
+    """Consecutive ranges (start, end) of items whose sizes add up to about ``limit``."""
+    start = total = 0
+    for i, size in enumerate(sizes):
+        if i > start and total + size > limit:
+            yield start, i
+            start, total = i, 0
+        total += size
+    if len(sizes) > start:
+        yield start, len(sizes)
+
+
+def in_fold(id_col: Column, parts: int, part: int) -> Column:
+    """Whether crc32 of the id, written as text, leaves ``part`` modulo ``parts``."""
+    return F.coalesce(
+        F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(parts)) == part, F.lit(False)
+    )
