@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohort.llm.embedding_dedup import embedding_dedup
 from cohort.llm.exact_dedup import exact_dedup
 from cohort.llm.language_id import identify_language
 from cohort.llm.license_scan import license_scan
@@ -14,16 +15,27 @@ from cohort.llm.line_dedup import line_dedup
 from cohort.llm.mixing import mix_sources
 from cohort.llm.packing import pack_documents
 from cohort.llm.quality import classify_quality
+from cohort.llm.simhash import simhash_dedup
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup(_table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(_table(spark, sf_dir, "embeddings"))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(_table(spark, sf_dir, "documents"))
 
@@ -71,7 +83,9 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
+    "op3_embedding_dedup": op3_embedding_dedup,
     "op4_language_id": op4_language_id,
     "op6_license_scan": op6_license_scan,
     "op7_exact_dedup": op7_exact_dedup,
