@@ -15,6 +15,7 @@ from cohort.llm.line_dedup import line_dedup
 from cohort.llm.mixing import mix_sources
 from cohort.llm.packing import pack_documents
 from cohort.llm.quality import classify_quality
+from cohort.llm.repeats import remove_repeats
 from cohort.llm.simhash import simhash_dedup
 
 
@@ -40,6 +41,18 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_language(_table(spark, sf_dir, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(_table(spark, sf_dir, "documents"))
+    lengths = F.transform("removed", lambda run: run["end"] - run["first"])
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        F.aggregate(lengths, F.lit(0).cast("long"), lambda n, more: n + more).alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("text", 256).alias("kept_sha256"),
+    )
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = license_scan(_table(spark, sf_dir, "documents"))
 
@@ -87,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_embedding_dedup": op3_embedding_dedup,
     "op4_language_id": op4_language_id,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_license_scan": op6_license_scan,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_quality": op8_quality,
