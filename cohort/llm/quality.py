@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from cohort.functions.values import quoted
 from cohort.llm.language_id import UNIT_CHARS, ngram_buckets
-from cohort.llm.shared import documents, id_type, in_fold, slices
+from cohort.llm.shared import documents, in_fold, slices
 
 #: Labelled documents a model is trained on, at most.
 SAMPLE = 4_000
@@ -193,20 +193,32 @@ def fit(labelled: DataFrame, sample: int = SAMPLE, bits: int = BITS) -> QualityM
 
 def score(docs: DataFrame, model: QualityModel | None, positive: int = 1) -> DataFrame:
     """doc_id, score for ``docs`` (doc_id, text): the probability of ``positive``."""
+    return score_rows(docs.select("doc_id", "text"), model, positive=positive, name="score").drop("text")
+
+
+def score_rows(
+    docs: DataFrame, model: QualityModel | None, text_col: str = "text", positive: int = 1,
+    name: str = "quality_score",
+) -> DataFrame:
+    """All columns of ``docs`` plus the score, without a join; null text is empty."""
+    if name in docs.columns:
+        raise ValueError(f"column {name!r} is there already")
     shared_model = docs.sparkSession.sparkContext.broadcast(model)
+    columns, at = list(docs.columns), docs.columns.index(text_col)
 
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared_model.value
         for batch in batches:
             scores = np.full(batch.num_rows, 0.5 if own is None else 0.0)
             if own is not None and positive in own.classes and batch.num_rows:
-                texts = batch.column(1).to_pylist()
+                texts = [t or "" for t in batch.column(at).to_pylist()]
                 scores = own.probabilities(texts)[:, own.classes.index(positive)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"]
+                [*batch.columns, pa.array(scores, pa.float64())], names=[*columns, name]
             )
 
-    return docs.select("doc_id", "text").mapInArrow(apply, f"doc_id {id_type(docs)}, score double")
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
+    return docs.mapInArrow(apply, f"{fields}, {name} double")
 
 
 def training_rows(
@@ -224,6 +236,22 @@ def training_rows(
     return docs.join(F.broadcast(chosen), "doc_id")
 
 
+def fit_labels(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+    parts: int = 3,
+    held_out: int = 1,
+    sample: int = SAMPLE,
+) -> QualityModel | None:
+    """A model of the labelled documents that are not held out."""
+    mine = documents(docs, id_col, text_col)
+    marks = labels.select(quoted(id_col).alias("doc_id"), quoted(label_col).alias("label"))
+    return fit(training_rows(mine, marks, "label", parts, held_out, sample))
+
+
 def classify_quality(
     docs: DataFrame,
     labels: DataFrame,
@@ -244,8 +272,7 @@ def classify_quality(
     An empty table gives an empty result; other columns are ignored.
     """
     mine = documents(docs, id_col, text_col)
-    marks = labels.withColumnRenamed(id_col, "doc_id")
-    model = fit(training_rows(mine, marks, label_col, parts, held_out, sample))
+    model = fit_labels(docs, labels, id_col, text_col, label_col, parts, held_out, sample)
     return score(mine, model).select(
         "doc_id",
         in_fold(F.col("doc_id"), parts, held_out).alias("held_out"),

@@ -15,8 +15,8 @@ minimizer's place) its context is the bytes that strings through it can reach.
    text it falls by one per byte until the next sample.  That gives the matching
    statistics of every place with all other places, and those of at least
    ``length`` are marked.
-4. A gram with more than ``crowd`` contexts does not go to one task: its strings
-   are counted by hash, a row each.
+4. A gram with more than ``crowd`` contexts does not go to one task: its contexts
+   are sorted over all tasks by either side and compared with their neighbours.
 
 Overlapping contexts of one document are joined before they are indexed, so a
 place is in an index once and never matches itself.  Texts travel compressed.
@@ -374,46 +374,172 @@ def indexed_spans(found: DataFrame, length: int) -> DataFrame:
     )
 
 
-def counted_spans(found: DataFrame, length: int) -> DataFrame:
-    """doc_id, version, first, end of crowded grams: strings through one gram are
-    equal when their place relative to it and their hash are."""
+def shared_length(a: bytes, b: bytes) -> int:
+    """How many bytes two strings have in common at their start."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while high - low > 1:
+        mid = (low + high) // 2
+        if a[low:mid] == b[low:mid]:
+            low = mid
+        else:
+            high = mid
+    return low
+
+
+def sorted_neighbours(rows: DataFrame, ahead: str, behind: str) -> DataFrame:
+    """``rows`` (gram_hash, left, right, ...) plus three lengths from a global sort.
+
+    Sorted by gram, ``ahead`` and ``behind``, the row that shares most of ``ahead``
+    with a row stands next to it: ``<ahead>_reach`` is that length.  Rows with all of
+    ``ahead`` in common stand together, so ``<ahead>_alike`` is the most of ``behind``
+    that such a row shares, -1 without one, and ``<ahead>_before`` what the row before
+    shares of it.  Of the first and last row of a partition one neighbour is unknown:
+    the first length is then the most it can be, the others the least.
+    """
+    added = [f"{ahead}_reach", f"{ahead}_alike", f"{ahead}_before"]
+    kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
+    columns = list(rows.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before = None  # (gram, ahead, behind) of the last row that was seen
+        held = None  # its batch of one row, reach and alike so far
+
+        def out(batch, *lengths):
+            return pa.RecordBatch.from_arrays(
+                [*batch.columns, *[pa.array(x, pa.int32()) for x in lengths]],
+                names=[*columns, *added],
+            )
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = list(zip(*[batch.column(columns.index(c)).to_pylist() for c in ("gram_hash", ahead, behind)]))
+            far, same, prior = [0] * len(keys), [-1] * len(keys), [-1] * len(keys)
+            if before is None:
+                far[0] = len(keys[0][1])
+            for i, (gram, front, back) in enumerate(keys):
+                if before is not None and before[0] == gram:
+                    length = shared_length(before[1], front)
+                    both = shared_length(before[2], back) if before[1] == front else -1
+                    far[i], same[i], prior[i] = max(far[i], length), both, both
+                    if i:
+                        far[i - 1], same[i - 1] = max(far[i - 1], length), max(same[i - 1], both)
+                    else:
+                        held[1][0], held[2][0] = max(held[1][0], length), max(held[2][0], both)
+                before = keys[i]
+            if held is not None:
+                yield out(*held)
+            n = len(keys) - 1
+            if n:
+                yield out(batch.slice(0, n), far[:n], same[:n], prior[:n])
+            held = [batch.slice(n), far[n:], same[n:], prior[n:]]
+        if held is not None:
+            held[1][0] = len(before[1])
+            yield out(*held)
+
+    return (
+        rows.repartitionByRange("gram_hash", ahead, behind)
+        .sortWithinPartitions("gram_hash", ahead, behind)
+        .mapInArrow(run, kind + "".join(f", {name} int" for name in added))
+    )
+
+
+def crowded_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
+    """doc_id, version, first, end for grams with too many contexts for one index.
+
+    A string through the gram has x bytes on the left of it and the rest on the
+    right.  Two global sorts, by left and by right, tell for each context how far
+    any other agrees on either side, which bounds x, and how far one agrees that
+    is equal on all of the other side, which settles a range of x at once.  The
+    strings between the two bounds are counted by hash; a string that the row before
+    has too, in either sort, is settled and left to that row, so nearly all that are
+    counted differ.
+    """
+    span = length - gram
+
+    def sides(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = [], []
+            columns = [batch.column(c).to_pylist() for c in ("pos", "first", "context")]
+            for pos, first, context in zip(*columns):
+                left.append(context[: pos - first][::-1])
+                right.append(context[pos - first :])
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c) for c in ("gram_hash", "doc_id", "version", "pos")],
+                 pa.array(left, pa.binary()), pa.array(right, pa.binary())],
+                names=["gram_hash", "doc_id", "version", "pos", "left", "right"],
+            )
+
+    id_kind = id_type(found)
+    rows = materialize(
+        found.mapInArrow(
+            sides,
+            f"gram_hash long, doc_id {id_kind}, version int, pos int, left binary, right binary",
+        ),
+        "crowded-sides",
+    )
+    by_left = materialize(sorted_neighbours(rows, "left", "right"), "crowded-by-left")
+    both = sorted_neighbours(by_left, "right", "left")
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_digest
 
-        for whole in batches:
-            for k in range(0, whole.num_rows, 100):
-                batch = whole.slice(k, 100)
-                at, offset, begin, digests = [], [], [], []
-                columns = [batch.column(c).to_pylist() for c in ("pos", "first", "context")]
-                for row, (pos, first, context) in enumerate(zip(*columns)):
-                    for s in range(len(context) - length + 1):
-                        at.append(row)
-                        begin.append(first + s)
-                        offset.append(pos - first - s)
-                        digests.append(xxh64_digest(context[s : s + length]))
-                rows_of = pa.array(at, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("gram_hash").take(rows_of),
-                        pa.array(offset, pa.int32()),
-                        pa.array(np.frombuffer(b"".join(digests), "<i8")),
-                        batch.column("doc_id").take(rows_of),
-                        batch.column("version").take(rows_of),
-                        pa.array(begin, pa.int32()),
-                    ],
-                    names=["gram_hash", "offset", "string_hash", "doc_id", "version", "first"],
-                )
+        names = ("pos", "left", "right", "left_reach", "left_alike", "left_before",
+                 "right_reach", "right_alike", "right_before")
+        for batch in batches:
+            at, first, end, offset, digests = [], [], [], [], []
+            for row, (pos, left, right, far_l, same_l, prior_l, far_r, same_r, prior_r) in enumerate(
+                zip(*[batch.column(c).to_pylist() for c in names])
+            ):
+                least = span - (len(right) - gram)  # less on the left needs more on the right
+                settled = []
+                # Equal on the right: up to as many bytes as the left has in common.
+                settled.append((max(0, least), min(same_r, span)))
+                # Equal on the left: from where the common right is enough.
+                settled.append((max(0, span - (same_l - gram)) if same_l >= gram else span + 1,
+                                min(len(left), span)))
+                settled = [(a, b) for a, b in settled if a <= b]
+                for a, b in settled:
+                    at.append(row)
+                    first.append(pos - b)
+                    end.append(pos - a + length)
+                    offset.append(None)
+                    digests.append(None)
+                low = max(0, least, span - (far_r - gram))
+                for x in range(low, min(far_l, len(left), span) + 1):
+                    if x <= prior_r or span - x <= prior_l - gram:
+                        continue  # the row before has this string
+                    string = left[:x][::-1] + right[: length - x]
+                    at.append(row)
+                    first.append(pos - x)
+                    end.append(pos - x + length)
+                    offset.append(x)
+                    digests.append(int.from_bytes(xxh64_digest(string), "little", signed=True))
+            rows_of = pa.array(at, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(c).take(rows_of) for c in ("gram_hash", "doc_id", "version")],
+                    pa.array(first, pa.int32()), pa.array(end, pa.int32()),
+                    pa.array(offset, pa.int32()), pa.array(digests, pa.int64()),
+                ],
+                names=["gram_hash", "doc_id", "version", "first", "end", "offset", "string_hash"],
+            )
 
-    strings = found.mapInArrow(
-        run,
-        "gram_hash long, offset int, string_hash long, "
-        f"doc_id {id_type(found)}, version int, first int",
+    stored = materialize(
+        both.mapInArrow(
+            settle,
+            f"gram_hash long, doc_id {id_kind}, version int, first int, end int, offset int, "
+            "string_hash long",
+        ),
+        "crowded-spans",
     )
     key = ["gram_hash", "offset", "string_hash"]
-    stored = materialize(strings, "crowded-strings")
-    twice = stored.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return stored.join(twice, key).select(*_ROW, "first", (F.col("first") + length).alias("end"))
+    open_ones = stored.filter(F.col("offset").isNotNull())
+    twice = open_ones.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    counted = open_ones.join(twice, key).select(*_ROW, "first", "end")
+    return stored.filter(F.col("offset").isNull()).select(*_ROW, "first", "end").unionByName(counted)
 
 
 def cut_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
@@ -501,5 +627,5 @@ def remove_repeats(
     spans = indexed_spans(found.filter(~F.col("crowded")), length).unionByName(whole)
     crowded = found.filter("crowded")
     if not crowded.isEmpty():
-        spans = spans.unionByName(counted_spans(crowded, length))
+        spans = spans.unionByName(crowded_spans(crowded, length, gram))
     return cut_spans(mine, materialize(spans, "spans"))
