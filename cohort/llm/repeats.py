@@ -512,9 +512,11 @@ def crowded_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
                     if x <= prior_r or span - x <= prior_l - gram:
                         continue  # the row before has this string
                     string = left[:x][::-1] + right[: length - x]
+                    known = any(a <= x <= b for a, b in settled)
                     at.append(row)
                     first.append(pos - x)
-                    end.append(pos - x + length)
+                    # Settled strings are there to be met by open ones only.
+                    end.append(None if known else pos - x + length)
                     offset.append(x)
                     digests.append(int.from_bytes(xxh64_digest(string), "little", signed=True))
             rows_of = pa.array(at, pa.int64())
@@ -536,9 +538,9 @@ def crowded_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
         "crowded-spans",
     )
     key = ["gram_hash", "offset", "string_hash"]
-    open_ones = stored.filter(F.col("offset").isNotNull())
-    twice = open_ones.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    counted = open_ones.join(twice, key).select(*_ROW, "first", "end")
+    strings = stored.filter(F.col("offset").isNotNull())
+    twice = strings.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    counted = strings.filter(F.col("end").isNotNull()).join(twice, key).select(*_ROW, "first", "end")
     return stored.filter(F.col("offset").isNull()).select(*_ROW, "first", "end").unionByName(counted)
 
 
