@@ -69,7 +69,8 @@ def classification_metrics(df: DataFrame, label: str = "label", pred: str = "pre
 def _log_loss(label: Column, score: Column) -> Column:
     hit = F.when(label == 1, score).otherwise(1 - score)
     clipped = F.greatest(F.least(hit, F.lit(1 - PROBABILITY_EPSILON)), F.lit(PROBABILITY_EPSILON))
-    return F.avg(-F.log(clipped))
+    missing = F.count_if(label.isNull() | nan_to_null(score.cast("double")).isNull())
+    return F.when(missing == 0, F.avg(-F.log(clipped)))
 
 
 def log_loss(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
@@ -85,20 +86,23 @@ def support(df: DataFrame, label: str = "label") -> DataFrame:
 def roc_auc(
     df: DataFrame, label: str = "label", score: str = "score", *, buckets: int = SCORE_BUCKETS
 ) -> DataFrame:
-    """Area under the ROC curve; tied scores count half, one class gives NULL.
+    """Area under the ROC curve; tied scores count half.  One class gives NULL, and
+    so does a missing score or label: an area over the rest would be another one.
 
     Equal scores merge before the shuffle.  The distinct scores are then spread
     over ranges cut at sketched quantiles; each range counts its own ordered
     pairs, and what is left to combine is one small row per range.
     """
     value = nan_to_null(quoted(score).cast("double"))
-    points = (
-        df.select(value.alias("score"), quoted(label).alias("label"))
-        .where(F.col("score").isNotNull())
-    )
+    points = df.select(value.alias("score"), quoted(label).alias("label"))
     steps = [i / buckets for i in range(1, buckets)]
-    cuts = points.agg(F.percentile_approx("score", steps, 2 * buckets)).first()[0] or [0.0]
-    cuts = sorted({c for c in cuts if abs(c) < float("inf")}) or [0.0]
+    known = points.agg(
+        F.percentile_approx("score", steps, 2 * buckets).alias("cuts"),
+        F.count_if(F.col("score").isNull() | F.col("label").isNull()).alias("missing"),
+    ).first()
+    if known["missing"]:
+        return df.sparkSession.range(1).select(F.lit(None).cast("double").alias("roc_auc"))
+    cuts = sorted({c for c in known["cuts"] or () if abs(c) < float("inf")}) or [0.0]
     per_score = points.groupBy("score").agg(
         F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
     )

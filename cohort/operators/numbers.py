@@ -225,7 +225,8 @@ def _search_quantiles(
             lower, upper = math.floor(position), math.ceil(position)
             a, b = searches[c, lower].answer, searches[c, upper].answer
             out[c].quantiles[p] = (
-                a if lower == upper else (upper - position) * a + (position - lower) * b
+                # Interpolating between equal values would round.
+                a if a == b else (upper - position) * a + (position - lower) * b
             )
 
 

@@ -62,7 +62,8 @@ def row_draw(key: str, seed: int) -> Column:
 def _under(draw: Column, cut: str | None) -> Column:
     if cut is None:
         return F.lit(False)
-    return F.substring(draw, 1, len(cut)) <= cut
+    # A row without a key is in neither class of draws: it trains.
+    return F.coalesce(F.substring(draw, 1, len(cut)) <= cut, F.lit(False))
 
 
 def share_out(counts: dict[Any, int], total: int) -> dict[Any, int]:
@@ -106,6 +107,8 @@ def plan_split(
         raise KeyError(f"target column {target!r} not in the table")
     if key not in df.columns:
         raise KeyError(f"key column {key!r} not in the table")
+    if not df.where(quoted(key).isNull()).isEmpty():
+        raise ValueError(f"key column {key!r} has missing values; it must identify every row")
     label = quoted(target) if stratify else F.lit(None).cast("string")
     draws = df.select(label.alias("label"), row_draw(key, random_state).alias("draw"))
     # The first histogram also yields the class sizes: one scan for both.

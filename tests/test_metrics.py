@@ -73,3 +73,12 @@ def test_positive_class():
 
     assert positive_class_index(Model()) == 0
     assert positive_class_index(object()) == 1
+
+
+def test_missing_scores_give_no_metric(spark):
+    from cohort.operators.metrics import log_loss, roc_auc
+
+    for missing in ((None, 1), (float("nan"), 1), (0.5, None)):
+        df = spark.createDataFrame([(0.5, 1), (0.4, 0), missing], "score double, label int")
+        assert roc_auc(df).first()[0] is None
+        assert log_loss(df).first()[0] is None

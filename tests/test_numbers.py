@@ -50,3 +50,11 @@ def test_empty_table(spark):
     df = spark.createDataFrame([], "x double")
     assert exact_quantiles(df, "x", [0.5]) == [None]
     assert exact_quantiles(df, "x", [0.5], small_rows=-1) == [None]
+
+
+def test_tied_edges_stay_exact(spark):
+    from cohort.operators.numbers import exact_quantiles
+
+    df = spark.range(1237).selectExpr("IF(id % 2 = 0, 7.7, id * 1.0) AS x").selectExpr("CAST(x AS double) x")
+    steps = [k / 10 for k in range(11)]
+    assert exact_quantiles(df, "x", steps, small_rows=0, fetch_rows=10) == exact_quantiles(df, "x", steps)

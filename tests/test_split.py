@@ -87,3 +87,9 @@ def test_shares_add_up_and_stay_close(counts, part):
     assert sum(got.values()) == total
     for c, n in counts.items():
         assert abs(got[c] - total * n / everything) <= 1 + 1e-3
+
+
+def test_missing_key_is_refused(spark):
+    df = spark.createDataFrame([(1, 0), (2, 1), (None, 1), (4, 0)], "id long, label int")
+    with pytest.raises(ValueError, match="missing values"):
+        plan_split(df, "label", key="id")
