@@ -17,6 +17,10 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 _local_folder: str | None = None
 
 
+class NoSharedFolder(RuntimeError):
+    """The session names no folder that all executors reach."""
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by the session; a temporary one only in local mode."""
     named = spark.conf.get(CHECKPOINT_CONF, None)
@@ -26,7 +30,7 @@ def shared_folder(spark: SparkSession) -> str:
     if context.getCheckpointDir():
         return context.getCheckpointDir().rstrip("/")
     if not context.master.startswith("local"):
-        raise RuntimeError(
+        raise NoSharedFolder(
             f"set {CHECKPOINT_CONF} to a folder that every executor can reach"
         )
     global _local_folder

@@ -102,3 +102,23 @@ def test_key_passes_through_even_when_a_feature_drops_it(registry, df):
     registry.feature("drop_id")(lambda df: df.drop("id"))
     assert registry.build(df, key="id").columns == ["id", "x"]
     assert registry.build(df).columns == ["x"]
+
+
+def test_failures_of_the_cluster_are_not_skipped(spark):
+    from cohort.plans.registry import FeatureRegistry
+    from cohort.plans.workspace import NoSharedFolder
+
+    registry = FeatureRegistry()
+
+    @registry.feature("own", order=1)
+    def own(df):
+        raise ValueError("own fault")
+
+    assert registry.fit(spark.range(2)).left_out == {"own": "ValueError('own fault')"}
+
+    @registry.feature("job", order=2)
+    def job(df):
+        raise NoSharedFolder("no folder")
+
+    with pytest.raises(NoSharedFolder):
+        registry.build(spark.range(2))
