@@ -1,15 +1,15 @@
 """Numeric summaries and exact quantiles in a few bounded aggregates.
 
-Moments, counts and quantile sketches of all requested columns come from one
-pass.  Exact quantiles need order statistics.  For a small table Spark's own
-``percentile`` gives them directly, but it keeps a map of every distinct value
-in one buffer, so it cannot be used on a large one.  There each wanted rank is
-narrowed down instead: a mergeable sketch proposes two values around the rank,
-exact counts say where the rank really lies, and once few enough values remain
-between the two they are fetched.  Every round serves all columns at once,
-sketches only steer the search, and the counts make the answer exact.  That is
-why the sketches may be coarse, which keeps them small when very many tasks
-send one each.
+Moments and counts of all requested columns come from one pass.  Exact
+quantiles need order statistics, and Spark's ``percentile`` keeps a map of every
+distinct value in one buffer.  Each wanted rank is narrowed down instead: a
+mergeable sketch proposes two values around the rank, exact counts say where the
+rank really lies, and once few enough values remain between the two they are
+fetched.  Every round serves all columns at once, sketches only steer the
+search, and the counts make the answer exact.  After the first round only the
+values that are still searched are kept, in a stored table.  A table whose
+columns have few values is fetched in the first round; nothing else depends on
+its size.
 """
 
 from __future__ import annotations
@@ -22,10 +22,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohort.functions.values import quoted, to_number
+from cohort.plans.workspace import materialize
 
-SMALL_ROWS = 200_000
 FETCH_ROWS = 100_000
 SKETCH_ACCURACY = 1_000
+# Sketches of map tasks merge in this many groups first, then into one.
+SKETCH_GROUPS = 64
 # A plan with too many aggregates is slow to compile; searches run in groups.
 SEARCHES_PER_PASS = 64
 
@@ -120,7 +122,6 @@ def summarize_numbers(
     probabilities: Sequence[float] = (),
     *,
     method: str = "exact",
-    small_rows: int = SMALL_ROWS,
     fetch_rows: int = FETCH_ROWS,
     accuracy: int = SKETCH_ACCURACY,
 ) -> dict[str, NumberSummary]:
@@ -174,12 +175,6 @@ def summarize_numbers(
         for i, c in enumerate(columns):
             values = found[i]["quantiles"] or [None] * len(probabilities)
             out[c].quantiles = dict(zip(probabilities, values))
-    elif found[0]["rows"] <= small_rows:
-        levels = F.array(*[F.lit(p) for p in probabilities])
-        exact = cells.where("x is not null").groupBy("place").agg(F.percentile("x", levels).alias("q"))
-        values = {r["place"]: r["q"] for r in exact.collect()}
-        for i, c in enumerate(columns):
-            out[c].quantiles = dict(zip(probabilities, values.get(i, [None] * len(probabilities))))
     else:
         _search_quantiles(numbers, names, out, probabilities, fetch_rows, accuracy)
     return out
@@ -210,10 +205,14 @@ def _search_quantiles(
                     found.answer = out[c].high
 
     pending = [s for s in searches.values() if s.answer is None]
+    narrowed = False
     while pending:
         for group in _chunks(pending, SEARCHES_PER_PASS):
             _narrow(numbers, group, fetch_rows, accuracy)
         pending = [s for s in pending if s.answer is None]
+        if pending and not narrowed:
+            numbers = materialize(_only(numbers, {s.interval: s for s in pending}.values()), "narrowed")
+            narrowed = True
 
     for c in names:
         n = out[c].present
@@ -242,30 +241,35 @@ def _narrow(
     many_intervals = {s.interval: s for s in many}
     if few:
         # Exact counts bound each fetched list by fetch_rows.
-        lists = [
-            F.array_sort(F.collect_list(s.within(F.col(s.column)))).alias(f"r{i}")
-            for i, s in enumerate(few_intervals.values())
-        ]
-        fetched = dict(zip(few_intervals, _only(numbers, few_intervals.values()).agg(*lists).first()))
+        ranks: dict[tuple, list[int]] = {}
         for s in few:
-            s.answer = fetched[s.interval][s.rank - s.base]
+            ranks.setdefault(s.interval, []).append(s.rank - s.base)
+        wanted = F.lit(None).cast("array<int>")
+        for i, interval in enumerate(few_intervals):
+            wanted = F.when(F.col("place") == i, F.lit(ranks[interval])).otherwise(wanted)
+        lists = _cells(numbers, few_intervals.values()).groupBy("place").agg(
+            F.array_sort(F.collect_list("x")).alias("xs")
+        )
+        picked = lists.select("place", F.transform(wanted, lambda k: F.get("xs", k)).alias("xs"))
+        fetched = {r["place"]: r["xs"] for r in picked.collect()}
+        for i, interval in enumerate(few_intervals):
+            found = dict(zip(ranks[interval], fetched[i]))
+            for s in few:
+                if s.interval == interval:
+                    s.answer = found[s.rank - s.base]
     if not many:
         return
 
-    # Grouped by interval, so that different sketches are merged by different
-    # tasks.
-    cells = _only(numbers, many_intervals.values()).select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(i).alias("place"), s.within(F.col(s.column)).alias("x"))
-                    for i, s in enumerate(many_intervals.values())
-                ]
-            )
-        )
-    ).where("x is not null")
+    cells = _cells(numbers, many_intervals.values())
     grid = [i / accuracy for i in range(accuracy + 1)]
-    sketches = cells.groupBy("place").agg(F.percentile_approx("x", grid, accuracy).alias("levels"))
+    size = F.lit(min(max(2 * accuracy, 8), 65_535))
+    parts = cells.groupBy("place", (F.spark_partition_id() % SKETCH_GROUPS).alias("part")).agg(
+        F.kll_sketch_agg_double("x", size).alias("sketch")
+    )
+    whole = parts.groupBy("place").agg(F.kll_merge_agg_double("sketch", size).alias("sketch"))
+    sketches = whole.select(
+        "place", F.kll_sketch_get_quantile_double("sketch", F.lit(grid)).alias("levels")
+    )
     levels = {r["place"]: r["levels"] for r in sketches.collect()}
     places = {interval: i for i, interval in enumerate(many_intervals)}
     for s in many:
@@ -288,6 +292,19 @@ def _narrow(
         s.settle(row[f"u{i}"], row[f"l{i}"], row[f"b{i}"], row[f"h{i}"])
 
 
+def _cells(numbers: DataFrame, searches: Iterable[_Search]) -> DataFrame:
+    """(place, x) for every value inside the interval of that place.
+
+    Grouped by place, different lists and sketches are merged by different tasks.
+    """
+    searches = list(searches)
+    entries = [
+        F.struct(F.lit(i).alias("place"), s.within(F.col(s.column)).alias("x"))
+        for i, s in enumerate(searches)
+    ]
+    return _only(numbers, searches).select(F.inline(F.array(*entries))).where("x is not null")
+
+
 def _only(numbers: DataFrame, searches: Iterable[_Search]) -> DataFrame:
     """The rows that at least one interval needs."""
     needed = F.lit(False)

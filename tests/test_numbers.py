@@ -24,15 +24,15 @@ def test_search_finds_exact_quantiles(spark, name, fetch_rows):
     values = CASES[name]
     rows = [(float(v),) for v in values] + [(None,), (float("nan"),)]
     df = spark.createDataFrame(rows, "x double").repartition(5)
-    got = exact_quantiles(df, "x", LEVELS, small_rows=0, fetch_rows=fetch_rows, accuracy=20)
+    got = exact_quantiles(df, "x", LEVELS, fetch_rows=fetch_rows, accuracy=20)
     assert np.allclose(got, np.quantile(values, LEVELS), rtol=1e-12, atol=0)
     assert exact_quantiles(df, "x", LEVELS) == pytest.approx(got, rel=1e-12)
 
 
 def test_summary_of_several_columns(spark):
     df = spark.createDataFrame([(1.0, None, 5), (3.0, None, 5), (None, None, 8)], "a double, b double, c int")
-    for small_rows in (0, 100):
-        found = summarize_numbers(df, ["a", "b", "c"], [0.5], small_rows=small_rows)
+    for fetch_rows in (1, 100):
+        found = summarize_numbers(df, ["a", "b", "c"], [0.5], fetch_rows=fetch_rows)
         assert (found["a"].present, found["a"].missing, found["a"].mean, found["a"].quantiles[0.5]) == (2, 1, 2.0, 2.0)
         assert found["a"].std_samp == pytest.approx(2**0.5)
         assert (found["b"].present, found["b"].quantiles[0.5], found["b"].std_samp) == (0, None, None)
@@ -49,12 +49,10 @@ def test_approximate_mode_and_bad_mode(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "x double")
     assert exact_quantiles(df, "x", [0.5]) == [None]
-    assert exact_quantiles(df, "x", [0.5], small_rows=-1) == [None]
 
 
 def test_tied_edges_stay_exact(spark):
-    from cohort.operators.numbers import exact_quantiles
-
     df = spark.range(1237).selectExpr("IF(id % 2 = 0, 7.7, id * 1.0) AS x").selectExpr("CAST(x AS double) x")
     steps = [k / 10 for k in range(11)]
-    assert exact_quantiles(df, "x", steps, small_rows=0, fetch_rows=10) == exact_quantiles(df, "x", steps)
+    expected = df.selectExpr(f"percentile(x, array({','.join(map(str, steps))}))").first()[0]
+    assert exact_quantiles(df, "x", steps, fetch_rows=10) == exact_quantiles(df, "x", steps) == expected

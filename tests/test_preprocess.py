@@ -129,5 +129,5 @@ def test_fit_on_large_path_equals_small_path(spark, monkeypatch):
     from cohort.operators import numbers
 
     monkeypatch.setattr(numbers.summarize_numbers, "__kwdefaults__",
-                        {**numbers.summarize_numbers.__kwdefaults__, "small_rows": 0, "fetch_rows": 30, "accuracy": 40})
+                        {**numbers.summarize_numbers.__kwdefaults__, "fetch_rows": 30, "accuracy": 40})
     assert fit_preprocessor(df).numeric == small
