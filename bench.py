@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -41,6 +42,7 @@ def main() -> None:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", "file:" + tempfile.mkdtemp(prefix="cohort-bench-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -366,6 +366,40 @@ _DERIVED_SQL = f"""select id, income_band,
   {r6('years_smoking * smokes_per_day')} as years_smoking_x_spd
 from therapy, income_stats"""
 
+_FEATURE_TABLE = (
+    _INCOME_STATS,
+    _BANDED,
+    *_fill("social", "banded", "social_support", _SOCIAL),
+    *_fill("education", "social", "education_level", _EDUCATION),
+    *_fill("therapy", "education", "therapy_history", _THERAPY),
+)
+_FOREST_NUMBERS = (
+    *NUMERIC, "smoking_rate_pct", "log_income", "income_z", "income_decile", "dependents_ratio",
+    "quit_effort_smoke_norm", "quit_effort_drink_norm", "heavy_poly_use", "pack_years_log",
+    "pack_years_sqrt", "pack_years_sq", "drink_per_day", "drink_per_day_sq", "drinks_per_week_log",
+    "risk_factor_count", "elevated_risk_flag", "years_smoking_x_heavy", "years_smoking_x_spd",
+)
+
+
+def _forest_names() -> str:
+    """Numeric features by name, text features by name and value."""
+    parts = [f"select '{c}' as feature" for c in _FOREST_NUMBERS]
+    texts = {c: c for c in (*CATEGORIES, "income_band")}
+    texts |= {"smoke_intensity": _smoke("<"), "drink_intensity": _drink("<")}
+    for name, value in texts.items():
+        parts.append(
+            f"select distinct '{name}_' || ({value}) as feature from therapy where ({value}) is not null"
+        )
+    return " union all ".join(parts)
+
+
+def _missing_gives_null(name: str) -> str:
+    """No value as soon as one score is missing."""
+    return f"select case when count(*) filter (where id % 50 = 0) = 0 then 0::double end as {name} from scored"
+
+
+_SMOKER = "cast(heavy_smoker_flag > 0 as integer)"
+
 ORACLES: dict[str, str] = {
     "csv_source": on_raw(
         "select cast(id as bigint) as id_number, nullif(annual_income_usd, '') as income_text, "
@@ -391,9 +425,8 @@ ORACLES: dict[str, str] = {
         "annual_income_usd, gender from population"
     ),
     "row_id": on_raw(
-        "select row_number() over (order by gender nulls last, education_level nulls last, "
-        "has_health_issues) - 1 as row_id, * from "
-        "(select distinct gender, education_level, has_health_issues from normal)"
+        "select row_number() over (order by id, annual_income_usd nulls last, gender nulls last, "
+        "education_level nulls last, has_health_issues) - 1 as row_id, * from normal"
     ),
     "basic_cleanup": on_raw("select * from clean", _CLEAN),
     "drop_pii": on_population("select * exclude (id, name) from population"),
@@ -526,11 +559,59 @@ ORACLES: dict[str, str] = {
     ),
     "build_features": on_population(
         _DERIVED_SQL,
-        _INCOME_STATS,
-        _BANDED,
-        *_fill("social", "banded", "social_support", _SOCIAL),
-        *_fill("education", "social", "education_level", _EDUCATION),
-        *_fill("therapy", "education", "therapy_history", _THERAPY),
+        *_FEATURE_TABLE,
+    ),
+    "income_decile_tied": on_population(
+        f"select id, {INCOME_DECILE} as income_decile from tied, income_stats",
+        (
+            "tied",
+            "select * replace (case when id % 2 = 0 then 12345.67::double else annual_income_usd end "
+            "as annual_income_usd) from population",
+        ),
+        (_INCOME_STATS[0], _INCOME_STATS[1].replace("from population", "from tied")),
+    ),
+    "price_deciles": "select cast(d as integer) as decile, "
+    + r6("(select quantile_cont(l_extendedprice, [0.0,0.1,0.2,0.3,0.4,0.5,0.6,0.7,0.8,0.9,1.0]) "
+         "from lineitem)[d + 1]")
+    + " as price from range(11) t(d)",
+    "registry_only": on_population(
+        f"select id, {POLY} as heavy_poly_use, {RISKS} as risk_factor_count, "
+        f"cast(({RISKS}) >= 2 as integer) as elevated_risk_flag from population"
+    ),
+    "registry_exclude": on_population(
+        f"select id, education_level, social_support, {RISKS} as risk_factor_count, "
+        "false as has_band from social",
+        *_fill("social", "population", "social_support", _SOCIAL),
+    ),
+    "registry_skip": on_population(
+        f"select id, {POLY} as heavy_poly_use, 'pack_years_transforms,risk_burden' as left_out "
+        "from population"
+    ),
+    "interim_roundtrip": on_population("select * from population"),
+    "build_if_absent": on_population("select id, annual_income_usd from population"),
+    "metrics_roundtrip": on_scored(
+        "select "
+        + ", ".join(
+            f"{r6(_share(part, whole))} as {name}"
+            for name, part, whole in (
+                ("accuracy", "(tn + tp)", "tn + fp + fn + tp"),
+                ("precision", "tp", "tp + fp"),
+                ("recall", "tp", "tp + fn"),
+                ("f1", "2 * tp", "2 * tp + fp + fn"),
+            )
+        )
+        + ", tn + fp + fn + tp as n, tn, fp, fn, tp from cells",
+        _CELLS,
+    ),
+    "roc_auc_missing": on_scored(_missing_gives_null("roc_auc")),
+    "log_loss_missing": on_scored(_missing_gives_null("log_loss")),
+    "rf_train": on_population(
+        "select 1::double as accuracy, 1::double as precision, 1::double as recall, "
+        "1::double as f1, 1::double as roc_auc, cast(ceil(count(*) / 5) as bigint) as n from population"
+    ),
+    "rf_predict": on_population(f"select id, {_SMOKER} as pred, true as agrees from population"),
+    "rf_importances": on_population(
+        f"select feature, 1::double as total from ({_forest_names()})", *_FEATURE_TABLE
     ),
     "feature_catalog": on_population(_catalog()),
     "split_train": on_population(

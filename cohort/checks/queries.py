@@ -17,13 +17,14 @@ from pyspark.sql import types as T
 from cohort.checks.fixtures import labelled, population, raw_population, scored
 from cohort.functions.values import quoted
 from cohort.operators import clean, features, groups, metrics, model, preprocess, profile, split
+from cohort.operators.numbers import exact_quantiles
 from cohort.plans.workspace import materialize, shared_folder
+from cohort.sources import tables
 from cohort.sources.tables import read_csv, write_csv
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TARGET = "has_health_issues"
-FOREST_TREES = 20
 
 QUERIES: dict[str, Query] = {}
 
@@ -59,6 +60,39 @@ def csv_source(spark, folder):
     return out.toDF("id_number", "income_text", "gender", "education_level", TARGET)
 
 
+def _new_path(spark, label: str) -> str:
+    return f"{shared_folder(spark)}/cohort-{label}-{uuid.uuid4().hex}"
+
+
+@query
+def interim_roundtrip(spark, folder):
+    path = tables.save_interim(population(spark, folder), _new_path(spark, "interim"))
+    return tables.load_interim(spark, path)
+
+
+@query
+def build_if_absent(spark, folder):
+    """Built once; the second call finds the finished table."""
+    path = _new_path(spark, "built")
+    rows = population(spark, folder).select("id", "annual_income_usd")
+    tables.build_if_absent(spark, path, lambda: rows)
+    return tables.build_if_absent(spark, path, lambda: rows.where("id is null"))
+
+
+@query
+def metrics_roundtrip(spark, folder):
+    found = metrics.metrics_of(scored(spark, folder))
+    path = tables.save_metrics(spark, found, _new_path(spark, "metrics"))
+    frame = tables.metrics_frame(spark, tables.load_metrics(spark, path))
+    cells = F.flatten("confusion_matrix")
+    return rounded(
+        frame.select(
+            "accuracy", "precision", "recall", "f1", F.col("support")["n"].alias("n"),
+            *[cells[i].alias(name) for i, name in enumerate(("tn", "fp", "fn", "tp"))],
+        )
+    )
+
+
 @query
 def normalize_names(spark, folder):
     return clean.normalize_names(raw_population(spark, folder))
@@ -98,11 +132,8 @@ def ensure_id(spark, folder):
 
 @query
 def row_id(spark, folder):
-    rows = clean.drop_copies(raw_population(spark, folder).select("Gender", "Education Level", TARGET_RAW))
-    return clean.number_rows(clean.normalize_names(rows), "row_id", start=0)
-
-
-TARGET_RAW = "Has Health Issues"
+    rows = clean.normalize_names(raw_population(spark, folder))
+    return clean.number_rows(rows, "row_id", start=0)
 
 
 @query
@@ -144,7 +175,8 @@ def infer_columns(spark, folder):
 @query
 def all_null_columns(spark, folder):
     df = population(spark, folder)
-    return profile.null_profile(df).where("non_null = 0").select("column")
+    _, empty = preprocess.all_null_columns(df, df.columns)
+    return spark.createDataFrame([(c,) for c in empty], "column string")
 
 
 @query
@@ -216,17 +248,18 @@ def histogram(spark, folder):
 
 @query
 def income_band(spark, folder):
-    return with_feature(population(spark, folder), features.income_features, "income_band")
+    return with_feature(population(spark, folder), features.income_levels, "income_band")
 
 
 @query
 def log_income(spark, folder):
-    return with_feature(population(spark, folder), features.income_features, "log_income")
+    return with_feature(population(spark, folder), features.income_levels, "log_income")
 
 
 @query
 def income_z(spark, folder):
-    return with_feature(population(spark, folder), features.income_features, "income_z")
+    df = population(spark, folder)
+    return with_feature(df, features.IncomeScore.fit(df).transform, "income_z")
 
 
 @query
@@ -234,6 +267,23 @@ def income_decile(spark, folder):
     return with_feature(population(spark, folder), features.income_features, "income_decile")
 
 
+@query
+def income_decile_tied(spark, folder):
+    """Half of all incomes are one value, and few values are fetched at once."""
+    income = F.when(F.col("id") % 2 == 0, F.lit(12345.67)).otherwise(F.col("annual_income_usd"))
+    df = population(spark, folder).withColumn("annual_income_usd", income)
+    fitted = features.IncomeFeatures.fit(df, fetch_rows=100)
+    return fitted.transform(df).select("id", "income_decile")
+
+
+@query
+def price_deciles(spark, folder):
+    """Exact deciles by the narrowing search, fetching few values at once."""
+    prices = spark.read.parquet(f"{folder}/lineitem.parquet")
+    found = exact_quantiles(prices, "l_extendedprice", features.DECILES, fetch_rows=500)
+    return rounded(spark.createDataFrame(list(enumerate(found)), "decile int, price double"))
+
+
 @query
 def smoke_intensity(spark, folder):
     df = features.smoke_intensity(population(spark, folder))
@@ -373,22 +423,42 @@ def feature_catalog(spark, folder):
     df = population(spark, folder)
     specs = features.REGISTRY.ordered()
     complete = []
-    for i, spec in enumerate(specs):
+    for spec in specs:
         present = F.lit(True)
         for c in spec.requires:
             present = present & (quoted(c).isNotNull() if c in df.columns else F.lit(False))
-        complete.append(F.count_if(present).alias(f"n{i}"))
-    entries = [
-        F.struct(
-            F.lit(spec.order).alias("order"),
-            F.lit(spec.name).alias("name"),
-            F.lit("ENABLED" if spec.enabled else "DISABLED").alias("status"),
-            F.lit(",".join(sorted(spec.requires))).alias("requires"),
-            F.col(f"n{i}").alias("complete_rows"),
-        )
-        for i, spec in enumerate(specs)
-    ]
-    return df.agg(*complete).select(F.inline(F.array(*entries)))
+        complete.append(F.count_if(present))
+    counts = df.agg(*complete).first()
+    rows = [(spec.name, n) for spec, n in zip(specs, counts)]
+    listed = features.REGISTRY.catalog(spark).withColumn("requires", F.array_join("requires", ","))
+    return listed.join(spark.createDataFrame(rows, "name string, complete_rows bigint"), "name").select(
+        "order", "name", "status", "requires", "complete_rows"
+    )
+
+
+@query
+def registry_only(spark, folder):
+    df = population(spark, folder)
+    out = features.REGISTRY.build(df, only={"risk_burden", "heavy_poly_use"}, key="id")
+    added = [c for c in out.columns if c not in df.columns]
+    return out.select("id", *added)
+
+
+@query
+def registry_exclude(spark, folder):
+    """Without the incomes: education can't be filled either, so it stays as it is."""
+    out = features.REGISTRY.build(population(spark, folder), exclude={"income_features"}, key="id")
+    banded = F.lit("income_band" in out.columns).alias("has_band")
+    return out.select("id", "education_level", "social_support", "risk_factor_count", banded)
+
+
+@query
+def registry_skip(spark, folder):
+    """Features that lack an input are left out and listed."""
+    df = population(spark, folder).drop("diet_score", "pack_years")
+    fitted = features.REGISTRY.fit(df, key="id")
+    names = F.lit(",".join(sorted(fitted.left_out))).alias("left_out")
+    return fitted.fitted_on.select("id", "heavy_poly_use", names)
 
 
 # --- split -------------------------------------------------------------------
@@ -498,7 +568,8 @@ def assert_no_nulls(spark, folder):
     """Missing values per column after preprocessing; all of them zero."""
     df = _inputs(spark, folder)
     fitted = preprocess.fit_preprocessor(df, target=TARGET, key="id")
-    return profile.null_profile(fitted.transform_df(df)).select("column", "nulls")
+    checked = profile.assert_no_nulls(fitted.transform_df(df))
+    return profile.null_profile(checked).select("column", "nulls")
 
 
 # --- model -------------------------------------------------------------------
@@ -515,38 +586,41 @@ def class_weights_imbalanced(spark, folder):
 
 
 def _feature_table(spark, folder) -> DataFrame:
-    return materialize(features.build_features(population(spark, folder), key="id"), "features")
-
-
-def _trained(df: DataFrame) -> model.Training:
-    return model.train_model(df, target=TARGET, n_estimators=FOREST_TREES)
+    """Features with a target that one of them determines, so the result is known."""
+    built = features.build_features(population(spark, folder), key="id")
+    target = (F.col("heavy_smoker_flag") > 0).cast("int")
+    return materialize(built.withColumn(TARGET, target), "features")
 
 
 @query
 def rf_train(spark, folder):
-    found = _trained(_feature_table(spark, folder)).metrics
+    found = model.train_model(_feature_table(spark, folder), target=TARGET).metrics
     row = (
         found["accuracy"], found["precision"], found["recall"], found["f1"],
-        found["roc_auc"], found["log_loss"], found["support"]["n"],
+        found["roc_auc"], found["support"]["n"],
     )
-    return spark.createDataFrame(
-        [row],
-        "accuracy double, precision double, recall double, f1 double, roc_auc double, "
-        "log_loss double, n bigint",
+    return rounded(
+        spark.createDataFrame(
+            [row],
+            "accuracy double, precision double, recall double, f1 double, roc_auc double, n bigint",
+        )
     )
 
 
 @query
 def rf_predict(spark, folder):
     df = _feature_table(spark, folder)
-    found = _trained(df)
-    return model.predict_df(df, found.model, preprocessor=found.preprocessor, target=TARGET)
+    found = model.train_model(df, target=TARGET)
+    out = model.predict_df(df, found.model, preprocessor=found.preprocessor, target=TARGET)
+    return out.select("id", "pred", ((F.col("proba_1") > 0.5) == (F.col("pred") == 1)).alias("agrees"))
 
 
 @query
 def rf_importances(spark, folder):
-    found = _trained(_feature_table(spark, folder))
-    return model.feature_importances(spark, found.model, found.feature_names)
+    found = model.train_model(_feature_table(spark, folder), target=TARGET)
+    ranked = model.feature_importances(spark, found.model, found.feature_names)
+    total = ranked.agg(F.sum("importance")).first()[0]
+    return rounded(ranked.select("feature", F.lit(total).alias("total")))
 
 
 # --- metrics -----------------------------------------------------------------
@@ -572,6 +646,20 @@ def log_loss(spark, folder):
     return rounded(metrics.log_loss(scored(spark, folder)))
 
 
+def _with_gaps(df: DataFrame) -> DataFrame:
+    return df.withColumn("score", F.when(F.col("id") % 50 != 0, F.col("score")))
+
+
+@query
+def roc_auc_missing(spark, folder):
+    return rounded(metrics.roc_auc(_with_gaps(scored(spark, folder))))
+
+
+@query
+def log_loss_missing(spark, folder):
+    return rounded(metrics.log_loss(_with_gaps(scored(spark, folder))))
+
+
 @query
 def support(spark, folder):
     return rounded(metrics.support(scored(spark, folder)))

@@ -88,11 +88,15 @@ def number_rows(
     their sort partition.  Only the row count of each partition is summed up
     across partitions; no task ever sees more than its own range.
     """
-    part, place = "_cohort_part", "_cohort_place"
+    part, place, copy = "_cohort_part", "_cohort_place", "_cohort_copy"
     keys = df.columns if order_by is None else list(order_by)
-    # The other columns break ties, so that a hot key still splits by range.
-    ties = [c for c in df.columns if c not in keys] if keys else []
-    ordered = df.orderBy(*[quoted(c).asc_nulls_last() for c in [*keys, *ties]]) if keys else df
+    ordered = df
+    if keys:
+        # The other columns break ties, so that a hot key still splits by range;
+        # copies of one row are interchangeable and split by their place.
+        ties = [c for c in df.columns if c not in keys]
+        order = [quoted(c).asc_nulls_last() for c in [*keys, *ties]]
+        ordered = df.withColumn(copy, F.monotonically_increasing_id()).orderBy(*order, copy).drop(copy)
     in_part = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
     stored = materialize(
         ordered.withColumns({part: F.spark_partition_id(), place: in_part}), "numbered"

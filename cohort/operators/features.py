@@ -27,7 +27,7 @@ from cohort.functions.values import (
     to_number,
 )
 from cohort.operators.groups import GroupFill
-from cohort.operators.numbers import summarize_numbers
+from cohort.operators.numbers import NumberSummary, summarize_numbers
 from cohort.plans.registry import FeatureRegistry
 
 REGISTRY = FeatureRegistry()
@@ -102,34 +102,51 @@ def drop_pii(df: DataFrame) -> DataFrame:
     return df.drop(*PII_COLUMNS)
 
 
+def income_levels(df: DataFrame) -> DataFrame:
+    """Band and log of income: row-wise, nothing is fitted."""
+    income = number(df, "annual_income_usd")
+    return df.withColumns({"income_band": income_band(income), "log_income": log1p(income)})
+
+
 @dataclass(frozen=True)
-class IncomeFeatures:
-    """Band, log, z-score and decile of income for fitted statistics."""
+class IncomeScore:
+    """z-score of income for a fitted mean and deviation, from one pass."""
 
     mean: float | None
     std: float
+
+    @classmethod
+    def fit(cls, df: DataFrame) -> IncomeScore:
+        column = "annual_income_usd"
+        return cls.of(summarize_numbers(df, [column])[column])
+
+    @classmethod
+    def of(cls, found: NumberSummary) -> IncomeScore:
+        std = found.std_samp
+        return cls(found.mean, std if std is not None and 0 < std < INFINITY else 1.0)
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        centred = number(df, "annual_income_usd") - F.lit(self.mean).cast("double")
+        return df.withColumn("income_z", nan_to_null(centred / self.std))
+
+
+@dataclass(frozen=True)
+class IncomeFeatures:
+    """Band, log, z-score and decile of income for fitted statistics."""
+
+    score: IncomeScore
     edges: tuple[float | None, ...]
 
     @classmethod
     def fit(cls, df: DataFrame, **quantile_options) -> IncomeFeatures:
         column = "annual_income_usd"
         found = summarize_numbers(df, [column], DECILES, **quantile_options)[column]
-        std = found.std_samp
-        if std is None or not 0 < std < INFINITY:
-            std = 1.0
-        return cls(found.mean, std, tuple(found.quantiles[p] for p in DECILES))
+        return cls(IncomeScore.of(found), tuple(found.quantiles[p] for p in DECILES))
 
     def transform(self, df: DataFrame) -> DataFrame:
         income = number(df, "annual_income_usd")
-        centred = income - F.lit(self.mean).cast("double")
-        return df.withColumns(
-            {
-                "income_band": income_band(income),
-                "log_income": log1p(income),
-                "income_z": nan_to_null(centred / self.std),
-                "income_decile": quantile_bin(income, self.edges),
-            }
-        )
+        out = self.score.transform(income_levels(df))
+        return out.withColumn("income_decile", quantile_bin(income, self.edges))
 
 
 @REGISTRY.feature(

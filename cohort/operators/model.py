@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohort.functions.values import quoted
@@ -19,6 +19,7 @@ from cohort.operators.metrics import metrics_of, positive_class_index, to01
 from cohort.operators.preprocess import PreprocessorModel, fit_preprocessor, infer_columns
 from cohort.operators.split import plan_split
 from cohort.plans.workspace import materialize
+from cohort.sources.tables import path_exists
 
 # Names under which a table may already carry a row key.
 ID_COLUMNS = ("id", "ID", "row_id", "index")
@@ -28,6 +29,8 @@ UNLIMITED_DEPTH = 30
 
 _WEIGHT = "_cohort_weight"
 _TEST = "_cohort_test"
+_NAMES_FOLDER = "featureNames"
+_NAMES_SCHEMA = "place int, name string"
 
 
 # --- guards ------------------------------------------------------------------
@@ -35,11 +38,7 @@ _TEST = "_cohort_test"
 
 def require_target(df: DataFrame, target: str) -> None:
     if target not in df.columns:
-        preview = ", ".join(df.columns[:12]) + ("..." if len(df.columns) > 12 else "")
-        raise KeyError(
-            f"target column {target!r} not found; the feature table with the target "
-            f"is needed here. Columns: [{preview}]"
-        )
+        raise KeyError(f"no target column {target!r} among the {len(df.columns)} columns {df.columns}")
 
 
 def forbid_target(df: DataFrame, target: str) -> None:
@@ -63,12 +62,10 @@ def pick_id(df: DataFrame) -> str | None:
 def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weight per class: n / (classes * rows of the class)."""
     counts = df.groupBy(quoted(label).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    # Labels are 0/1, so the array that carries the totals has two entries.
-    classes = counts.agg(F.array_agg(F.struct("label", "n")).alias("items"))
-    total = F.aggregate("items", F.lit(0).cast("bigint"), lambda acc, x: acc + x["n"])
-    return classes.select(
-        F.inline("items"), total.alias("total"), F.size("items").alias("k")
-    ).select("label", "n", (F.col("total") / (F.col("k") * F.col("n"))).alias("weight"))
+    # Only the two totals reach the driver, however many classes there are.
+    total, k = counts.agg(F.sum("n"), F.count(F.lit(1))).first()
+    weight = F.lit(total).cast("bigint") / (F.lit(k) * F.col("n"))
+    return counts.select("label", "n", weight.alias("weight"))
 
 
 def build_model(
@@ -112,13 +109,37 @@ def build_model(
     return forest.fit(data)
 
 
+def bind_features(model: Any, names: Sequence[str]) -> Any:
+    """Let the model remember which column each place of its vector holds."""
+    model.feature_names = list(names)
+    return model
+
+
+def bound_features(model: Any) -> list[str] | None:
+    return getattr(model, "feature_names", None)
+
+
 def save_model(model: RandomForestClassificationModel, path: str) -> str:
+    """The forest, and the names of its features where it knows them."""
     model.write().overwrite().save(path)
+    names = bound_features(model)
+    if names is not None:
+        spark = SparkSession.active()
+        rows = spark.createDataFrame(list(enumerate(names)), _NAMES_SCHEMA)
+        rows.coalesce(1).write.mode("overwrite").parquet(f"{path}/{_NAMES_FOLDER}")
     return path
 
 
 def load_model(path: str) -> RandomForestClassificationModel:
-    return RandomForestClassificationModel.load(path)
+    spark = SparkSession.active()
+    if not path_exists(spark, path):
+        raise FileNotFoundError(f"model not found: {path}")
+    model = RandomForestClassificationModel.load(path)
+    names = f"{path}/{_NAMES_FOLDER}"
+    if path_exists(spark, names):
+        rows = spark.read.schema(_NAMES_SCHEMA).parquet(names).orderBy("place").collect()
+        bind_features(model, [r["name"] for r in rows])
+    return model
 
 
 # --- features for the model --------------------------------------------------
@@ -145,6 +166,9 @@ def feature_vector(
     names = list(features) if features is not None else plain_features(df, keep)
     if not names:
         raise ValueError("no feature columns after preprocessing")
+    absent = [c for c in names if c not in df.columns]
+    if absent:
+        raise ValueError(f"columns are missing: {absent}")
     numbers = [f"_n{i}" for i in range(len(names))]
     out = df.select(
         *[quoted(c) for c in keep],
@@ -210,7 +234,7 @@ def train_model(
     stored = materialize(vectors.withColumnRenamed(target, "label"), "vectors")
     train = stored.where(~F.col(_TEST)).drop(_TEST)
     test = stored.where(_TEST).drop(_TEST)
-    model = build_model(train, random_state=random_state, **forest_options)
+    model = bind_features(build_model(train, random_state=random_state, **forest_options), names)
     metrics = metrics_of(_scored_once(model, test))
     return Training(model, train, test, metrics, preprocessor, names)
 
@@ -230,6 +254,17 @@ def score(model: Any, vectors: DataFrame, *, keep: Sequence[str] = ()) -> DataFr
     )
 
 
+def model_features(model: Any, df: DataFrame, skip: Sequence[str]) -> list[str]:
+    """The columns of ``df`` that the model reads when there is no preprocessor."""
+    names = bound_features(model)
+    if names is None:
+        names = plain_features(df, skip)
+        width = getattr(model, "numFeatures", len(names))
+        if names and len(names) != width:
+            raise ValueError(f"the model reads {width} features, the table has {len(names)}: {names}")
+    return names
+
+
 def _scored_once(model: Any, vectors: DataFrame) -> DataFrame:
     """Metrics read the scores several times; the trees are walked once."""
     return materialize(score(model, vectors, keep=["label"]), "scored")
@@ -246,16 +281,22 @@ def predict_df(
 ) -> DataFrame:
     """Key, ``pred`` and, if wanted, ``proba_1`` for every row.
 
-    A table without a known key column is numbered from 0 as ``row_id``.
+    Without a preprocessor the columns are those that the model was trained on,
+    by name; a forest that knows no names takes the numeric columns in table
+    order, of which there must be as many as it was trained on.
+
+    A table without a known key column is numbered from 0 as ``row_id``, in the
+    order in which it is stored unless ``order_by`` names columns.
     """
     if not df.isStreaming:
         require_rows(df, "input")
     key = pick_id(df)
     if key is None:
-        df = number_rows(df, "row_id", order_by=order_by, start=0)
+        df = number_rows(df, "row_id", order_by=order_by or [], start=0)
         key = "row_id"
     rest = df.drop(target) if target else df
-    scored = score(model, feature_vector(rest, preprocessor, keep=[key]), keep=[key])
+    names = model_features(model, rest, [key]) if preprocessor is None else None
+    scored = score(model, feature_vector(rest, preprocessor, keep=[key], features=names), keep=[key])
     if not proba:
         return scored.drop("score")
     return scored.withColumnRenamed("score", "proba_1")

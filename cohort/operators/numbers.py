@@ -90,13 +90,11 @@ class _Search:
             inside = inside & (value < self.below)
         return F.when(inside, value)
 
-    def aim(self, levels: list[float], accuracy: int) -> None:
-        """Take the sketched values around the rank from an even grid."""
-        steps = len(levels) - 1
+    def shares(self, accuracy: int) -> tuple[float, float]:
+        """The shares of the inside values between which the rank is expected."""
         centre = (self.rank - self.base) / max(self.inside - 1, 1)
         margin = 2.0 / accuracy
-        self.left = levels[max(math.floor((centre - margin) * steps), 0)]
-        self.right = levels[min(math.ceil((centre + margin) * steps), steps)]
+        return max(centre - margin, 0.0), min(centre + margin, 1.0)
 
     def settle(self, under: int, at_left: int, between: int, at_right: int) -> None:
         """Use exact counts around ``left`` and ``right`` to close in."""
@@ -261,19 +259,19 @@ def _narrow(
         return
 
     cells = _cells(numbers, many_intervals.values())
-    grid = [i / accuracy for i in range(accuracy + 1)]
     size = F.lit(min(max(2 * accuracy, 8), 65_535))
     parts = cells.groupBy("place", (F.spark_partition_id() % SKETCH_GROUPS).alias("part")).agg(
         F.kll_sketch_agg_double("x", size).alias("sketch")
     )
     whole = parts.groupBy("place").agg(F.kll_merge_agg_double("sketch", size).alias("sketch"))
+    shares = sorted({share for s in many for share in s.shares(accuracy)})
     sketches = whole.select(
-        "place", F.kll_sketch_get_quantile_double("sketch", F.lit(grid)).alias("levels")
+        "place", F.kll_sketch_get_quantile_double("sketch", F.lit(shares)).alias("levels")
     )
-    levels = {r["place"]: r["levels"] for r in sketches.collect()}
+    levels = {r["place"]: dict(zip(shares, r["levels"])) for r in sketches.collect()}
     places = {interval: i for i, interval in enumerate(many_intervals)}
     for s in many:
-        s.aim(levels[places[s.interval]], accuracy)
+        s.left, s.right = (levels[places[s.interval]][share] for share in s.shares(accuracy))
 
     brackets = {(s.interval, s.left, s.right): s for s in many}
     counts = []

@@ -25,6 +25,7 @@ from cohort.functions.values import quoted, to_number
 from cohort.operators.features import drop_target_columns
 from cohort.operators.numbers import summarize_numbers
 from cohort.plans.workspace import materialize
+from cohort.sources.tables import path_exists
 
 log = logging.getLogger(__name__)
 
@@ -242,6 +243,8 @@ class PreprocessorModel:
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> PreprocessorModel:
+        if not path_exists(spark, f"{path}/steps"):
+            raise FileNotFoundError(f"preprocessor not found: {path}")
         rows = spark.read.schema(_STEP_SCHEMA).parquet(f"{path}/steps").orderBy("place").collect()
         numeric = [
             NumericStep(r["name"], r["fill"], r["center"], r["scale"], r["constant"])

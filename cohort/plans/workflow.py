@@ -15,6 +15,7 @@ from cohort.operators.model import (
     feature_importances,
     feature_vector,
     load_model,
+    model_features,
     predict_df,
     require_target,
     save_model,
@@ -31,7 +32,6 @@ from cohort.sources.tables import (
     build_if_absent,
     load_interim,
     load_raw,
-    path_exists,
     save_interim,
     save_metrics,
     write_csv,
@@ -150,11 +150,13 @@ def evaluate_file(
     given = load_preprocessor(spark, preprocessor_path) if preprocessor_path else None
     model = load_model(model_path)
     test = df.where(split.is_test())
-    vectors = feature_vector(test, given, keep=[key, target])
+    rest = drop_target_columns(df, target)
+    names = model_features(model, rest, [key]) if given is None else None
+    vectors = feature_vector(test, given, keep=[key, target], features=names)
     found = evaluate(model, vectors, label=target)
     save_metrics(spark, found, metrics_path)
     if importances_csv:
-        names = given.feature_names() if given else None
+        names = given.feature_names() if given else names
         ranked = feature_importances(spark, model, names)
         if ranked is not None:
             write_csv(ranked.coalesce(1), importances_csv)
@@ -172,9 +174,8 @@ def predict_file(
     proba: bool = True,
 ) -> str:
     """Feature table and saved forest to predictions."""
-    if not path_exists(spark, model_path):
-        raise FileNotFoundError(f"model not found: {model_path}")
+    model = load_model(model_path)
     given = load_preprocessor(spark, preprocessor_path) if preprocessor_path else None
     df = load_interim(spark, features)
-    out = predict_df(df, load_model(model_path), preprocessor=given, target=target, proba=proba)
+    out = predict_df(df, model, preprocessor=given, target=target, proba=proba)
     return write_csv(out, output_csv)

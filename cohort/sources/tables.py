@@ -23,21 +23,6 @@ INTEGER_PATTERN = r"^[+-]?[0-9]+$"
 BOOLEAN_PATTERN = r"^(True|TRUE|true|False|FALSE|false)$"
 
 
-# A table in this many splits holds at most a gigabyte at the default split size.
-FEW_SPLITS = 8
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on a small table that arrives in fewer splits than cores.
-
-    A small file is one split.  A table of more than a few splits is returned
-    as it is, without a shuffle, however many cores there are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    return df.repartition(cores) if splits < cores and splits <= FEW_SPLITS else df
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder exists on whatever file system holds it."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -67,6 +52,20 @@ def _header_names(cells: Row) -> list[str]:
     return out
 
 
+def _require_one_header(spark: SparkSession, path: str) -> None:
+    """Raise when the files of a folder do not all begin with the same line.
+
+    Only blocks at the start of a file are looked at, and each task keeps one
+    line per file.
+    """
+    lines = spark.read.text(path).select("value", F.monotonically_increasing_id().alias("at"), "_metadata")
+    starts = lines.where("_metadata.file_block_start = 0").groupBy("_metadata.file_path")
+    first = starts.agg(F.min_by(F.rtrim("value"), "at").alias("line"))
+    low, high = first.agg(F.min("line"), F.max("line")).first()
+    if low != high:
+        raise ValueError(f"CSV files of {path} differ in their headers: {low!r}, {high!r}")
+
+
 def read_csv(
     spark: SparkSession,
     path: str,
@@ -79,6 +78,8 @@ def read_csv(
     Without a ``schema`` all cells are read as text and one aggregate over the
     table decides every column type; a given schema skips that pass.  Set
     ``multiline`` for quoted line breaks: such a file is read by one task.
+
+    All files of a folder must have the same header, or reading them raises.
     """
     _require_path(spark, path, "CSV")
     reader = spark.read.option("quote", '"').option("escape", '"').option("multiLine", multiline)
@@ -89,6 +90,7 @@ def read_csv(
     # Columns go by position until the end: headers may differ in case only.
     places = [f"c{i}" for i in range(len(names))]
     text = T.StructType([T.StructField(p, T.StringType()) for p in places])
+    _require_one_header(spark, path)
     cells = reader.option("header", True).option("enforceSchema", True).schema(text).csv(path)
     cells = cells.select(*[markers_to_null(F.col(p)).alias(p) for p in places])
     if schema is None:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -19,6 +20,7 @@ def make_session() -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", "file:" + tempfile.mkdtemp(prefix="cohort-tests-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

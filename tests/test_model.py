@@ -73,13 +73,38 @@ def test_numeric_table_needs_no_preprocessor(spark):
     assert out.where("proba_1 >= 0.5").count() == df.where("y").count()
 
 
+def test_prediction_reads_the_columns_of_the_training(spark, tmp_path):
+    row = F.col("id")
+    df = spark.range(400).select(
+        "id", (row % 5).alias("y_x"), (row % 7).alias("a"), (row % 7 > 3).alias("y"), (row % 3).alias("b")
+    )
+    found = cohort.train_model(df, target="y", fit_on=None, n_estimators=20)
+    assert found.feature_names == ["a", "b"] and found.metrics["accuracy"] == 1.0
+    cohort.save_model(found.model, str(tmp_path / "m"))
+    moved = df.select("id", "b", "y_x", "a", "y")
+    for model in (found.model, cohort.load_model(str(tmp_path / "m"))):
+        out = cohort.predict_df(moved, model, target="y").join(df, "id")
+        assert out.where((F.col("pred") == 1) != F.col("y")).isEmpty()
+        with pytest.raises(ValueError, match="missing"):
+            cohort.predict_df(moved.drop("a"), model, target="y")
+    cohort.save_interim(moved, str(tmp_path / "t"))
+    scores = cohort.evaluate_file(
+        spark, str(tmp_path / "t"), str(tmp_path / "m"), str(tmp_path / "s"), target="y"
+    )
+    assert scores["accuracy"] == 1.0
+    with pytest.raises(FileNotFoundError):
+        cohort.load_model(str(tmp_path / "none"))
+    with pytest.raises(FileNotFoundError):
+        cohort.load_preprocessor(spark, str(tmp_path / "none"))
+
+
 def test_class_weights_balance(spark):
     df = spark.createDataFrame([(0,)] * 6 + [(1,)] * 2, "y int")
     assert {r["label"]: r["weight"] for r in cohort.class_weights(df, "y").collect()} == {0: 8 / 12, 1: 2.0}
 
 
 def test_guards(spark, table, training):
-    with pytest.raises(KeyError, match="Columns"):
+    with pytest.raises(KeyError, match="no target column"):
         require_target(table, "nope")
     with pytest.raises(ValueError, match="must not"):
         forbid_target(table, TARGET)

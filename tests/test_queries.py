@@ -4,8 +4,8 @@ import pytest
 from compare import connect, difference, kinds
 
 import __spark_entry__ as entry
-
-ROWS_ONLY = {"rf_train", "rf_predict", "rf_importances"}
+from cohort.checks.oracles import ORACLES
+from cohort.checks.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -13,12 +13,13 @@ def duck(folder):
     return connect(folder)
 
 
-def test_every_query_has_sql_except_the_forest():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == ROWS_ONLY
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - ROWS_ONLY))
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
 def test_query_matches_sql(name, spark, folder, duck):
     df = entry.queries()[name](spark, folder)
     relation = duck.sql(entry.oracle_sql()[name])

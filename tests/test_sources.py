@@ -51,6 +51,16 @@ def test_every_null_marker(spark, tmp_path):
     assert [r["k"] for r in df.where("v is not null").collect()] == [99]
 
 
+def test_files_of_a_folder_share_one_header(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "1.csv").write_text("a,b\n1,2\n")
+    (tmp_path / "d" / "2.csv").write_text("a,b\r\n3,4\r\n")
+    assert sorted(read_csv(spark, str(tmp_path / "d")).collect()) == [(1, 2), (3, 4)]
+    (tmp_path / "d" / "3.csv").write_text("b,a\n6,5\n")
+    with pytest.raises(ValueError, match="headers"):
+        read_csv(spark, str(tmp_path / "d"))
+
+
 def test_repeated_and_blank_headers(spark, tmp_path):
     path = csv(tmp_path, "a,a,,A,a.1,a\n1,2,3,4,5,6\n")
     assert read_csv(spark, path).columns == pd.read_csv(path).columns.tolist()
