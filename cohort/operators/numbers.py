@@ -83,6 +83,8 @@ class _Search:
         return self.column, self.above, self.below
 
     def within(self, value: Column) -> Column:
+        if self.above is None and self.below is None:
+            return value
         inside = value.isNotNull()
         if self.above is not None:
             inside = inside & (value > self.above)
@@ -242,19 +244,18 @@ def _narrow(
         ranks: dict[tuple, list[int]] = {}
         for s in few:
             ranks.setdefault(s.interval, []).append(s.rank - s.base)
-        wanted = F.lit(None).cast("array<int>")
+        wanted = F.lit(False)
         for i, interval in enumerate(few_intervals):
-            wanted = F.when(F.col("place") == i, F.lit(ranks[interval])).otherwise(wanted)
+            wanted = wanted | ((F.col("place") == i) & F.col("pos").isin(ranks[interval]))
         lists = _cells(numbers, few_intervals.values()).groupBy("place").agg(
-            F.array_sort(F.collect_list("x")).alias("xs")
+            F.sort_array(F.collect_list("x")).alias("xs")
         )
-        picked = lists.select("place", F.transform(wanted, lambda k: F.get("xs", k)).alias("xs"))
-        fetched = {r["place"]: r["xs"] for r in picked.collect()}
-        for i, interval in enumerate(few_intervals):
-            found = dict(zip(ranks[interval], fetched[i]))
-            for s in few:
-                if s.interval == interval:
-                    s.answer = found[s.rank - s.base]
+        # The list is sorted once, as exploding it is a step of its own.
+        picked = lists.select("place", F.posexplode("xs").alias("pos", "x")).where(wanted)
+        fetched = {(r["place"], r["pos"]): r["x"] for r in picked.collect()}
+        places = {interval: i for i, interval in enumerate(few_intervals)}
+        for s in few:
+            s.answer = fetched[places[s.interval], s.rank - s.base]
     if not many:
         return
 
@@ -283,7 +284,7 @@ def _narrow(
             F.count_if((x > s.left) & (x < s.right)).alias(f"b{i}"),
             (F.count_if(x == s.right) if s.right > s.left else F.lit(0)).alias(f"h{i}"),
         ]
-    row = _only(numbers, many_intervals.values()).agg(*counts).first()
+    row = numbers.agg(*counts).first()
     order = {bracket: i for i, bracket in enumerate(brackets)}
     for s in many:
         i = order[s.interval, s.left, s.right]
@@ -295,20 +296,21 @@ def _cells(numbers: DataFrame, searches: Iterable[_Search]) -> DataFrame:
 
     Grouped by place, different lists and sketches are merged by different tasks.
     """
-    searches = list(searches)
     entries = [
         F.struct(F.lit(i).alias("place"), s.within(F.col(s.column)).alias("x"))
         for i, s in enumerate(searches)
     ]
-    return _only(numbers, searches).select(F.inline(F.array(*entries))).where("x is not null")
+    return numbers.select(F.inline(F.array(*entries))).where("x is not null")
 
 
 def _only(numbers: DataFrame, searches: Iterable[_Search]) -> DataFrame:
-    """The rows that at least one interval needs."""
-    needed = F.lit(False)
-    for s in searches:
-        needed = needed | s.within(F.col(s.column)).isNotNull()
-    return numbers.where(needed)
+    """The rows that at least one interval needs.
+
+    Asked of an array: a long chain of OR is slow to plan, as Spark tries to
+    turn it into its conjunctive form.
+    """
+    found = F.array(*[s.within(F.col(s.column)) for s in searches])
+    return numbers.where(F.exists(found, lambda x: x.isNotNull()))
 
 
 def _chunks(items: list, size: int) -> Iterable[list]:
