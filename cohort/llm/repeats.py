@@ -389,60 +389,51 @@ def shared_length(a: bytes, b: bytes) -> int:
 
 
 def sorted_neighbours(rows: DataFrame, ahead: str, behind: str) -> DataFrame:
-    """``rows`` (gram_hash, left, right, ...) plus three lengths from a global sort.
+    """``rows`` (gram_hash, left, right, ...) plus what each shares with its neighbours.
 
     Sorted by gram, ``ahead`` and ``behind``, the row that shares most of ``ahead``
-    with a row stands next to it: ``<ahead>_reach`` is that length.  Rows with all of
-    ``ahead`` in common stand together, so ``<ahead>_alike`` is the most of ``behind``
-    that such a row shares, -1 without one, and ``<ahead>_before`` what the row before
-    shares of it.  Of the first and last row of a partition one neighbour is unknown:
-    the first length is then the most it can be, the others the least.
+    with a row stands next to it.  ``by_<ahead>`` lists four lengths: what the row
+    before shares of ``left`` and of ``right``, then the same of the row after.  They
+    are -1 where a partition begins or ends, 0 where another gram does.
     """
-    added = [f"{ahead}_reach", f"{ahead}_alike", f"{ahead}_before"]
+    added = f"by_{ahead}"
     kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
     columns = list(rows.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        before = None  # (gram, ahead, behind) of the last row that was seen
-        held = None  # its batch of one row, reach and alike so far
+        last = None  # (gram, left, right) of the last row that was seen
+        held = None  # its batch of one row
+        before = unknown = (-1, -1)
 
-        def out(batch, *lengths):
-            return pa.RecordBatch.from_arrays(
-                [*batch.columns, *[pa.array(x, pa.int32()) for x in lengths]],
-                names=[*columns, *added],
-            )
+        def out(batch, lengths):
+            shared = pa.array(lengths, pa.list_(pa.int32()))
+            return pa.RecordBatch.from_arrays([*batch.columns, shared], names=[*columns, added])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = list(zip(*[batch.column(columns.index(c)).to_pylist() for c in ("gram_hash", ahead, behind)]))
-            far, same, prior = [0] * len(keys), [-1] * len(keys), [-1] * len(keys)
-            if before is None:
-                far[0] = len(keys[0][1])
-            for i, (gram, front, back) in enumerate(keys):
-                if before is not None and before[0] == gram:
-                    length = shared_length(before[1], front)
-                    both = shared_length(before[2], back) if before[1] == front else -1
-                    far[i], same[i], prior[i] = max(far[i], length), both, both
-                    if i:
-                        far[i - 1], same[i - 1] = max(far[i - 1], length), max(same[i - 1], both)
-                    else:
-                        held[1][0], held[2][0] = max(held[1][0], length), max(held[2][0], both)
-                before = keys[i]
+            lengths = []
+            for key in zip(*[batch.column(columns.index(c)).to_pylist() for c in ("gram_hash", "left", "right")]):
+                if last is not None:
+                    same = last[0] == key[0]
+                    common = (
+                        (shared_length(last[1], key[1]), shared_length(last[2], key[2])) if same else (0, 0)
+                    )
+                    lengths.append([*before, *common])
+                    before = common
+                last = key
             if held is not None:
-                yield out(*held)
-            n = len(keys) - 1
-            if n:
-                yield out(batch.slice(0, n), far[:n], same[:n], prior[:n])
-            held = [batch.slice(n), far[n:], same[n:], prior[n:]]
+                yield out(held, lengths[:1])
+                lengths = lengths[1:]
+            yield out(batch.slice(0, len(lengths)), lengths)
+            held = batch.slice(len(lengths))
         if held is not None:
-            held[1][0] = len(before[1])
-            yield out(*held)
+            yield out(held, [[*before, *unknown]])
 
     return (
         rows.repartitionByRange("gram_hash", ahead, behind)
         .sortWithinPartitions("gram_hash", ahead, behind)
-        .mapInArrow(run, kind + "".join(f", {name} int" for name in added))
+        .mapInArrow(run, f"{kind}, {added} array<int>")
     )
 
 
@@ -450,12 +441,13 @@ def crowded_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
     """doc_id, version, first, end for grams with too many contexts for one index.
 
     A string through the gram has x bytes on the left of it and the rest on the
-    right.  Two global sorts, by left and by right, tell for each context how far
-    any other agrees on either side, which bounds x, and how far one agrees that
-    is equal on all of the other side, which settles a range of x at once.  The
-    strings between the two bounds are counted by hash; a string that the row before
-    has too, in either sort, is settled and left to that row, so nearly all that are
-    counted differ.
+    right.  All strings of one context hold its gram, so they cover what those of
+    the least and greatest repeated x cover, and any x between the two is settled.
+    Two global sorts, by left and by right, tell for each context how far any other
+    agrees on either side, which bounds x, and what its neighbours share of both
+    sides, which settles ranges of x.  The strings between the bounds are counted by
+    hash; one that an earlier neighbour has too is settled and left to that row.
+    Earlier means by left, then right, in either sort, so some row counts the string.
     """
     span = length - gram
 
@@ -486,37 +478,37 @@ def crowded_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_digest
 
-        names = ("pos", "left", "right", "left_reach", "left_alike", "left_before",
-                 "right_reach", "right_alike", "right_before")
+        names = ("pos", "left", "right", "by_left", "by_right")
         for batch in batches:
             at, first, end, offset, digests = [], [], [], [], []
-            for row, (pos, left, right, far_l, same_l, prior_l, far_r, same_r, prior_r) in enumerate(
+            for row, (pos, left, right, by_left, by_right) in enumerate(
                 zip(*[batch.column(c).to_pylist() for c in names])
             ):
-                least = span - (len(right) - gram)  # less on the left needs more on the right
-                settled = []
-                # Equal on the right: up to as many bytes as the left has in common.
-                settled.append((max(0, least), min(same_r, span)))
-                # Equal on the left: from where the common right is enough.
-                settled.append((max(0, span - (same_l - gram)) if same_l >= gram else span + 1,
-                                min(len(left), span)))
+                near = [by_left[:2], by_left[2:], by_right[:2], by_right[2:]]
+                # Less on the left needs more on the right.
+                settled = [(max(0, span + gram - r), min(l, span)) for l, r in near]
                 settled = [(a, b) for a, b in settled if a <= b]
-                for a, b in settled:
+                least = min([a for a, _ in settled], default=span + 1)
+                most = max([b for _, b in settled], default=-1)
+                if settled:
                     at.append(row)
-                    first.append(pos - b)
-                    end.append(pos - a + length)
+                    first.append(pos - most)
+                    end.append(pos - least + length)
                     offset.append(None)
                     digests.append(None)
-                low = max(0, least, span - (far_r - gram))
-                for x in range(low, min(far_l, len(left), span) + 1):
-                    if x <= prior_r or span - x <= prior_l - gram:
+                lefts, rights = (by_left[0], by_left[2]), (by_right[1], by_right[3])
+                far_l = len(left) if -1 in lefts else max(lefts)
+                far_r = len(right) if -1 in rights else max(rights)
+                for x in range(max(0, span + gram - far_r), min(far_l, span) + 1):
+                    if x <= by_left[0] and span + gram - x <= by_left[1]:
                         continue  # the row before has this string
+                    if x <= by_right[0] and by_right[1] == len(right):
+                        continue  # and so has one that is equal on the right
                     string = left[:x][::-1] + right[: length - x]
-                    known = any(a <= x <= b for a, b in settled)
                     at.append(row)
                     first.append(pos - x)
                     # Settled strings are there to be met by open ones only.
-                    end.append(None if known else pos - x + length)
+                    end.append(None if least <= x <= most else pos - x + length)
                     offset.append(x)
                     digests.append(int.from_bytes(xxh64_digest(string), "little", signed=True))
             rows_of = pa.array(at, pa.int64())
