@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohort.llm.shared import documents, id_type, materialize, slices
+from cohort.llm.shared import attach, documents, id_type, materialize, slices
 
 LENGTH, GRAM = 200, 32
 #: Contexts of one gram that one task indexes.
@@ -437,6 +437,39 @@ def sorted_neighbours(rows: DataFrame, ahead: str, behind: str) -> DataFrame:
     )
 
 
+_SIDES = ["left", "right", "by_left", "by_right"]
+
+
+def _columns(batch: pa.RecordBatch, *names: str) -> Iterator[tuple]:
+    return zip(*[batch.column(batch.schema.get_field_index(c)).to_pylist() for c in names])
+
+
+def context_strings(
+    left: bytes, right: bytes, by_left: list[int], by_right: list[int], span: int, gram: int
+) -> tuple[int, int, list[int]]:
+    """Least and greatest settled x, and every x that may repeat and is this row's to count."""
+    near = [by_left[:2], by_left[2:], by_right[:2], by_right[2:]]
+    # Less on the left needs more on the right.
+    settled = [(max(0, span + gram - r), min(l, span)) for l, r in near]
+    settled = [(a, b) for a, b in settled if a <= b]
+    least = min([a for a, _ in settled], default=span + 1)
+    most = max([b for _, b in settled], default=-1)
+    lefts, rights = (by_left[0], by_left[2]), (by_right[1], by_right[3])
+    far_l = len(left) if -1 in lefts else max(lefts)
+    far_r = len(right) if -1 in rights else max(rights)
+    # The row before has these strings, and so has one that is equal on the right.
+    before = range(span + gram - by_left[1], by_left[0] + 1)
+    equal = by_right[0] if by_right[1] == len(right) else -1
+    possible = range(max(0, span + gram - far_r), min(far_l, span) + 1)
+    return least, most, [x for x in possible if x not in before and x > equal]
+
+
+def string_digest(left: bytes, right: bytes, x: int, length: int) -> int:
+    from xxhash import xxh64_digest
+
+    return int.from_bytes(xxh64_digest(left[:x][::-1] + right[: length - x]), "little", signed=True)
+
+
 def crowded_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
     """doc_id, version, first, end for grams with too many contexts for one index.
 
@@ -445,8 +478,9 @@ def crowded_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
     the least and greatest repeated x cover, and any x between the two is settled.
     Two global sorts, by left and by right, tell for each context how far any other
     agrees on either side, which bounds x, and what its neighbours share of both
-    sides, which settles ranges of x.  The strings between the bounds are counted by
-    hash; one that an earlier neighbour has too is settled and left to that row.
+    sides, which settles ranges of x.  The open strings between the bounds are counted
+    by hash, and with them the settled strings of the same gram and x, which they may
+    equal.  One that an earlier neighbour has too is settled and left to that row.
     Earlier means by left, then right, in either sort, so some row counts the string.
     """
     span = length - gram
@@ -473,66 +507,69 @@ def crowded_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
         "crowded-sides",
     )
     by_left = materialize(sorted_neighbours(rows, "left", "right"), "crowded-by-left")
-    both = sorted_neighbours(by_left, "right", "left")
-
-    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from xxhash import xxh64_digest
+    both = materialize(sorted_neighbours(by_left, "right", "left"), "crowded-by-both")
+    string = "gram_hash long, offset int, string_hash long"
 
-        names = ("pos", "left", "right", "by_left", "by_right")
+    def hulls(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The settled strings of each context as one span, and its open strings."""
         for batch in batches:
-            at, first, end, offset, digests = [], [], [], [], []
-            for row, (pos, left, right, by_left, by_right) in enumerate(
-                zip(*[batch.column(c).to_pylist() for c in names])
-            ):
-                near = [by_left[:2], by_left[2:], by_right[:2], by_right[2:]]
-                # Less on the left needs more on the right.
-                settled = [(max(0, span + gram - r), min(l, span)) for l, r in near]
-                settled = [(a, b) for a, b in settled if a <= b]
-                least = min([a for a, _ in settled], default=span + 1)
-                most = max([b for _, b in settled], default=-1)
-                if settled:
-                    at.append(row)
-                    first.append(pos - most)
-                    end.append(pos - least + length)
-                    offset.append(None)
-                    digests.append(None)
-                lefts, rights = (by_left[0], by_left[2]), (by_right[1], by_right[3])
-                far_l = len(left) if -1 in lefts else max(lefts)
-                far_r = len(right) if -1 in rights else max(rights)
-                for x in range(max(0, span + gram - far_r), min(far_l, span) + 1):
-                    if x <= by_left[0] and span + gram - x <= by_left[1]:
-                        continue  # the row before has this string
-                    if x <= by_right[0] and by_right[1] == len(right):
-                        continue  # and so has one that is equal on the right
-                    string = left[:x][::-1] + right[: length - x]
-                    at.append(row)
-                    first.append(pos - x)
-                    # Settled strings are there to be met by open ones only.
-                    end.append(None if least <= x <= most else pos - x + length)
-                    offset.append(x)
-                    digests.append(int.from_bytes(xxh64_digest(string), "little", signed=True))
-            rows_of = pa.array(at, pa.int64())
+            rows_at, spans = [], []
+            for row, (pos, *sides_of) in enumerate(_columns(batch, "pos", *_SIDES)):
+                least, most, strings = context_strings(*sides_of, span, gram)
+                if least <= most:
+                    rows_at.append(row)
+                    spans.append((pos - most, pos - least + length, None, None))
+                for x in strings:
+                    if not least <= x <= most:
+                        rows_at.append(row)
+                        digest = string_digest(*sides_of[:2], x, length)
+                        spans.append((pos - x, pos - x + length, x, digest))
+            first, end, offset, digests = zip(*spans) if spans else ((), (), (), ())
+            at = pa.array(rows_at, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
-                    *[batch.column(c).take(rows_of) for c in ("gram_hash", "doc_id", "version")],
+                    *[batch.column(batch.schema.get_field_index(c)).take(at) for c in ("gram_hash", *_ROW)],
                     pa.array(first, pa.int32()), pa.array(end, pa.int32()),
                     pa.array(offset, pa.int32()), pa.array(digests, pa.int64()),
                 ],
-                names=["gram_hash", "doc_id", "version", "first", "end", "offset", "string_hash"],
+                names=["gram_hash", *_ROW, "first", "end", "offset", "string_hash"],
             )
 
     stored = materialize(
         both.mapInArrow(
-            settle,
+            hulls,
             f"gram_hash long, doc_id {id_kind}, version int, first int, end int, offset int, "
             "string_hash long",
         ),
         "crowded-spans",
     )
+    opened = stored.filter(F.col("offset").isNotNull())
+
+    def met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The settled strings that open ones may equal."""
+        for batch in batches:
+            found_strings = []
+            for gram_hash, offsets, *sides_of in _columns(batch, "gram_hash", "offsets", *_SIDES):
+                least, most, strings = context_strings(*sides_of, span, gram)
+                for x in set(offsets).intersection(strings):
+                    if least <= x <= most:
+                        digest = string_digest(*sides_of[:2], x, length)
+                        found_strings.append((gram_hash, x, digest))
+            grams, offset, digests = zip(*found_strings) if found_strings else ((), (), ())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(grams, pa.int64()), pa.array(offset, pa.int32()), pa.array(digests, pa.int64())],
+                names=["gram_hash", "offset", "string_hash"],
+            )
+
+    # At most span + 1 offsets a gram.
+    offsets = opened.groupBy("gram_hash").agg(F.collect_set("offset").alias("offsets"))
+    sizes = both.groupBy("gram_hash").agg(F.count(F.lit(1)).alias("n"))
+    asked = materialize(sizes.join(offsets, "gram_hash"), "crowded-offsets")
+    known = attach(both, asked, ["gram_hash"], "n").select("gram_hash", "offsets", *_SIDES)
     key = ["gram_hash", "offset", "string_hash"]
-    strings = stored.filter(F.col("offset").isNotNull())
+    strings = opened.select(*key).unionByName(known.mapInArrow(met, string))
     twice = strings.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    counted = strings.filter(F.col("end").isNotNull()).join(twice, key).select(*_ROW, "first", "end")
+    counted = opened.join(twice, key).select(*_ROW, "first", "end")
     return stored.filter(F.col("offset").isNull()).select(*_ROW, "first", "end").unionByName(counted)
 
 
