@@ -32,9 +32,7 @@ log = logging.getLogger(__name__)
 # Fixed value: the category given to a column without any value.
 MISSING_LABEL = "missing"
 
-WIDE_COLUMNS = 1_000
 LISTED_CATEGORIES = 100_000
-BROADCAST_CATEGORIES = 1_000_000
 
 
 def infer_columns(df: DataFrame) -> tuple[list[str], list[str]]:
@@ -146,12 +144,15 @@ class PreprocessorModel:
         return F.coalesce(category_text(df, step.name), F.lit(step.fill))
 
     def transform_df(
-        self, df: DataFrame, *, keep: Sequence[str] = (), max_columns: int = WIDE_COLUMNS
+        self, df: DataFrame, *, keep: Sequence[str] = (), max_columns: int | None = None
     ) -> DataFrame:
-        """One double column per feature, after the columns to keep."""
+        """One double column per feature, after the columns to keep.
+
+        More of them than ``max_columns``, if given, is an error.
+        """
         self._check(df)
         width = len(self.numeric) + self.size
-        if width > max_columns:
+        if max_columns is not None and width > max_columns:
             raise ValueError(
                 f"{width} feature columns exceed {max_columns}; "
                 "use transform_vector or transform_long"
@@ -210,9 +211,8 @@ class PreprocessorModel:
                 )
                 for i, s in enumerate(self.categorical)
             ]
+            # A stored table: Spark broadcasts it if its bytes are few.
             known = self.table.select("place", "category")
-            if self.size <= BROADCAST_CATEGORIES:
-                known = F.broadcast(known)
             hot = df.select(quoted(key), F.inline(F.array(*entries))).join(
                 known, ["place", "category"], "left_semi"
             )
@@ -387,8 +387,14 @@ def build_preprocessor(
 make_preprocessor = build_preprocessor
 
 
-def transform_df(df: DataFrame, model: PreprocessorModel, *, keep: Sequence[str] = ()) -> DataFrame:
-    return model.transform_df(df, keep=keep)
+def transform_df(
+    df: DataFrame,
+    model: PreprocessorModel,
+    *,
+    keep: Sequence[str] = (),
+    max_columns: int | None = None,
+) -> DataFrame:
+    return model.transform_df(df, keep=keep, max_columns=max_columns)
 
 
 def get_feature_names_after_preprocessor(model: PreprocessorModel) -> list[str]:

@@ -86,13 +86,26 @@ def test_save_and_load(spark, table, fitted, tmp_path):
     assert transform_df(table, again).collect() == transform_df(table, fitted).collect()
 
 
-def test_too_many_categories_still_encode_in_long_form(table, monkeypatch):
+def test_too_many_categories_still_encode_in_long_form(spark, table, monkeypatch):
     monkeypatch.setattr(preprocess, "LISTED_CATEGORIES", 2)
-    monkeypatch.setattr(preprocess, "BROADCAST_CATEGORIES", 0)
     model = fit_preprocessor(table, numeric_cols=[], categorical_cols=["c", "b"])
     with pytest.raises(ValueError, match="long"):
         model.transform_df(table)
-    assert model.transform_long(table, key="id").count() == 10
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for threshold in (broadcast, "-1"):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+            assert model.transform_long(table, key="id").count() == 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+
+
+def test_many_columns_need_no_option(spark):
+    rows = spark.range(1_200).select("id", F.concat(F.lit("v"), "id").alias("c"))
+    model = fit_preprocessor(rows, numeric_cols=[], categorical_cols=["c"])
+    assert len(transform_df(rows, model, keep=["id"]).columns) == 1_201
+    with pytest.raises(ValueError, match="exceed"):
+        transform_df(rows, model, max_columns=1_000)
 
 
 def test_width_limit(table, fitted):
