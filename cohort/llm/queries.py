@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from cohort.llm.collocations import collocations
 from cohort.llm.embedding_dedup import embedding_dedup
 from cohort.llm.exact_dedup import exact_dedup
 from cohort.llm.language_id import identify_language
@@ -95,6 +96,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "mix_repeats", "mix_copy", "mix_key")
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op12_collocations": op12_collocations,
 }
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -173,4 +179,42 @@ ORACLES: dict[str, str] = {
                md5('mix-1:order:' || doc_id || ':' || mix_copy) AS mix_key
         FROM e
     """,
+    "op12_collocations": f"""
+        WITH p AS (
+            SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+                {_LOWER.format("coalesce(text, '')")}, '[.,;:!?\\x0A-\\x0D]')), '[^ \\t]+') AS words
+            FROM documents
+        ), totals AS (
+            SELECT lang, sum(len(words))::BIGINT AS n FROM p GROUP BY lang
+        ), g AS (
+            SELECT lang, k, words, unnest(range(1, len(words) - k + 2)) AS i
+            FROM p, range(1, 6) AS t(k)
+        ), f AS (
+            SELECT lang, k, array_to_string(words[i:i + k - 1], ' ') AS phrase, count(*) AS a
+            FROM g GROUP BY ALL HAVING count(*) >= 100
+        ), c AS (
+            SELECT *, string_split(phrase, ' ') AS words, unnest(range(1, k)) AS cut FROM f WHERE k > 1
+        ), scored AS (
+            SELECT c.lang, c.phrase, c.a, x.a AS l, y.a AS r, n, cut,
+                   ((1000::HUGEINT * c.a * n) // (x.a::HUGEINT * y.a))::BIGINT AS score
+            FROM c JOIN totals USING (lang)
+            JOIN f AS x ON x.lang = c.lang AND x.phrase = array_to_string(words[1:cut], ' ')
+            JOIN f AS y ON y.lang = c.lang AND y.phrase = array_to_string(words[cut + 1:], ' ')
+        ), low AS (
+            SELECT * FROM scored
+            QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1
+        ), inside AS (
+            SELECT f.lang, f.a, string_split(f.phrase, ' ') AS words, s, m
+            FROM f, range(1, 5) AS t(s), range(2, 5) AS u(m) WHERE m < f.k AND s + m - 1 <= f.k
+        ), covered AS (
+            SELECT lang, array_to_string(words[s:s + m - 1], ' ') AS phrase, max(a) AS longer
+            FROM inside GROUP BY ALL
+        ), kept AS (
+            SELECT low.* FROM low LEFT JOIN covered USING (lang, phrase)
+            WHERE longer IS NULL OR longer < a
+        )
+        SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+               phrase, a, l, r, n, score
+        FROM kept QUALIFY rank <= 2000
+    """,
 }
