@@ -1,19 +1,19 @@
 """Phrase collocations by partitioned mining (SON).
 
-A phrase that a language has ``support`` times or more has, in one shard of the
-texts at least, that share of ``support`` which the shard has of the language's
-bytes.  So each shard is mined completely, level by level, at its lowered support;
-what is frequent in any shard is the union of candidates; a second pass counts all
-candidates exactly and adds the counts up over all shards.
-
-The union can be large, so tasks do not hold it.  They test phrases against a
-Bloom filter of it that has a bounded size.  The filter lets every candidate pass,
-so whatever reaches ``support`` is counted in full; what passes by chance is counted
-in full as well and dropped by its count.
-
-A shard is a run of texts of one task, ``SHARD_BYTES`` long at most.  When a corpus
-has more shards than ``support``, the lowered support is 1: results stay exact, but
-the first pass no longer thins the phrases out.
+The texts are dealt into ``SHARDS`` parts by their hashes.  A phrase that a language
+has ``support`` times or more has, in one part at least, that share of ``support``
+which the part has of the language's bytes.  So each part is mined completely at its
+lowered support; what is frequent in any part is the union of candidates; another
+pass counts all candidates exactly and adds the counts up over all parts.
+
+The number of parts is fixed, as with parts of a fixed size the lowered support would
+fall to 1 in a large corpus, and all phrases would be candidates.  A part is thus too
+large for one task.  It is mined by two passes: tasks add up its words and pairs, and
+the sums meet by (part, phrase); then the phrases of three words and more all of
+whose pairs are frequent.  Tasks do not hold what was found before: they test phrases
+against a Bloom filter that has a bounded size.  The filter lets every frequent
+phrase pass, so what reaches ``support`` is counted in full; what passes by chance is
+counted in full as well and dropped by its count.
 """
 
 from __future__ import annotations
@@ -31,11 +31,13 @@ from cohort.llm.shared import materialize
 
 SUPPORT, WORDS, TOP = 100, 5, 2_000
 UNDETERMINED = "und"
-#: Bytes of text that a task mines as one shard, and that it cuts into words at a time.
-SHARD_BYTES, CHUNK_BYTES = 40_000_000, 1_000_000
+#: Parts of the corpus, each with its lowered support.
+SHARDS = 8
+#: Bytes of text whose phrases a task adds up, and that it cuts into words at a time.
+UNIT_BYTES, CHUNK_BYTES = 24_000_000, 1_000_000
 #: Bits of the filter per candidate, and at most (32 MB).
 BITS_EACH, MOST_BITS = 16, 1 << 28
-#: Languages whose sizes tasks are told; a shard mines the others at support 1.
+#: Languages whose sizes tasks are told; the others are mined at support 1.
 LANGUAGES = 1_000
 #: Rows that one task ranks at first.
 RANKED = 100_000
@@ -60,19 +62,18 @@ class _Vocabulary(dict):
         return number
 
 
-class Shard:
-    """The texts of one language in one shard as numbers of words."""
+class Unit:
+    """Texts of one language that a task holds, as numbers of words."""
 
     def __init__(self) -> None:
         self.vocabulary = _Vocabulary()
         self.parts: list[np.ndarray] = []
         self.held: list[bytes] = []
-        self.waiting = self.size = 0
+        self.waiting = 0
 
     def add(self, text: bytes) -> None:
         self.held.append(text)
         self.waiting += len(text)
-        self.size += len(text)
         if self.waiting >= CHUNK_BYTES:
             self._cut()
 
@@ -157,40 +158,69 @@ def phrases(
         alive = alive[good[inverse]]
 
 
-def _shards(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[dict[str, Shard]]:
-    """The shards of one task, by language."""
-    found: dict[str, Shard] = defaultdict(Shard)
+def _units(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[dict[tuple, Unit]]:
+    """The texts of one task by all columns but the last, ``limit`` bytes at a time."""
+    found: dict[tuple, Unit] = defaultdict(Unit)
     size = 0
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            found[lang].add(text)
+        *keys, texts = (c.to_pylist() for c in batch.columns)
+        for key, text in zip(zip(*keys), texts):
+            found[key].add(text)
             size += len(text)
             if size >= limit:
                 yield found
-                found, size = defaultdict(Shard), 0
+                found, size = defaultdict(Unit), 0
     if found:
         yield found
 
 
-def mine(texts: DataFrame, support: int, most: int, shard_bytes: int) -> DataFrame:
-    """hash: the phrases that are frequent in a shard, by the hash the filter uses."""
-    sizes = texts.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("size"))
-    top = sizes.orderBy(F.desc("size"), "lang").limit(LANGUAGES).collect()
-    total = {r["lang"]: r["size"] for r in top}
+def lowered(texts: DataFrame, support: int) -> dict[tuple[int, str], int]:
+    """The support of each part and language, for the largest languages."""
+    sizes = texts.groupBy("lang", "shard").agg(F.sum(F.octet_length("text")).alias("size"))
+    sizes = materialize(sizes, "language-sizes")
+    top = sizes.groupBy("lang").agg(F.sum("size").alias("total")).orderBy(F.desc("total"), "lang").limit(LANGUAGES)
+    return {
+        (r["shard"], r["lang"]): max(1, -(-support * r["size"] // max(1, r["total"])))
+        for r in sizes.join(top, "lang").collect()
+    }
+
+
+def mine(
+    texts: DataFrame, least: dict[tuple[int, str], int], lengths: tuple[int, int],
+    known: PhraseFilter | None, unit_bytes: int,
+) -> DataFrame:
+    """hash: phrases of these lengths that are frequent in a part, by the filter's hash.
+
+    ``known`` holds the shorter ones; a phrase is looked at where all its parts are known.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast((least, known))
+    shortest, longest = lengths
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard in _shards(batches, shard_bytes):
-            for lang, own in shard.items():
+        least, known = shared.value
+        for units in _units(batches, unit_bytes):
+            for (shard, lang), own in units.items():
                 numbers = own.numbers()
-                least = max(1, -(-support * own.size // total[lang])) if total.get(lang) else 1
-                hashes = word_hashes(list(own.vocabulary))
-                keep = lambda length, at, counts: None if counts is None else counts >= least
-                for length, _, _, found in phrases(numbers, hashes, most, keep):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(mixed(found, lang, length).view(np.int64))], names=["hash"]
-                    )
 
-    return texts.mapInArrow(run, "hash long")
+                def keep(length, at, counts):
+                    if counts is not None:
+                        return np.ones(len(at), bool)
+                    return known(mixed(at, lang, length)) if length < shortest else None
+
+                for length, _, n, found in phrases(numbers, word_hashes(list(own.vocabulary)), longest, keep):
+                    if length >= shortest:
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                pa.array(np.full(len(n), shard, np.int32)),
+                                pa.array(mixed(found, lang, length).view(np.int64)), pa.array(n.astype(np.int64)),
+                                pa.array(np.full(len(n), least.get((shard, lang), 1), np.int64)),
+                            ],
+                            names=["shard", "hash", "n", "least"],
+                        )
+
+    found = texts.select("shard", "lang", "text").mapInArrow(run, "shard int, hash long, n long, least long")
+    frequent = found.groupBy("shard", "hash").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
+    return materialize(frequent.filter("n >= least").select("hash"), "local-phrases")
 
 
 def phrase_filter(hashes: DataFrame) -> PhraseFilter:
@@ -211,8 +241,8 @@ def phrase_filter(hashes: DataFrame) -> PhraseFilter:
     return PhraseFilter(words.view(np.uint64))
 
 
-def count(texts: DataFrame, known: PhraseFilter, most: int, shard_bytes: int) -> DataFrame:
-    """lang, phrase, k (words), n: occurrences in each shard of all that pass the
+def count(texts: DataFrame, known: PhraseFilter, most: int, unit_bytes: int) -> DataFrame:
+    """lang, phrase, k (words), n: occurrences in each task of all that pass the
     filter; rows with k = 0 have the number of all words."""
     shared_filter = texts.sparkSession.sparkContext.broadcast(known)
 
@@ -228,8 +258,8 @@ def count(texts: DataFrame, known: PhraseFilter, most: int, shard_bytes: int) ->
                 names=["lang", "phrase", "k", "n"],
             )
 
-        for shard in _shards(batches, shard_bytes):
-            for lang, own in shard.items():
+        for units in _units(batches, unit_bytes):
+            for (lang,), own in units.items():
                 numbers = own.numbers()
                 words = list(own.vocabulary)
 
@@ -244,7 +274,7 @@ def count(texts: DataFrame, known: PhraseFilter, most: int, shard_bytes: int) ->
                         ]
                         yield rows(lang, length, [b" ".join(p) for p in zip(*own_words)], n[a : a + 50_000])
 
-    return texts.mapInArrow(run, "lang string, phrase string, k int, n long")
+    return texts.select("lang", "text").mapInArrow(run, "lang string, phrase string, k int, n long")
 
 
 def _score(a: str, n: str, left: str, right: str) -> Column:
@@ -295,7 +325,8 @@ def collocations(
     words: int = WORDS,
     top: int = TOP,
     cover: int = 100,
-    shard_bytes: int = SHARD_BYTES,
+    shards: int = SHARDS,
+    unit_bytes: int = UNIT_BYTES,
 ) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the ``top`` phrases of each language.
 
@@ -311,13 +342,19 @@ def collocations(
     ids play no part, other columns are ignored.  An empty table, or one without
     frequent phrases, gives an empty result.
     """
+    text = F.coalesce(quoted(text_col).cast("string"), F.lit(""))
     texts = docs.select(
         F.coalesce(quoted(lang_col).cast("string"), F.lit(UNDETERMINED)).alias("lang"),
-        F.coalesce(quoted(text_col).cast("string"), F.lit("")).cast("binary").alias("text"),
+        F.pmod(F.xxhash64(text), F.lit(shards)).cast("int").alias("shard"),
+        text.cast("binary").alias("text"),
     )
-    known = phrase_filter(materialize(mine(texts, support, words, shard_bytes), "local-phrases"))
+    least = lowered(texts, support)
+    local = mine(texts, least, (1, 2), None, unit_bytes)
+    if words > 2:
+        local = local.unionByName(mine(texts, least, (3, words), phrase_filter(local), unit_bytes))
     found = materialize(
-        count(texts, known, words, shard_bytes).groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"))
+        count(texts, phrase_filter(local), words, unit_bytes)
+        .groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"))
         .filter((F.col("n") >= support) | (F.col("k") == 0)),
         "phrases",
     )

@@ -63,13 +63,13 @@ def made(rng):
     return rows + [(None, "en"), ("", None), (" \t ", "de"), (".,;", "xx"), ("word " * 3_000, "long")]
 
 
-@pytest.mark.parametrize("shard_bytes, support", [(40_000_000, 6), (500, 6), (1, 3), (2_000, 15)])
-def test_against_brute_force(spark, monkeypatch, shard_bytes, support):
+@pytest.mark.parametrize("unit_bytes, support", [(24_000_000, 6), (500, 6), (1, 3), (2_000, 15)])
+def test_against_brute_force(spark, monkeypatch, unit_bytes, support):
     monkeypatch.setattr(col, "RANKED", 20)
     rows = made(np.random.default_rng(5))
     df = spark.createDataFrame([(*r, 1, "x") for r in rows], "text string, lang string, n int, phrase string")
     for df_ in (df, df.repartition(5)):
-        got = col.collocations(df_, support=support, shard_bytes=shard_bytes).collect()
+        got = col.collocations(df_, support=support, unit_bytes=unit_bytes).collect()
         assert sorted(map(tuple, got)) == brute(rows, support)
 
 
@@ -90,7 +90,7 @@ def test_unknown_languages_are_mined_at_support_one(spark, monkeypatch):
     monkeypatch.setattr(col, "LANGUAGES", 1)
     rows = made(np.random.default_rng(7))
     df = spark.createDataFrame(rows, "text string, lang string")
-    got = col.collocations(df, support=5, shard_bytes=700).collect()
+    got = col.collocations(df, support=5, unit_bytes=700).collect()
     assert sorted(map(tuple, got)) == brute(rows, 5)
 
 
@@ -98,7 +98,7 @@ def test_full_filter_keeps_counts_exact(spark, monkeypatch):
     monkeypatch.setattr(col, "MOST_BITS", 1 << 7)
     rows = made(np.random.default_rng(8))
     df = spark.createDataFrame(rows, "text string, lang string")
-    got = col.collocations(df, support=5, shard_bytes=700).collect()
+    got = col.collocations(df, support=5, unit_bytes=700).collect()
     assert sorted(map(tuple, got)) == brute(rows, 5)
 
 
