@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohort.llm.collocations import collocations
 from cohort.llm.embedding_dedup import embedding_dedup
 from cohort.llm.exact_dedup import exact_dedup
+from cohort.llm.hard_negatives import hard_negatives
 from cohort.llm.language_id import identify_language
 from cohort.llm.license_scan import license_scan
 from cohort.llm.line_dedup import line_dedup
@@ -18,6 +19,7 @@ from cohort.llm.packing import pack_documents
 from cohort.llm.quality import classify_quality
 from cohort.llm.repeats import remove_repeats
 from cohort.llm.simhash import simhash_dedup
+from cohort.llm.topk_search import top_k
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -96,10 +98,20 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "mix_repeats", "mix_copy", "mix_key")
 
 
+def op11_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(_table(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(_table(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", moved), "vec_id % 100 = 0")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_packing": op2_packing,
@@ -111,10 +123,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_line_dedup": op9_line_dedup,
     "op10_mixing": op10_mixing,
+    "op11_topk_search": op11_topk_search,
     "op12_collocations": op12_collocations,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 _LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: Vectors as whole numbers (held by doubles, so that their products are exact).
+_WHOLE = """
+            SELECT vec_id, [floor({scale} * x::DOUBLE) FOR x IN embedding] AS x{more}
+            FROM embeddings
+            WHERE len(embedding) > 0
+                  AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+"""
 _SPACES = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 ORACLES: dict[str, str] = {
@@ -179,6 +200,16 @@ ORACLES: dict[str, str] = {
                md5('mix-1:order:' || doc_id || ':' || mix_copy) AS mix_key
         FROM e
     """,
+    "op11_topk_search": f"""
+        WITH v AS ({_WHOLE.format(scale=1024, more="")})
+        SELECT q.vec_id AS query_id,
+               row_number() OVER (
+                   PARTITION BY q.vec_id ORDER BY list_inner_product(q.x, v.x) DESC, v.vec_id
+               ) AS rank,
+               v.vec_id, list_inner_product(q.x, v.x)::BIGINT AS score
+        FROM v AS q JOIN v ON v.vec_id <> q.vec_id
+        WHERE q.vec_id % 100 = 0 QUALIFY rank <= 10
+    """,
     "op12_collocations": f"""
         WITH p AS (
             SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
@@ -217,4 +248,24 @@ ORACLES: dict[str, str] = {
                phrase, a, l, r, n, score
         FROM kept QUALIFY rank <= 2000
     """,
+    "op13_hard_negatives": f"""
+        WITH v AS ({_WHOLE.format(scale=256, more=", CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label")}
+            AND label IS NOT NULL
+        ), s AS (
+            SELECT a.vec_id AS anchor_id, v.vec_id, v.label = a.label AS same,
+                   list_inner_product(a.x, v.x)::BIGINT AS score
+            FROM v AS a JOIN v ON v.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0
+        ), p AS (
+            SELECT * FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+        )
+        SELECT anchor_id, p.vec_id AS positive_id,
+               row_number() OVER (
+                   PARTITION BY anchor_id, p.vec_id ORDER BY s.score DESC, s.vec_id
+               ) AS rank,
+               s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+        FROM p JOIN s USING (anchor_id)
+        WHERE NOT s.same AND 100 * s.score BETWEEN 30 * p.score AND 90 * p.score
+        QUALIFY rank <= 10
+    """,
 }

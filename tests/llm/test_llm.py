@@ -83,7 +83,7 @@ def test_sql(spark, name):
 
 
 def test_entry_registers_all():
-    assert {f"op{n}_" for n in range(1, 11)} == {re.match(r"op\d+_", q)[0] for q in queries.QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {re.match(r"op\d+_", q)[0] for q in queries.QUERIES}
     assert "pipeline" in entry.queries() and set(queries.QUERIES) <= set(entry.queries())
 
 
