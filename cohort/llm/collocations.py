@@ -8,18 +8,23 @@ pass counts all candidates exactly and adds the counts up over all parts.
 
 The number of parts is fixed, as with parts of a fixed size the lowered support would
 fall to 1 in a large corpus, and all phrases would be candidates.  A part is thus too
-large for one task.  It is mined by two passes: tasks add up its words and pairs, and
-the sums meet by (part, phrase); then the phrases of three words and more all of
-whose pairs are frequent.  Tasks do not hold what was found before: they test phrases
-against a Bloom filter that has a bounded size.  The filter lets every frequent
-phrase pass, so what reaches ``support`` is counted in full; what passes by chance is
-counted in full as well and dropped by its count.
+large for one task.  It is mined by two passes, first for words and pairs, then for
+the longer phrases all of whose pairs are frequent.  A task sorts the hashes of the
+phrases it reads and sends them on with their counts, packed by (part, range of
+hashes); where such a range meets, the runs are merged and counted.  Hashes have 32
+bits within their range: phrases that share one can only make a candidate too many.
+
+Tasks do not hold the candidates.  They test phrases against a Bloom filter that has
+a bounded size.  The filter lets every candidate pass, so what reaches ``support`` is
+counted in full; what passes by chance is counted in full as well and dropped by its
+count.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +39,9 @@ UNDETERMINED = "und"
 #: Parts of the corpus, each with its lowered support.
 SHARDS = 8
 #: Bytes of text whose phrases a task adds up, and that it cuts into words at a time.
-UNIT_BYTES, CHUNK_BYTES = 24_000_000, 1_000_000
+UNIT_BYTES, CHUNK_BYTES = 16_000_000, 1_000_000
+#: Phrases of one length whose hashes meet in one range, about.
+RANGE = 1 << 20
 #: Bits of the filter per candidate, and at most (32 MB).
 BITS_EACH, MOST_BITS = 16, 1 << 28
 #: Languages whose sizes tasks are told; the others are mined at support 1.
@@ -101,8 +108,11 @@ def mixed(hashes: np.ndarray, lang: str, length: int) -> np.ndarray:
     """Well spread hashes of phrases of one language and number of words."""
     from xxhash import xxh3_64_intdigest
 
-    x = hashes ^ np.uint64(xxh3_64_intdigest(lang.encode(), length))
-    x ^= x >> np.uint64(33)
+    return spread(hashes ^ np.uint64(xxh3_64_intdigest(lang.encode(), length)))
+
+
+def spread(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(33))
     x *= np.uint64(0xFF51AFD7ED558CCD)
     x ^= x >> np.uint64(33)
     x *= np.uint64(0xC4CEB9FE1A85EC53)
@@ -110,13 +120,15 @@ def mixed(hashes: np.ndarray, lang: str, length: int) -> np.ndarray:
 
 
 class PhraseFilter:
-    """A Bloom filter with two bits for each phrase."""
+    """A Bloom filter with two bits for each phrase, by the first ``bits`` of its hash."""
 
-    def __init__(self, words: np.ndarray) -> None:
+    def __init__(self, words: np.ndarray, bits: int) -> None:
         self.words = words
         self.mask = np.uint64(len(words) * 64 - 1)
+        self.drop = np.uint64(64 - bits)
 
     def __call__(self, x: np.ndarray) -> np.ndarray:
+        x = spread((x >> self.drop) << self.drop)
         return self._bit(x & self.mask) & self._bit((x >> np.uint64(32)) & self.mask)
 
     def _bit(self, at: np.ndarray) -> np.ndarray:
@@ -125,37 +137,48 @@ class PhraseFilter:
 
 
 def phrases(
-    numbers: np.ndarray, hashes: np.ndarray, most: int, keep
-) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """length, a place, the count and the hash of each phrase that is kept.
+    numbers: np.ndarray, hashes: np.ndarray, most: int, passes
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """length, a place and the count of each phrase that passes, and all of whose parts do.
 
-    Level by level: the places of a phrase are those where its first and its last
-    words, one less, were kept.  ``keep(length, hashes, counts)`` is asked twice:
-    with the hashes of places and no counts, and with those of counted phrases.
+    ``passes(length, hashes)`` says which do; ids of phrases are exact.
     """
-    size = len(hashes)
-    alive = np.flatnonzero(numbers)
-    ids = numbers.astype(np.int64)
-    rolled = hashes[numbers]
-    for length in range(1, most + 1):
-        if length > 1:
-            # Places follow each other where the phrase at the next place was kept too.
-            alive = alive[:-1][np.diff(alive) == 1] if len(alive) else alive
-            code = ids[alive] * size + numbers[alive + length - 1]
-            rolled = rolled[:-1] * _FACTOR + hashes[numbers[length - 1 :]]
-        else:
-            code = ids[alive]
-        passed = keep(length, rolled[alive], None)
-        if passed is not None:
-            alive, code = alive[passed], code[passed]
+    good = passes(1, hashes)
+    good[0] = False
+    counts = np.bincount(numbers, minlength=len(hashes))
+    found = np.flatnonzero(good & (counts > 0))
+    place = np.zeros(len(hashes), np.int64)
+    place[numbers[::-1]] = np.arange(len(numbers))[::-1]
+    yield 1, place[found], counts[found]
+    alive, ids, rolled = np.flatnonzero(good[numbers]), numbers.astype(np.int64), hashes[numbers]
+    for length in range(2, most + 1):
+        # Places follow each other where the phrase at the next place passed too.
+        alive = alive[:-1][np.diff(alive) == 1]
+        rolled = rolled[:-1] * _FACTOR + hashes[numbers[length - 1 :]]
+        alive = alive[passes(length, rolled[alive])]
         if not len(alive):
             return
+        code = ids[alive] * len(hashes) + numbers[alive + length - 1]
         _, place, inverse, counts = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-        at = alive[place]
-        good = keep(length, rolled[at], counts)
-        yield length, at[good], counts[good], rolled[at[good]]
+        yield length, alive[place], counts
         ids[alive] = inverse
-        alive = alive[good[inverse]]
+
+
+def occurrences(
+    numbers: np.ndarray, hashes: np.ndarray, lang: str, lengths: tuple[int, int], known: PhraseFilter | None
+) -> Iterator[np.ndarray]:
+    """The hashes of all phrases of these lengths whose parts of one word less, where
+    they are shorter than these lengths, are known."""
+    alive, rolled = np.flatnonzero(numbers), hashes[numbers]
+    for length in range(1, lengths[1] + 1):
+        if length > 1:
+            alive = alive[:-1][np.diff(alive) == 1]
+            rolled = rolled[:-1] * _FACTOR + hashes[numbers[length - 1 :]]
+        found = mixed(rolled[alive], lang, length)
+        if length >= lengths[0]:
+            yield found
+        elif known is not None:
+            alive = alive[known(found)]
 
 
 def _units(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[dict[tuple, Unit]]:
@@ -174,71 +197,111 @@ def _units(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[dict[tuple
         yield found
 
 
-def lowered(texts: DataFrame, support: int) -> dict[tuple[int, str], int]:
-    """The support of each part and language, for the largest languages."""
+def lowered(texts: DataFrame, support: int, shards: int) -> tuple[dict[tuple[int, str], int], int]:
+    """The support of each part and language, for the largest languages; and into how
+    many ranges (a power of 2) the hashes of a part are cut."""
     sizes = texts.groupBy("lang", "shard").agg(F.sum(F.octet_length("text")).alias("size"))
     sizes = materialize(sizes, "language-sizes")
     top = sizes.groupBy("lang").agg(F.sum("size").alias("total")).orderBy(F.desc("total"), "lang").limit(LANGUAGES)
-    return {
+    least = {
         (r["shard"], r["lang"]): max(1, -(-support * r["size"] // max(1, r["total"])))
         for r in sizes.join(top, "lang").collect()
     }
+    # A word takes 6 bytes, about.
+    words = (sizes.agg(F.sum("size")).first()[0] or 0) // 6
+    return least, 1 << min(31, (words // shards // RANGE).bit_length())
 
 
 def mine(
-    texts: DataFrame, least: dict[tuple[int, str], int], lengths: tuple[int, int],
+    texts: DataFrame, support: int, least: dict[tuple[int, str], int], ranges: int, lengths: tuple[int, int],
     known: PhraseFilter | None, unit_bytes: int,
 ) -> DataFrame:
-    """hash: phrases of these lengths that are frequent in a part, by the filter's hash.
+    """hash: the first bits of the hashes of phrases that are frequent in a part.
 
-    ``known`` holds the shorter ones; a phrase is looked at where all its parts are known.
+    Phrases have these lengths; ``known`` holds the shorter ones.
     """
     shared = texts.sparkSession.sparkContext.broadcast((least, known))
-    shortest, longest = lengths
+    bits = ranges.bit_length() - 1
+    kind = np.uint8 if support < 256 else np.int64
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least, known = shared.value
         for units in _units(batches, unit_bytes):
             for (shard, lang), own in units.items():
-                numbers = own.numbers()
+                numbers, hashes = own.numbers(), word_hashes(list(own.vocabulary))
+                # More than the lowered support makes no difference.
+                enough = least.get((shard, lang), 1)
+                for found in occurrences(numbers, hashes, lang, lengths, known):
+                    if not len(found):
+                        continue
+                    found = np.sort(found >> np.uint64(32 - bits))
+                    starts = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+                    n = np.minimum(np.diff(np.append(starts, len(found))), enough).astype(kind)
+                    found = found[starts]
+                    places = (found >> np.uint64(32)).astype(np.int64)
+                    cuts = np.append(np.flatnonzero(np.append(True, places[1:] != places[:-1])), len(places))
+                    low = found.astype(np.uint32)
+                    runs = list(zip(cuts[:-1].tolist(), cuts[1:].tolist()))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(runs), shard, np.int32)), pa.array(places[cuts[:-1]]),
+                            pa.array(np.full(len(runs), enough, np.int64)),
+                            pa.array([low[a:b].tobytes() for a, b in runs], pa.binary()),
+                            pa.array([n[a:b].tobytes() for a, b in runs], pa.binary()),
+                        ],
+                        names=["shard", "place", "least", "low", "n"],
+                    )
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = (
+            row for batch in batches
+            for row in zip(*(batch.column(c).to_pylist() for c in ("shard", "place", "least", "low", "n")))
+        )
+        for (_, place), runs in groupby(rows, key=lambda r: r[:2]):
+            runs = list(runs)
+            low = np.concatenate([np.frombuffer(r[3], np.uint32) for r in runs])
+            n = np.concatenate([np.frombuffer(r[4], kind) for r in runs]).astype(np.int64)
+            # Languages of one part differ in their lowered supports.
+            share = np.repeat([1 / r[2] for r in runs], [len(r[3]) // 4 for r in runs]) * n
+            order = np.argsort(low, kind="stable")
+            low = low[order]
+            starts = np.flatnonzero(np.append(True, low[1:] != low[:-1]))
+            found = low[starts][np.add.reduceat(share[order], starts) >= 1 - 1e-6]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found.astype(np.int64) | np.int64(place << 32))], names=["hash"]
+            )
 
-                def keep(length, at, counts):
-                    if counts is not None:
-                        return np.ones(len(at), bool)
-                    return known(mixed(at, lang, length)) if length < shortest else None
+    packed = texts.select("shard", "lang", "text").mapInArrow(
+        pack, "shard int, place long, least long, low binary, n binary"
+    )
+    met = packed.repartition("shard", "place").sortWithinPartitions("shard", "place")
+    return materialize(met.mapInArrow(merge, "hash long"), "local-phrases")
 
-                for length, _, n, found in phrases(numbers, word_hashes(list(own.vocabulary)), longest, keep):
-                    if length >= shortest:
-                        yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array(np.full(len(n), shard, np.int32)),
-                                pa.array(mixed(found, lang, length).view(np.int64)), pa.array(n.astype(np.int64)),
-                                pa.array(np.full(len(n), least.get((shard, lang), 1), np.int64)),
-                            ],
-                            names=["shard", "hash", "n", "least"],
-                        )
 
-    found = texts.select("shard", "lang", "text").mapInArrow(run, "shard int, hash long, n long, least long")
-    frequent = found.groupBy("shard", "hash").agg(F.sum("n").alias("n"), F.min("least").alias("least"))
-    return materialize(frequent.filter("n >= least").select("hash"), "local-phrases")
+def phrase_filter(hashes: DataFrame, ranges: int) -> PhraseFilter:
+    """A filter that the phrases of these ``mine``d hashes pass."""
+    bits = 32 + ranges.bit_length() - 1
+    n = hashes.agg(F.approx_count_distinct("hash").alias("n")).first()["n"]
+    size = 1 << min(MOST_BITS.bit_length() - 1, max(16, int(n * BITS_EACH).bit_length()))
 
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x = spread(batch.column(0).to_numpy().view(np.uint64) << np.uint64(64 - bits))
+            at = np.concatenate([x, x >> np.uint64(32)]) & np.uint64(size - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(at.view(np.int64))], names=["at"])
 
-def phrase_filter(hashes: DataFrame) -> PhraseFilter:
-    n = hashes.agg(F.approx_count_distinct("hash").alias("n")).first()["n"]
-    bits = 1 << min(MOST_BITS.bit_length() - 1, max(16, int(n * BITS_EACH).bit_length()))
-    both = F.explode(F.array(F.col("hash"), F.shiftrightunsigned("hash", 32)))
-    at = hashes.select(both.alias("at")).select(F.col("at").bitwiseAND(bits - 1).alias("at"))
     found = (
-        at.select(
+        hashes.mapInArrow(places, "at long")
+        .select(
             F.shiftright("at", 6).alias("word"),
             F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit"),
         )
         .groupBy("word").agg(F.bit_or("bit").alias("bits"))
         .toArrow()
     )
-    words = np.zeros(bits // 64, dtype=np.int64)
+    words = np.zeros(size // 64, dtype=np.int64)
     words[found["word"].to_numpy()] = found["bits"].to_numpy()
-    return PhraseFilter(words.view(np.uint64))
+    return PhraseFilter(words.view(np.uint64), bits)
 
 
 def count(texts: DataFrame, known: PhraseFilter, most: int, unit_bytes: int) -> DataFrame:
@@ -263,11 +326,11 @@ def count(texts: DataFrame, known: PhraseFilter, most: int, unit_bytes: int) ->
                 numbers = own.numbers()
                 words = list(own.vocabulary)
 
-                def keep(length, at, counts):
-                    return np.ones(len(at), bool) if counts is not None else passes(mixed(at, lang, length))
+                def good(length, hashes):
+                    return passes(mixed(hashes, lang, length))  # noqa: B023
 
                 yield rows(lang, 0, [b""], np.array([np.count_nonzero(numbers)]))
-                for length, at, n, _ in phrases(numbers, word_hashes(words), most, keep):
+                for length, at, n in phrases(numbers, word_hashes(words), most, good):
                     for a in range(0, len(at), 50_000):
                         own_words = [
                             [words[k] for k in numbers[at[a : a + 50_000] + j].tolist()] for j in range(length)
@@ -348,12 +411,13 @@ def collocations(
         F.pmod(F.xxhash64(text), F.lit(shards)).cast("int").alias("shard"),
         text.cast("binary").alias("text"),
     )
-    least = lowered(texts, support)
-    local = mine(texts, least, (1, 2), None, unit_bytes)
+    least, ranges = lowered(texts, support, shards)
+    local = mine(texts, support, least, ranges, (1, 2), None, unit_bytes)
     if words > 2:
-        local = local.unionByName(mine(texts, least, (3, words), phrase_filter(local), unit_bytes))
+        pairs = phrase_filter(local, ranges)
+        local = local.unionByName(mine(texts, support, least, ranges, (3, words), pairs, unit_bytes))
     found = materialize(
-        count(texts, phrase_filter(local), words, unit_bytes)
+        count(texts, phrase_filter(local, ranges), words, unit_bytes)
         .groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"))
         .filter((F.col("n") >= support) | (F.col("k") == 0)),
         "phrases",
