@@ -561,6 +561,10 @@ ORACLES: dict[str, str] = {
         _DERIVED_SQL,
         *_FEATURE_TABLE,
     ),
+    "features_reloaded": on_population(
+        f"select * from ({_DERIVED_SQL}) where id % 2 = 1",
+        *_FEATURE_TABLE,
+    ),
     "income_decile_tied": on_population(
         f"select id, {INCOME_DECILE} as income_decile from tied, income_stats",
         (

@@ -436,6 +436,17 @@ def feature_catalog(spark, folder):
     )
 
 
+@query
+def features_reloaded(spark, folder):
+    """Fitted on all rows, saved, loaded again and applied to another table: the odd rows."""
+    people = population(spark, folder)
+    path = f"{shared_folder(spark)}/fitted-{uuid.uuid4().hex}"
+    features.REGISTRY.fit(people, key="id").save(spark, path)
+    out = features.REGISTRY.load(spark, path).transform(people.where("id % 2 = 1"))
+    ratio = r6(F.col("dependents_ratio") * 1e6).alias("ratio_ppm")
+    return rounded(out.select("id", *DERIVED, ratio))
+
+
 @query
 def registry_only(spark, folder):
     df = population(spark, folder)

@@ -2,13 +2,15 @@
 
 Row-wise features are plain expressions over the input columns and need no
 shuffle.  Income statistics are a handful of numbers fitted once; the three
-imputations join a fitted table of group modes.
+imputations join a fitted table of group modes.  Both kinds are deferred, so that the
+registry gathers their statistics together.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,11 +29,14 @@ from cohort.functions.values import (
     to_number,
 )
 from cohort.operators.groups import GroupFill
-from cohort.operators.numbers import NumberSummary, summarize_numbers
+from cohort.operators.numbers import summarize_numbers
+from cohort.operators.statistics import Deferred, NumberStats, NumberSummary
 from cohort.plans.registry import FeatureRegistry
 
 REGISTRY = FeatureRegistry()
 
+REGISTRY.storable(GroupFill)
+
 # Band edges and labels.
 INCOME_EDGES = (-INFINITY, 25_000, 50_000, 75_000, 100_000, 150_000, INFINITY)
 INCOME_LABELS = ("<25k", "25–50k", "50–75k", "75–100k", "100–150k", "150k+")
@@ -130,6 +135,7 @@ class IncomeScore:
         return df.withColumn("income_z", nan_to_null(centred / self.std))
 
 
+@REGISTRY.storable
 @dataclass(frozen=True)
 class IncomeFeatures:
     """Band, log, z-score and decile of income for fitted statistics."""
@@ -138,10 +144,28 @@ class IncomeFeatures:
     edges: tuple[float | None, ...]
 
     @classmethod
-    def fit(cls, df: DataFrame, **quantile_options) -> IncomeFeatures:
+    def deferred(cls, **quantile_options) -> Deferred:
+        """Band and log come early, as they need no statistics."""
         column = "annual_income_usd"
-        found = summarize_numbers(df, [column], DECILES, **quantile_options)[column]
-        return cls(IncomeScore.of(found), tuple(found.quantiles[p] for p in DECILES))
+        request = NumberStats([column], DECILES, **quantile_options)
+
+        def build() -> IncomeFeatures:
+            found = request.summaries[column]
+            return cls(IncomeScore.of(found), tuple(found.quantiles[p] for p in DECILES))
+
+        return Deferred([request], build, early=income_levels)
+
+    @classmethod
+    def fit(cls, df: DataFrame, **quantile_options) -> IncomeFeatures:
+        return cls.deferred(**quantile_options).now(df)
+
+    def stored(self) -> tuple[dict[str, Any], dict[str, DataFrame]]:
+        """What ``restored`` makes the same features of."""
+        return {"mean": self.score.mean, "std": self.score.std, "edges": list(self.edges)}, {}
+
+    @classmethod
+    def restored(cls, plain: dict[str, Any], tables: dict[str, DataFrame]) -> IncomeFeatures:
+        return cls(IncomeScore(plain["mean"], plain["std"]), tuple(plain["edges"]))
 
     def transform(self, df: DataFrame) -> DataFrame:
         income = number(df, "annual_income_usd")
@@ -156,8 +180,8 @@ class IncomeFeatures:
     order=10,
     desc="Band, log, z-score and decile of annual income.",
 )
-def income_features(df: DataFrame) -> IncomeFeatures:
-    return IncomeFeatures.fit(df)
+def income_features(df: DataFrame) -> Deferred:
+    return IncomeFeatures.deferred()
 
 
 @REGISTRY.feature(
@@ -225,8 +249,8 @@ def quit_effort_drink(df: DataFrame) -> dict[str, Column]:
     order=40,
     desc="Fill social support with the mode of its group.",
 )
-def impute_social_support(df: DataFrame) -> GroupFill:
-    return GroupFill.fit(df, "social_support", ["marital_status", "children_count"])
+def impute_social_support(df: DataFrame) -> Deferred:
+    return GroupFill.deferred("social_support", ["marital_status", "children_count"])
 
 
 @REGISTRY.feature(
@@ -236,8 +260,8 @@ def impute_social_support(df: DataFrame) -> GroupFill:
     order=40,
     desc="Fill education with the mode of its group.",
 )
-def impute_education_level(df: DataFrame) -> GroupFill:
-    return GroupFill.fit(df, "education_level", ["employment_status", "income_band"])
+def impute_education_level(df: DataFrame) -> Deferred:
+    return GroupFill.deferred("education_level", ["employment_status", "income_band"])
 
 
 @REGISTRY.feature(
@@ -247,10 +271,8 @@ def impute_education_level(df: DataFrame) -> GroupFill:
     order=40,
     desc="Fill therapy history with the mode of its group.",
 )
-def impute_therapy_history(df: DataFrame) -> GroupFill:
-    return GroupFill.fit(
-        df, "therapy_history", ["education_level", "marital_status", "mental_health_status"]
-    )
+def impute_therapy_history(df: DataFrame) -> Deferred:
+    return GroupFill.deferred("therapy_history", ["education_level", "marital_status", "mental_health_status"])
 
 
 @REGISTRY.feature(

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohort.functions.values import nan_to_null, quoted
+from cohort.operators.statistics import Deferred, GroupCounts
 from cohort.plans.workspace import materialize
 
 BROADCAST_BYTES = 64 << 20
@@ -73,16 +74,21 @@ class GroupFill:
     hot_rows: float
 
     @classmethod
-    def fit(
-        cls,
-        df: DataFrame,
-        value: str,
-        keys: Sequence[str],
-        *,
-        broadcast_bytes: int = BROADCAST_BYTES,
+    def deferred(cls, value: str, keys: Sequence[str], **options) -> Deferred:
+        """The fill once its counts are gathered."""
+        request = GroupCounts([*keys, value])
+        return Deferred([request], lambda: cls.of(request.counts, value, keys, **options))
+
+    @classmethod
+    def fit(cls, df: DataFrame, value: str, keys: Sequence[str], **options) -> GroupFill:
+        return cls.deferred(value, keys, **options).now(df)
+
+    @classmethod
+    def of(
+        cls, counts: DataFrame, value: str, keys: Sequence[str], *, broadcast_bytes: int = BROADCAST_BYTES
     ) -> GroupFill:
+        """From a stored table of (keys, value, n)."""
         keys = tuple(keys)
-        counts = materialize(_count_pairs(df, value, keys), f"counts-{value}")
         # What a row of modes holds in memory: text by its length, plus words.
         width = F.lit(16 * (len(keys) + 1))
         for name in (*keys, value):
@@ -114,6 +120,21 @@ class GroupFill:
             hot_rows=(size["need"] or 0) * HOT_SHARE,
         )
 
+    def stored(self) -> tuple[dict[str, Any], dict[str, DataFrame]]:
+        """What ``restored`` makes the same fill of: plain values and tables."""
+        fallback = self.modes.sparkSession.range(1).select(
+            F.lit(self.fallback).cast(self.modes.schema[_MODE].dataType).alias("fallback")
+        )
+        plain = {"value": self.value, "keys": list(self.keys), "small": self.small, "hot_rows": self.hot_rows}
+        return plain, {"modes": self.modes, "fallback": fallback}
+
+    @classmethod
+    def restored(cls, plain: dict[str, Any], tables: dict[str, DataFrame]) -> GroupFill:
+        return cls(
+            plain["value"], tuple(plain["keys"]), tables["modes"], tables["fallback"].first()[0],
+            plain["small"], plain["hot_rows"],
+        )
+
     def transform(self, df: DataFrame) -> DataFrame:
         columns = df.columns
         df = _clean(df, [*self.keys, self.value])

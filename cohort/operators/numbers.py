@@ -1,119 +1,20 @@
-"""Numeric summaries and exact quantiles in a few bounded aggregates.
+"""Numeric summaries: moments and quantiles of several columns.
 
-Moments and counts of all requested columns come from one pass.  Exact
-quantiles need order statistics, and Spark's ``percentile`` keeps a map of every
-distinct value in one buffer.  Each wanted rank is narrowed down instead: a
-mergeable sketch proposes two values around the rank, exact counts say where the
-rank really lies, and once few enough values remain between the two they are
-fetched.  Every round serves all columns at once, sketches only steer the
-search, and the counts make the answer exact.  After the first round only the
-values that are still searched are kept, in a stored table.  A table whose
-columns have few values is fetched in the first round; nothing else depends on
-its size.
+Exact ones are gathered by ``NumberStats`` in two scans (one if no quantile is
+wanted).  Approximate ones take one scan and a sketch.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterable, Sequence
-from dataclasses import dataclass, field
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohort.functions.values import quoted, to_number
-from cohort.plans.workspace import materialize
+from cohort.operators.statistics import FETCH_ROWS, NumberStats, NumberSummary, gather
 
-FETCH_ROWS = 100_000
 SKETCH_ACCURACY = 1_000
-# Sketches of map tasks merge in this many groups first, then into one.
-SKETCH_GROUPS = 64
-# A plan with too many aggregates is slow to compile; searches run in groups.
-SEARCHES_PER_PASS = 64
-
-
-@dataclass
-class NumberSummary:
-    """Statistics of one column; quantiles are keyed by probability."""
-
-    rows: int
-    present: int
-    low: float | None
-    high: float | None
-    mean: float | None
-    var_pop: float | None
-    quantiles: dict[float, float | None] = field(default_factory=dict)
-
-    @property
-    def missing(self) -> int:
-        return self.rows - self.present
-
-    @property
-    def infinite(self) -> bool:
-        return bool(self.present) and math.inf in (-self.low, self.high)
-
-    @property
-    def std_samp(self) -> float | None:
-        """Sample deviation; None for fewer than two values."""
-        if self.present < 2:
-            return None
-        return math.sqrt(self.var_pop * self.present / (self.present - 1))
-
-
-@dataclass
-class _Search:
-    """One wanted rank of one column and what is known about it so far.
-
-    The answer lies strictly between ``above`` and ``below``; ``base`` values
-    are at or under ``above`` and ``inside`` values lie between the two.
-    """
-
-    column: str
-    rank: int
-    base: int = 0
-    inside: int = 0
-    above: float | None = None
-    below: float | None = None
-    left: float | None = None
-    right: float | None = None
-    answer: float | None = None
-
-    @property
-    def interval(self) -> tuple[str, float | None, float | None]:
-        return self.column, self.above, self.below
-
-    def within(self, value: Column) -> Column:
-        if self.above is None and self.below is None:
-            return value
-        inside = value.isNotNull()
-        if self.above is not None:
-            inside = inside & (value > self.above)
-        if self.below is not None:
-            inside = inside & (value < self.below)
-        return F.when(inside, value)
-
-    def shares(self, accuracy: int) -> tuple[float, float]:
-        """The shares of the inside values between which the rank is expected."""
-        centre = (self.rank - self.base) / max(self.inside - 1, 1)
-        margin = 2.0 / accuracy
-        return max(centre - margin, 0.0), min(centre + margin, 1.0)
-
-    def settle(self, under: int, at_left: int, between: int, at_right: int) -> None:
-        """Use exact counts around ``left`` and ``right`` to close in."""
-        offset = self.rank - self.base
-        if offset < under:
-            self.below, self.inside = self.left, under
-        elif offset < under + at_left:
-            self.answer = self.left
-        elif offset < under + at_left + between:
-            self.above, self.below = self.left, self.right
-            self.base, self.inside = self.base + under + at_left, between
-        elif offset < under + at_left + between + at_right:
-            self.answer = self.right
-        else:
-            passed = under + at_left + between + at_right
-            self.above = self.right
-            self.base, self.inside = self.base + passed, self.inside - passed
 
 
 def summarize_numbers(
@@ -127,197 +28,50 @@ def summarize_numbers(
 ) -> dict[str, NumberSummary]:
     """Counts, moments and quantiles of several columns.
 
-    ``method="approx"`` takes the quantiles from the sketch of the first pass.
+    ``method="approx"`` takes the quantiles from a sketch of that accuracy.
     """
     if method not in ("exact", "approx"):
         raise ValueError(f"unknown quantile method: {method}")
-    columns = list(columns)
-    if not columns:
-        return {}
+    if method == "approx" and probabilities:
+        return _approximate(df, list(columns), list(probabilities), accuracy)
+    stats = NumberStats(columns, probabilities, fetch_rows)
+    gather(df, [stats])
+    return stats.summaries
+
+
+def _approximate(
+    df: DataFrame, columns: list[str], probabilities: list[float], accuracy: int
+) -> dict[str, NumberSummary]:
     types = {f.name: f.dataType for f in df.schema.fields}
-    names = {c: f"v{i}" for i, c in enumerate(columns)}
-    numbers = df.select(*[to_number(quoted(c), types[c]).alias(v) for c, v in names.items()])
     # One (place, x) pair per cell: the generated code stays short however many
     # columns there are, and the merge of partial results spreads over places.
-    cells = numbers.select(
+    cells = df.select(
         F.inline(
             F.array(
                 *[
-                    F.struct(F.lit(i).alias("place"), F.col(v).alias("x"))
-                    for i, v in enumerate(names.values())
+                    F.struct(F.lit(i).alias("place"), to_number(quoted(c), types[c]).alias("x"))
+                    for i, c in enumerate(columns)
                 ]
             )
         )
     )
-    wanted = [
-        F.count(F.lit(1)).alias("rows"),
-        F.count("x").alias("present"),
-        F.min("x").alias("low"),
-        F.max("x").alias("high"),
-        F.avg("x").alias("mean"),
-        F.var_pop("x").alias("var_pop"),
-    ]
-    if probabilities and method == "approx":
-        wanted.append(F.percentile_approx("x", list(probabilities), accuracy).alias("quantiles"))
-    found = {r["place"]: r for r in cells.groupBy("place").agg(*wanted).collect()}
+    rows = cells.groupBy("place").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("x").alias("present"), F.min("x").alias("low"),
+        F.max("x").alias("high"), F.avg("x").alias("mean"), F.var_pop("x").alias("var_pop"),
+        F.percentile_approx("x", probabilities, accuracy).alias("quantiles"),
+    )
+    found = {r["place"]: r for r in rows.collect()}
     out = {}
     for i, c in enumerate(columns):
-        r = found.get(i)
-        out[c] = (
-            NumberSummary(r["rows"], r["present"], r["low"], r["high"], r["mean"], r["var_pop"])
-            if r is not None
-            else NumberSummary(0, 0, None, None, None, None)
-        )
-    if not probabilities or not found:
-        for c in columns:
-            out[c].quantiles = dict.fromkeys(probabilities)
-    elif method == "approx":
-        for i, c in enumerate(columns):
-            values = found[i]["quantiles"] or [None] * len(probabilities)
-            out[c].quantiles = dict(zip(probabilities, values))
-    else:
-        _search_quantiles(numbers, names, out, probabilities, fetch_rows, accuracy)
+        if (r := found.get(i)) is None:
+            out[c] = NumberSummary(0, 0, None, None, None, None, dict.fromkeys(probabilities))
+            continue
+        values = r["quantiles"] or [None] * len(probabilities)
+        moments = (r[k] for k in ("rows", "present", "low", "high", "mean", "var_pop"))
+        out[c] = NumberSummary(*moments, dict(zip(probabilities, values)))
     return out
 
 
-def _search_quantiles(
-    numbers: DataFrame,
-    names: dict[str, str],
-    out: dict[str, NumberSummary],
-    probabilities: Sequence[float],
-    fetch_rows: int,
-    accuracy: int,
-) -> None:
-    searches: dict[tuple[str, int], _Search] = {}
-    for c in names:
-        n = out[c].present
-        for p in probabilities:
-            if n == 0:
-                continue
-            position = p * (n - 1)
-            for rank in {math.floor(position), math.ceil(position)}:
-                found = searches.setdefault(
-                    (c, rank), _Search(names[c], rank, inside=n)
-                )
-                if rank == 0:
-                    found.answer = out[c].low
-                elif rank == n - 1:
-                    found.answer = out[c].high
-
-    pending = [s for s in searches.values() if s.answer is None]
-    narrowed = False
-    while pending:
-        for group in _chunks(pending, SEARCHES_PER_PASS):
-            _narrow(numbers, group, fetch_rows, accuracy)
-        pending = [s for s in pending if s.answer is None]
-        if pending and not narrowed:
-            numbers = materialize(_only(numbers, {s.interval: s for s in pending}.values()), "narrowed")
-            narrowed = True
-
-    for c in names:
-        n = out[c].present
-        for p in probabilities:
-            if n == 0:
-                out[c].quantiles[p] = None
-                continue
-            position = p * (n - 1)
-            lower, upper = math.floor(position), math.ceil(position)
-            a, b = searches[c, lower].answer, searches[c, upper].answer
-            out[c].quantiles[p] = (
-                # Interpolating between equal values would round.
-                a if a == b else (upper - position) * a + (position - lower) * b
-            )
-
-
-def _narrow(
-    numbers: DataFrame, searches: list[_Search], fetch_rows: int, accuracy: int
-) -> None:
-    """One round for a group of searches: fetch the few, sketch the many."""
-    few = [s for s in searches if s.inside <= fetch_rows]
-    many = [s for s in searches if s.inside > fetch_rows]
-    # Searches in the same interval share one list or sketch; in the first
-    # round that is one sketch per column, however many ranks are wanted.
-    few_intervals = {s.interval: s for s in few}
-    many_intervals = {s.interval: s for s in many}
-    if few:
-        # Exact counts bound each fetched list by fetch_rows.
-        ranks: dict[tuple, list[int]] = {}
-        for s in few:
-            ranks.setdefault(s.interval, []).append(s.rank - s.base)
-        wanted = F.lit(False)
-        for i, interval in enumerate(few_intervals):
-            wanted = wanted | ((F.col("place") == i) & F.col("pos").isin(ranks[interval]))
-        lists = _cells(numbers, few_intervals.values()).groupBy("place").agg(
-            F.sort_array(F.collect_list("x")).alias("xs")
-        )
-        # The list is sorted once, as exploding it is a step of its own.
-        picked = lists.select("place", F.posexplode("xs").alias("pos", "x")).where(wanted)
-        fetched = {(r["place"], r["pos"]): r["x"] for r in picked.collect()}
-        places = {interval: i for i, interval in enumerate(few_intervals)}
-        for s in few:
-            s.answer = fetched[places[s.interval], s.rank - s.base]
-    if not many:
-        return
-
-    cells = _cells(numbers, many_intervals.values())
-    size = F.lit(min(max(2 * accuracy, 8), 65_535))
-    parts = cells.groupBy("place", (F.spark_partition_id() % SKETCH_GROUPS).alias("part")).agg(
-        F.kll_sketch_agg_double("x", size).alias("sketch")
-    )
-    whole = parts.groupBy("place").agg(F.kll_merge_agg_double("sketch", size).alias("sketch"))
-    shares = sorted({share for s in many for share in s.shares(accuracy)})
-    sketches = whole.select(
-        "place", F.kll_sketch_get_quantile_double("sketch", F.lit(shares)).alias("levels")
-    )
-    levels = {r["place"]: dict(zip(shares, r["levels"])) for r in sketches.collect()}
-    places = {interval: i for i, interval in enumerate(many_intervals)}
-    for s in many:
-        s.left, s.right = (levels[places[s.interval]][share] for share in s.shares(accuracy))
-
-    brackets = {(s.interval, s.left, s.right): s for s in many}
-    counts = []
-    for i, s in enumerate(brackets.values()):
-        x = s.within(F.col(s.column))
-        counts += [
-            F.count_if(x < s.left).alias(f"u{i}"),
-            F.count_if(x == s.left).alias(f"l{i}"),
-            F.count_if((x > s.left) & (x < s.right)).alias(f"b{i}"),
-            (F.count_if(x == s.right) if s.right > s.left else F.lit(0)).alias(f"h{i}"),
-        ]
-    row = numbers.agg(*counts).first()
-    order = {bracket: i for i, bracket in enumerate(brackets)}
-    for s in many:
-        i = order[s.interval, s.left, s.right]
-        s.settle(row[f"u{i}"], row[f"l{i}"], row[f"b{i}"], row[f"h{i}"])
-
-
-def _cells(numbers: DataFrame, searches: Iterable[_Search]) -> DataFrame:
-    """(place, x) for every value inside the interval of that place.
-
-    Grouped by place, different lists and sketches are merged by different tasks.
-    """
-    entries = [
-        F.struct(F.lit(i).alias("place"), s.within(F.col(s.column)).alias("x"))
-        for i, s in enumerate(searches)
-    ]
-    return numbers.select(F.inline(F.array(*entries))).where("x is not null")
-
-
-def _only(numbers: DataFrame, searches: Iterable[_Search]) -> DataFrame:
-    """The rows that at least one interval needs.
-
-    Asked of an array: a long chain of OR is slow to plan, as Spark tries to
-    turn it into its conjunctive form.
-    """
-    found = F.array(*[s.within(F.col(s.column)) for s in searches])
-    return numbers.where(F.exists(found, lambda x: x.isNotNull()))
-
-
-def _chunks(items: list, size: int) -> Iterable[list]:
-    for start in range(0, len(items), size):
-        yield items[start : start + size]
-
-
 def exact_quantiles(
     df: DataFrame, column: str, probabilities: Sequence[float], **options
 ) -> list[float | None]:
