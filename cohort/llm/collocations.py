@@ -138,8 +138,8 @@ class PhraseFilter:
 
 def phrases(
     numbers: np.ndarray, hashes: np.ndarray, most: int, passes
-) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """length, a place and the count of each phrase that passes, and all of whose parts do.
+) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """length, a place, the count and the hash of each phrase that passes, and all of whose parts do.
 
     ``passes(length, hashes)`` says which do; ids of phrases are exact.
     """
@@ -149,7 +149,7 @@ def phrases(
     found = np.flatnonzero(good & (counts > 0))
     place = np.zeros(len(hashes), np.int64)
     place[numbers[::-1]] = np.arange(len(numbers))[::-1]
-    yield 1, place[found], counts[found]
+    yield 1, place[found], counts[found], hashes[found]
     alive, ids, rolled = np.flatnonzero(good[numbers]), numbers.astype(np.int64), hashes[numbers]
     for length in range(2, most + 1):
         # Places follow each other where the phrase at the next place passed too.
@@ -160,7 +160,7 @@ def phrases(
             return
         code = ids[alive] * len(hashes) + numbers[alive + length - 1]
         _, place, inverse, counts = np.unique(code, return_index=True, return_inverse=True, return_counts=True)
-        yield length, alive[place], counts
+        yield length, alive[place], counts, rolled[alive[place]]
         ids[alive] = inverse
 
 
@@ -304,23 +304,30 @@ def phrase_filter(hashes: DataFrame, ranges: int) -> PhraseFilter:
     return PhraseFilter(words.view(np.uint64), bits)
 
 
-def count(texts: DataFrame, known: PhraseFilter, most: int, unit_bytes: int) -> DataFrame:
-    """lang, phrase, k (words), n: occurrences in each task of all that pass the
-    filter; rows with k = 0 have the number of all words."""
+def count(
+    texts: DataFrame, support: int, known: PhraseFilter, ranges: int, most: int, unit_bytes: int
+) -> DataFrame:
+    """lang, phrase, k (words), n: all phrases with ``support`` occurrences, stored; a row
+    with k = 0 has the number of all words.
+
+    Tasks send the phrases that pass the filter on with their counts, packed by
+    language and range of hashes.
+    """
     shared_filter = texts.sparkSession.sparkContext.broadcast(known)
+    drop = np.uint64(64 - ranges.bit_length() + 1)
+
+    def rows(lang: str, places: list[int], names: list[list[bytes]], n: list[np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([lang] * len(places), pa.string()), pa.array(places, pa.int64()),
+                pa.array([b"\n".join(x) for x in names], pa.binary()),
+                pa.array([x.astype(np.int64).tobytes() for x in n], pa.binary()),
+            ],
+            names=["lang", "place", "names", "n"],
+        )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passes = shared_filter.value
-
-        def rows(lang: str, k: int, names: list[bytes], n: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [
-                    pa.array([lang] * len(names), pa.string()), pa.array(names, pa.binary()).cast(pa.string()),
-                    pa.array(np.full(len(names), k, np.int32)), pa.array(n.astype(np.int64)),
-                ],
-                names=["lang", "phrase", "k", "n"],
-            )
-
         for units in _units(batches, unit_bytes):
             for (lang,), own in units.items():
                 numbers = own.numbers()
@@ -329,15 +336,39 @@ def count(texts: DataFrame, known: PhraseFilter, most: int, unit_bytes: int) ->
                 def good(length, hashes):
                     return passes(mixed(hashes, lang, length))  # noqa: B023
 
-                yield rows(lang, 0, [b""], np.array([np.count_nonzero(numbers)]))
-                for length, at, n in phrases(numbers, word_hashes(words), most, good):
-                    for a in range(0, len(at), 50_000):
-                        own_words = [
-                            [words[k] for k in numbers[at[a : a + 50_000] + j].tolist()] for j in range(length)
-                        ]
-                        yield rows(lang, length, [b" ".join(p) for p in zip(*own_words)], n[a : a + 50_000])
+                yield rows(lang, [-1], [[b""]], [np.array([np.count_nonzero(numbers)])])
+                for length, at, n, found in phrases(numbers, word_hashes(words), most, good):
+                    place = np.zeros(len(at), np.int64)
+                    if ranges > 1:
+                        place = (mixed(found, lang, length) >> drop).astype(np.int64)
+                    order = np.argsort(place, kind="stable")
+                    at, n, place = at[order], n[order], place[order]
+                    cuts = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(at) else []
+                    for a, b in zip(cuts, [*cuts[1:], len(at)]):
+                        own_words = [[words[k] for k in numbers[at[a:b] + j].tolist()] for j in range(length)]
+                        yield rows(lang, [int(place[a])], [[b" ".join(p) for p in zip(*own_words)]], [n[a:b]])
 
-    return texts.select("lang", "text").mapInArrow(run, "lang string, phrase string, k int, n long")
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        packed = (
+            row for batch in batches
+            for row in zip(*(batch.column(c).to_pylist() for c in ("lang", "place", "names", "n")))
+        )
+        for (lang, place), runs in groupby(packed, key=lambda r: r[:2]):
+            runs = list(runs)
+            names = pa.concat_arrays([pa.array(r[2].split(b"\n"), pa.binary()) for r in runs]).dictionary_encode()
+            n = np.zeros(len(names.dictionary), np.int64)
+            np.add.at(n, names.indices.to_numpy(), np.concatenate([np.frombuffer(r[3], np.int64) for r in runs]))
+            often = np.flatnonzero((n >= support) | (place < 0))
+            found = names.dictionary.take(pa.array(often)).cast(pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([lang] * len(often), pa.string()), found, pa.array(n[often])], names=["lang", "phrase", "n"]
+            )
+
+    packed = texts.select("lang", "text").mapInArrow(pack, "lang string, place long, names binary, n binary")
+    met = packed.repartition("lang", "place").sortWithinPartitions("lang", "place")
+    found = met.mapInArrow(merge, "lang string, phrase string, n long")
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    return materialize(found.select("lang", "phrase", words.alias("k"), "n"), "phrases")
 
 
 def _score(a: str, n: str, left: str, right: str) -> Column:
@@ -416,12 +447,7 @@ def collocations(
     if words > 2:
         pairs = phrase_filter(local, ranges)
         local = local.unionByName(mine(texts, support, least, ranges, (3, words), pairs, unit_bytes))
-    found = materialize(
-        count(texts, phrase_filter(local, ranges), words, unit_bytes)
-        .groupBy("lang", "phrase", "k").agg(F.sum("n").alias("n"))
-        .filter((F.col("n") >= support) | (F.col("k") == 0)),
-        "phrases",
-    )
+    found = count(texts, support, phrase_filter(local, ranges), ranges, words, unit_bytes)
     counts = found.filter("k > 0")
     totals = materialize(found.filter("k = 0").select("lang", "n"), "language-words")
     scored = materialize(
