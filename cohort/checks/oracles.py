@@ -621,6 +621,14 @@ ORACLES: dict[str, str] = {
     "split_train": on_population(
         f"select id, {TARGET}, split from marked", *_split("population", "id", TARGET)
     ),
+    "split_many_classes": on_population(
+        "select id, class, split from marked",
+        (
+            "classed",
+            "select *, 'c' || (id % greatest(1, (select count(*) from population) // 12)) as class from population",
+        ),
+        *_split("classed", "id", "class"),
+    ),
     "split_plain": on_population(
         f"select id, {TARGET}, split from marked", *_split("population", "id", None)
     ),
@@ -661,6 +669,11 @@ ORACLES: dict[str, str] = {
             )
         )
     ),
+    "vector_of_names": on_population(
+        "select id, (select count(distinct name) from named) as length, "
+        "dense_rank() over (order by name) - 1 as place from named",
+        ("named", f"select id, {_filled('name')} as name from population"),
+    ),
     "preprocess_matrix": on_population("select * from matrix", *_matrix()),
     "assert_no_nulls": on_population(
         'select "column", nulls from nulls_after',

@@ -7,6 +7,7 @@ order of the rows.
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 from collections.abc import Callable
 
@@ -480,6 +481,15 @@ def split_train(spark, folder):
     return split.mark_split(population(spark, folder), TARGET).select("id", TARGET, "split")
 
 
+@query
+def split_many_classes(spark, folder):
+    """Stratified by as many classes as make 12 rows each; 1,250 at 15,000 rows."""
+    people = population(spark, folder)
+    classes = max(1, people.count() // 12)
+    people = people.withColumn("class", F.concat(F.lit("c"), F.col("id") % classes))
+    return split.mark_split(people, "class").select("id", "class", "split")
+
+
 @query
 def split_plain(spark, folder):
     out = split.mark_split(population(spark, folder), TARGET, stratify=False)
@@ -567,6 +577,17 @@ def one_hot(spark, folder):
     return fitted.transform_long(df, key="id")
 
 
+@query
+def vector_of_names(spark, folder):
+    """Length and place of the one entry of each person's vector; nothing is broadcast."""
+    df = population(spark, folder)
+    fitted = preprocess.fit_preprocessor(df, numeric_cols=[], categorical_cols=["name"])
+    fitted = dataclasses.replace(fitted, broadcast_bytes=0)
+    text = fitted.transform_vector(df, keep=["id"]).select("id", F.col("features").cast("string").alias("v"))
+    parts = (F.regexp_extract("v", r"^\((\d+),\[(\d+)\],\[1\.0\]\)$", k).cast("bigint") for k in (1, 2))
+    return text.select("id", *[p.alias(n) for p, n in zip(parts, ("length", "place"))])
+
+
 @query
 def preprocess_matrix(spark, folder):
     df = _inputs(spark, folder)

@@ -214,11 +214,11 @@ def train_model(
     split = plan_split(
         df, target, key=key, test_size=test_size, random_state=random_state, stratify=stratify
     )
-    marked = to01(df.withColumn(_TEST, split.is_test()), target)
+    marked = to01(split.marked(df, _TEST), target)
     if preprocessor is None and fit_on is not None:
         if fit_on not in ("train", "all"):
             raise ValueError(f"unknown fit_on: {fit_on}")
-        rows = df if fit_on == "all" else df.where(~split.is_test())
+        rows = df if fit_on == "all" else split.train_rows(df)
         preprocessor = fit_preprocessor(rows, target=target, key=key)
     if preprocessor is not None:
         if target in preprocessor.input_columns:

@@ -1,12 +1,14 @@
 """Impute, scale and one-hot encode: fit once, apply to any table.
 
-The fitted model is small: a fill value, a centre and a divisor per numeric
-column, a fill value and the sorted categories per categorical column.  The
-categories are also kept as a table, so a column with too many of them for one
-machine can still be encoded in long form by a join.
-
-``transform_df`` gives one column per feature, ``transform_vector`` a sparse
-vector for MLlib, ``transform_long`` one row per non-zero entry.
+A fitted model has a fill value, a centre and a divisor per numeric column, a fill
+value per categorical column, and a stored table of categories with their places in
+the vector.  Statistics of all columns are gathered together, in two scans.
+
+``transform_df`` gives one column per feature, ``transform_vector`` a sparse vector
+for MLlib, ``transform_long`` one row per non-zero entry.  The last two find the
+places by joins, so a column may have any number of categories.  The categories of a
+column are broadcast if their bytes are few.  Otherwise the hot ones, a bounded number,
+are, and the rest is joined by a shuffle in which the rows of hot ones are spread.
 """
 
 from __future__ import annotations
@@ -16,14 +18,17 @@ import math
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohort.functions.values import quoted, to_number
+from cohort.operators.clean import number_rows
 from cohort.operators.features import drop_target_columns
+from cohort.operators.lookups import BROADCAST_BYTES, look_up
 from cohort.operators.numbers import summarize_numbers
+from cohort.operators.statistics import Cell, NumberStats, NumberSummary, Request, gather
 from cohort.plans.workspace import materialize
 from cohort.sources.tables import path_exists
 
@@ -32,8 +37,6 @@ log = logging.getLogger(__name__)
 # Fixed value: the category given to a column without any value.
 MISSING_LABEL = "missing"
 
-LISTED_CATEGORIES = 100_000
-
 
 def infer_columns(df: DataFrame) -> tuple[list[str], list[str]]:
     """Numeric columns, and text or boolean columns; other types are ignored."""
@@ -89,47 +92,92 @@ class CategoryStep:
     constant: bool = False
 
 
+class CategoryCounts(Request):
+    """How often each category of ``columns`` occurs: place (of the column), category, n."""
+
+    def __init__(self, columns: Sequence[str]) -> None:
+        self.columns = list(columns)
+        self.counts: DataFrame | None = None
+
+    def cells(self, df: DataFrame) -> list[Cell]:
+        texts = [category_text(df, c) for c in self.columns]
+        return [
+            Cell(F.struct(F.lit(i).alias("place"), text.alias("category")), where=text.isNotNull())
+            for i, text in enumerate(texts)
+        ]
+
+    def take(self, sums: DataFrame) -> None:
+        self.counts, self.settled = sums.select("place", "category", "n"), True
+
+
 def count_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, category, n) of all categorical columns from one scan."""
-    slim = df.select(*[category_text(df, c).alias(f"v{i}") for i, c in enumerate(columns)])
-    pairs = F.array(
-        *[F.struct(F.lit(i).alias("place"), F.col(f"v{i}").alias("category")) for i in range(len(columns))]
-    )
-    return (
-        slim.select(F.inline(pairs))
-        .where("category is not null")
-        .groupBy("place", "category")
-        .agg(F.count(F.lit(1)).alias("n"))
+    """(place of the column, category, n) of all categorical columns from one scan."""
+    request = CategoryCounts(columns)
+    gather(df, [request])
+    return request.counts
+
+
+@dataclass(frozen=True)
+class PlaceSize:
+    """How many categories a column has, their bytes, and the rows they were counted in."""
+
+    categories: int = 0
+    bytes: int = 0
+    rows: int = 0
+
+
+def _sizes(table: DataFrame, columns: int) -> list[PlaceSize]:
+    found = table.groupBy("place").agg(
+        F.count(F.lit(1)).alias("categories"), F.sum(F.octet_length("category") + 32).alias("bytes"),
+        F.sum("n").alias("rows"),
     )
+    known = {r["place"]: PlaceSize(r["categories"], r["bytes"], r["rows"]) for r in found.collect()}
+    return [known.get(i, PlaceSize()) for i in range(columns)]
 
 
 @dataclass
 class PreprocessorModel:
     numeric: list[NumericStep]
     categorical: list[CategoryStep]
-    # (place in ``categorical``, category); ``categories`` is None when there
-    # are more of them than the driver should hold.
+    #: (place in ``categorical``, category, n, at): ``at`` is the place in the vector.
     table: DataFrame = field(repr=False)
-    size: int
-    categories: list[list[str]] | None
+    sizes: list[PlaceSize]
+    broadcast_bytes: int = BROADCAST_BYTES
+
+    @property
+    def size(self) -> int:
+        return sum(s.categories for s in self.sizes)
 
     @property
     def input_columns(self) -> list[str]:
         return [s.name for s in self.numeric] + [s.name for s in self.categorical]
 
+    def feature_table(self) -> DataFrame:
+        """(at, feature) of the whole vector, however many features there are."""
+        spark = self.table.sparkSession
+        numeric = spark.createDataFrame(
+            [(i, s.name) for i, s in enumerate(self.numeric)], "at long, feature string"
+        )
+        columns = spark.createDataFrame(
+            [(i, s.name) for i, s in enumerate(self.categorical)], "place int, column string"
+        )
+        named = self.table.join(F.broadcast(columns), "place").select(
+            "at", F.concat_ws("_", "column", "category").alias("feature")
+        )
+        return numeric.unionByName(named)
+
     def feature_names(self) -> list[str]:
-        names = [s.name for s in self.numeric]
-        for step, values in zip(self.categorical, self._listed()):
-            names += [f"{step.name}_{v}" for v in values]
-        return names
+        """All names in one list; ``feature_table`` has them as a table."""
+        return [s.name for s in self.numeric] + [
+            f"{step.name}_{v}" for step, values in zip(self.categorical, self.listed()) for v in values
+        ]
 
-    def _listed(self) -> list[list[str]]:
-        if self.categories is None:
-            raise ValueError(
-                f"{self.size} categories are too many for one column each; "
-                "use transform_long, or leave key-like columns out of the fit"
-            )
-        return self.categories
+    def listed(self) -> list[list[str]]:
+        """The categories of each column in their order."""
+        out: list[list[str]] = [[] for _ in self.categorical]
+        for r in self.table.orderBy("at").select("place", "category").collect():
+            out[r["place"]].append(r["category"])
+        return out
 
     def _check(self, df: DataFrame) -> None:
         absent = [c for c in self.input_columns if c not in df.columns]
@@ -157,9 +205,11 @@ class PreprocessorModel:
                 f"{width} feature columns exceed {max_columns}; "
                 "use transform_vector or transform_long"
             )
-        names = self.feature_names()
+        listed = self.listed()
+        names = [s.name for s in self.numeric]
         values = [self.scaled(df, s) for s in self.numeric]
-        for step, categories in zip(self.categorical, self._listed()):
+        for step, categories in zip(self.categorical, listed):
+            names += [f"{step.name}_{v}" for v in categories]
             filled = self.filled(df, step)
             values += [(filled == v).cast("double") for v in categories]
         return df.select(
@@ -169,28 +219,37 @@ class PreprocessorModel:
     def transform_vector(
         self, df: DataFrame, *, keep: Sequence[str] = (), output: str = "features"
     ) -> DataFrame:
-        """The same features as one sparse vector column."""
+        """The same features as one sparse vector column.
+
+        Each categorical column is joined to its categories by itself, so rows keep
+        their identity without a key.  The vector knows its length and no names.
+        """
         self._check(df)
-        listed = self._listed()
         numbers = [f"_n{i}" for i in range(len(self.numeric))]
         texts = [f"_t{i}" for i in range(len(self.categorical))]
-        indices = [f"_i{i}" for i in range(len(self.categorical))]
-        hots = [f"_h{i}" for i in range(len(self.categorical))]
+        own = [*numbers, *texts]
         out = df.select(
-            *[quoted(c) for c in keep],
+            F.struct(*[quoted(c) for c in keep], F.lit(0).alias("_")).alias("_kept"),
             *[self.scaled(df, s).alias(n) for s, n in zip(self.numeric, numbers)],
             *[self.filled(df, s).alias(t) for s, t in zip(self.categorical, texts)],
         )
-        if texts:
-            # Unseen categories take the extra last index, which the encoder
-            # drops: they come out as all zeros.
-            for labels, text, index in zip(listed, texts, indices):
-                indexer = StringIndexerModel.from_labels(labels, text, index, handleInvalid="keep")
-                out = indexer.transform(out)
-            encoder = OneHotEncoder(inputCols=indices, outputCols=hots, dropLast=True)
-            out = encoder.fit(out).transform(out)
-        assembler = VectorAssembler(inputCols=[*numbers, *hots], outputCol=output)
-        return assembler.transform(out).select(*[quoted(c) for c in keep], output)
+        hots, first = [], len(self.numeric)
+        for i, (text, size) in enumerate(zip(texts, self.sizes)):
+            known = self.table.where(F.col("place") == i).withColumnsRenamed({"category": text, "at": f"_i{i}"})
+            out = look_up(
+                out, known, [text], f"_i{i}", spread_by=own, small=size.bytes <= self.broadcast_bytes, counted=size.rows
+            )
+            # Unknown categories take one more place, which the encoder drops.
+            place = F.coalesce(F.col(f"_i{i}") - first, F.lit(size.categories)).cast("double")
+            nominal = {"ml_attr": {"type": "nominal", "num_vals": size.categories + 1}}
+            out = out.withColumn(f"_i{i}", place.alias(f"_i{i}", metadata=nominal))
+            encoder = OneHotEncoder(inputCols=[f"_i{i}"], outputCols=[f"_h{i}"], dropLast=True)
+            length = {"ml_attr": {"num_attrs": size.categories}}
+            out = encoder.fit(out).transform(out).withColumn(f"_h{i}", F.col(f"_h{i}").alias(f"_h{i}", metadata=length))
+            hots, first = [*hots, f"_h{i}"], first + size.categories
+        out = VectorAssembler(inputCols=[*numbers, *hots], outputCol=output).transform(out)
+        whole = F.col(output).alias(output, metadata={"ml_attr": {"num_attrs": first}})
+        return out.select(*[F.col("_kept")[c].alias(c) for c in keep], whole)
 
     def transform_long(self, df: DataFrame, *, key: str) -> DataFrame:
         """(key, feature, value) for every non-zero entry of the matrix."""
@@ -211,11 +270,13 @@ class PreprocessorModel:
                 )
                 for i, s in enumerate(self.categorical)
             ]
-            # A stored table: Spark broadcasts it if its bytes are few.
-            known = self.table.select("place", "category")
-            hot = df.select(quoted(key), F.inline(F.array(*entries))).join(
-                known, ["place", "category"], "left_semi"
+            cells = df.select(quoted(key).alias("_key"), F.inline(F.array(*entries)))
+            found = look_up(
+                cells, self.table, ["place", "category"], "at", spread_by=["_key"],
+                small=sum(s.bytes for s in self.sizes) <= self.broadcast_bytes,
+                counted=max(s.rows for s in self.sizes),
             )
+            hot = found.where("at is not null").withColumnRenamed("_key", key)
             parts.append(
                 hot.select(
                     quoted(key),
@@ -239,7 +300,7 @@ class PreprocessorModel:
         ]
         steps = spark.createDataFrame(rows, _STEP_SCHEMA)
         steps.coalesce(1).write.mode("overwrite").parquet(f"{path}/steps")
-        self.table.select("place", "category").write.mode("overwrite").parquet(f"{path}/categories")
+        self.table.write.mode("overwrite").parquet(f"{path}/categories")
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> PreprocessorModel:
@@ -254,24 +315,15 @@ class PreprocessorModel:
             CategoryStep(r["name"], r["label"], r["constant"])
             for r in rows if r["kind"] == "categorical"
         ]
-        table = spark.read.schema("place int, category string").parquet(f"{path}/categories")
-        return cls(numeric, categorical, table, *_list_categories(table, len(categorical)))
+        table = spark.read.schema(_TABLE_SCHEMA).parquet(f"{path}/categories")
+        return cls(numeric, categorical, table, _sizes(table, len(categorical)))
 
 
 _STEP_SCHEMA = (
     "place int, kind string, name string, fill double, center double, scale double, "
     "label string, constant boolean"
 )
-
-
-def _list_categories(table: DataFrame, columns: int) -> tuple[int, list[list[str]] | None]:
-    size = table.count()
-    if size > LISTED_CATEGORIES:
-        return size, None
-    listed: list[list[str]] = [[] for _ in range(columns)]
-    for r in table.select("place", "category").collect():
-        listed[r["place"]].append(r["category"])
-    return size, [sorted(values) for values in listed]
+_TABLE_SCHEMA = "place int, category string, n long, at long"
 
 
 def fit_preprocessor(
@@ -302,19 +354,28 @@ def fit_preprocessor(
     if absent:
         raise ValueError(f"columns are missing: {absent}")
 
-    numeric = _fit_numeric(df, numeric_cols, quantiles)
-    categorical, table = _fit_categorical(df, categorical_cols)
+    if quantiles not in ("exact", "approx"):
+        raise ValueError(f"unknown quantile method: {quantiles}")
+    requests: list[Request] = []
+    if categorical_cols:
+        requests.append(CategoryCounts(categorical_cols))
+    if quantiles == "exact":
+        requests.append(NumberStats(numeric_cols, [0.5]))
+    gather(df, requests)
+    if quantiles == "exact":
+        numeric = _fit_numeric(numeric_cols, requests[-1].summaries)
+    else:
+        numeric = _fit_numeric(numeric_cols, summarize_numbers(df, numeric_cols, [0.5], method=quantiles))
+    counts = requests[0].counts if categorical_cols else None
+    categorical, table = _fit_categorical(df.sparkSession, counts, categorical_cols, len(numeric))
     empty = [s.name for s in [*numeric, *categorical] if s.constant]
     if empty:
         log.warning("columns without any value are filled with a constant: %s", empty)
-    return PreprocessorModel(
-        numeric, categorical, table, *_list_categories(table, len(categorical))
-    )
+    return PreprocessorModel(numeric, categorical, table, _sizes(table, len(categorical)))
 
 
-def _fit_numeric(df: DataFrame, columns: list[str], method: str) -> list[NumericStep]:
+def _fit_numeric(columns: list[str], summaries: dict[str, NumberSummary]) -> list[NumericStep]:
     """Median fill, then moments of the filled column in closed form."""
-    summaries = summarize_numbers(df, columns, [0.5], method=method)
     infinite = [c for c in columns if summaries[c].infinite]
     if infinite:
         raise ValueError(f"columns hold infinite values: {infinite}")
@@ -334,13 +395,12 @@ def _fit_numeric(df: DataFrame, columns: list[str], method: str) -> list[Numeric
     return some + constant
 
 
-def _fit_categorical(df: DataFrame, columns: list[str]) -> tuple[list[CategoryStep], DataFrame]:
-    """Most frequent fill (smallest on ties) and the table of categories."""
-    spark = df.sparkSession
-    schema = "place int, category string"
-    if not columns:
-        return [], spark.createDataFrame([], schema)
-    counts = materialize(count_categories(df, columns), "categories")
+def _fit_categorical(
+    spark: SparkSession, counts: DataFrame | None, columns: list[str], first: int
+) -> tuple[list[CategoryStep], DataFrame]:
+    """Most frequent fill (smallest on ties) and the stored table of categories."""
+    if counts is None:
+        return [], spark.createDataFrame([], _TABLE_SCHEMA)
     rank = F.struct((-F.col("n")).alias("n"), "category")
     modes = {
         r["place"]: r["mode"]
@@ -355,11 +415,13 @@ def _fit_categorical(df: DataFrame, columns: list[str]) -> tuple[list[CategorySt
     place = F.lit(None).cast("int")
     for new, old in enumerate(some):
         place = F.when(F.col("place") == old, F.lit(new)).otherwise(place)
-    table = counts.select(place.alias("place"), "category")
+    table = counts.select(place.alias("place"), "category", "n")
     if constant:
-        rows = [(len(some) + i, MISSING_LABEL) for i in range(len(constant))]
-        table = table.unionByName(spark.createDataFrame(rows, schema))
-    return steps, table
+        rows = [(len(some) + i, MISSING_LABEL, 1) for i in range(len(constant))]
+        table = table.unionByName(spark.createDataFrame(rows, "place int, category string, n long"))
+    # Numbered over range-sorted partitions: no task orders a whole column.
+    numbered = number_rows(table, "at", order_by=["place", "category"], start=first)
+    return steps, materialize(numbered.select("place", "category", "n", "at"), "categories")
 
 
 @dataclass(frozen=True)

@@ -69,7 +69,8 @@ def gather_round(df: DataFrame, requests: Sequence[Request]) -> None:
     """One scan of ``df`` for all requests."""
     made = [r.cells(df) for r in requests]
     probe = df.select(*[cells[0].key.alias(f"g{i}") for i, cells in enumerate(made)])
-    types = {f.name: f.dataType for f in probe.schema.fields}
+    # As text, types have no word of nulls, which cells of one request may differ in.
+    types = {f.name: f.dataType.simpleString() for f in probe.schema.fields}
     entries = []
     for i, cells in enumerate(made):
         for cell in cells:

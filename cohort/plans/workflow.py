@@ -149,7 +149,7 @@ def evaluate_file(
     split = plan_split(df, target, key=key, test_size=test_size, random_state=random_state)
     given = load_preprocessor(spark, preprocessor_path) if preprocessor_path else None
     model = load_model(model_path)
-    test = df.where(split.is_test())
+    test = split.test_rows(df)
     rest = drop_target_columns(df, target)
     names = model_features(model, rest, [key]) if given is None else None
     vectors = feature_vector(test, given, keep=[key, target], features=names)

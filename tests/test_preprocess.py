@@ -1,3 +1,4 @@
+import dataclasses
 import math
 
 import numpy as np
@@ -15,7 +16,8 @@ from cohort import (
     save_preprocessor,
     transform_df,
 )
-from cohort.operators import preprocess
+from cohort.operators import lookups
+from cohort.operators.model import build_model
 from cohort.operators.preprocess import all_null_columns
 
 SCHEMA = "id long, n double, w int, none double, c string, b boolean, empty string, when date"
@@ -86,18 +88,52 @@ def test_save_and_load(spark, table, fitted, tmp_path):
     assert transform_df(table, again).collect() == transform_df(table, fitted).collect()
 
 
-def test_too_many_categories_still_encode_in_long_form(spark, table, monkeypatch):
-    monkeypatch.setattr(preprocess, "LISTED_CATEGORIES", 2)
-    model = fit_preprocessor(table, numeric_cols=[], categorical_cols=["c", "b"])
-    with pytest.raises(ValueError, match="long"):
-        model.transform_df(table)
-    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+@pytest.mark.parametrize("bound, hot", [(0, 1e-4), (0, 0.2), (0, 2.0), (1 << 20, 1e-4)])
+def test_joins_of_all_kinds_give_the_same_entries(spark, table, fitted, monkeypatch, bound, hot):
+    # All hot, some hot, none hot, broadcast; with Spark's own broadcasts off.
+    monkeypatch.setattr(lookups, "HOT_SHARE", hot)
+    later = table.unionByName(table.withColumn("c", F.lit("never seen")))
+    want = [tuple(r)[1:] for r in fitted.transform_df(later, keep=["id"]).collect()]
+    model = dataclasses.replace(fitted, broadcast_bytes=bound)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        for threshold in (broadcast, "-1"):
-            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-            assert model.transform_long(table, key="id").count() == 10
+        got = model.transform_vector(later, keep=["id"]).select(vector_to_array("features")).collect()
+        assert sorted(tuple(r[0]) for r in got) == sorted(want)
+        long = model.transform_long(later, key="id")
+        assert long.count() == sum(x != 0 for r in want for x in r)
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_hot_rows_are_spread(spark):
+    rows = spark.range(4_000).select("id", F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("c"), "id")).alias("c"))
+    model = dataclasses.replace(fit_preprocessor(rows, numeric_cols=[], categorical_cols=["c"]), broadcast_bytes=0)
+    old = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = model.transform_long(rows, key="id")
+        sizes = out.groupBy(F.spark_partition_id()).count().toPandas()["count"]
+        assert sizes.sum() == 4_000 and sizes.max() < 1_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old[0])
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old[1])
+
+
+def test_training_with_more_than_100_000_categories(spark):
+    n = 100_001
+    rows = spark.range(n).select(
+        "id", F.concat(F.lit("c"), "id").alias("name"), (F.col("id") % 5).cast("double").alias("x"),
+        (F.col("id") % 5 > 2).cast("int").alias("y"),
+    )
+    fitted = fit_preprocessor(rows, target="y", key="id")
+    assert (fitted.size, fitted.feature_table().count()) == (n, n + 1)
+    vectors = fitted.transform_vector(rows, keep=["y"])
+    first = vectors.first()["features"]
+    assert first.size == n + 1 and first.numNonzeros() == 2
+    forest = build_model(vectors, label="y", n_estimators=1, max_depth=1, max_features="all", max_samples=2_000)
+    assert forest.numFeatures == n + 1 and forest.featureImportances.indices.tolist() == [0]
 
 
 def test_many_columns_need_no_option(spark):

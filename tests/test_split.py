@@ -52,7 +52,7 @@ def test_four_tables(spark):
 
 def test_unstratified(spark):
     plan = plan_split(people(spark), "y", stratify=False)
-    assert people(spark).where(plan.is_test()).count() == 201
+    assert plan.test_rows(people(spark)).count() == 201
 
 
 def test_labels_may_be_boolean_text_or_missing(spark):
@@ -73,8 +73,8 @@ def test_refusals(spark):
         plan_split(df.withColumn("y", (F.col("id") == 3).cast("int")), "y")
     with pytest.raises(ValueError, match="identify"):
         plan_split(df.withColumn("id", F.lit(1)), "y")
-    with pytest.raises(ValueError, match="classes"):
-        plan_split(df, "x")
+    with pytest.raises(ValueError, match="3 test and .* 4 classes"):
+        plan_split(df.where("id < 12").withColumn("x", F.col("id") % 4), "x")
     with pytest.raises(ValueError):
         plan_split(df, "y", test_size=1.5)
 
@@ -93,3 +93,24 @@ def test_missing_key_is_refused(spark):
     df = spark.createDataFrame([(1, 0), (2, 1), (None, 1), (4, 0)], "id long, label int")
     with pytest.raises(ValueError, match="missing values"):
         plan_split(df, "label", key="id")
+
+
+@pytest.mark.parametrize("bound, hot", [(0, 1e-3), (0, 2.0), (1 << 20, 1e-3)])
+def test_thousands_of_classes(spark, monkeypatch, bound, hot):
+    monkeypatch.setattr(split.lookups, "BROADCAST_BYTES", bound)
+    monkeypatch.setattr(split.lookups, "HOT_SHARE", hot)
+    # One class, and the rows without one, hold much of the table.
+    y = F.when(F.col("id") < 3_000, F.lit("big")).when(F.col("id") < 5_000, None).otherwise(F.concat(F.lit("c"), F.col("id") % 1_500))
+    df = spark.range(12_500).select("id", y.alias("y"))
+    got = {(r["y"], r["split"]): r["count"] for r in mark_split(df, "y").groupBy("y", "split").count().collect()}
+    sizes = {"big": 3_000, None: 2_000} | {f"c{k}": 5 for k in range(1_500)}
+    train = share_out(sizes, 10_000)
+    for c, n in sizes.items():
+        assert (got.get((c, "train"), 0), got.get((c, "test"), 0)) == (train[c], n - train[c])
+
+
+def test_shares_of_a_table_are_those_of_a_list(spark):
+    sizes = {f"k{k}": 2 + (k * 7919) % 23 for k in range(40)}
+    table = spark.createDataFrame(list(sizes.items()), "label string, n long")
+    got = {r["label"]: r["train"] for r in split._shares(table, 300, sum(sizes.values())).collect()}
+    assert got == share_out(sizes, 300)
