@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohort.functions.values import quoted
-from cohort.llm.shared import materialize
+from cohort.llm.shared import HashFilter, hash_filter, materialize, spread
 
 SUPPORT, WORDS, TOP = 100, 5, 2_000
 UNDETERMINED = "und"
@@ -42,8 +42,6 @@ SHARDS = 8
 UNIT_BYTES, CHUNK_BYTES = 16_000_000, 1_000_000
 #: Phrases of one length whose hashes meet in one range, about.
 RANGE = 1 << 20
-#: Bits of the filter per candidate, and at most (32 MB).
-BITS_EACH, MOST_BITS = 16, 1 << 28
 #: Languages whose sizes tasks are told; the others are mined at support 1.
 LANGUAGES = 1_000
 #: Rows that one task ranks at first.
@@ -111,31 +109,6 @@ def mixed(hashes: np.ndarray, lang: str, length: int) -> np.ndarray:
     return spread(hashes ^ np.uint64(xxh3_64_intdigest(lang.encode(), length)))
 
 
-def spread(x: np.ndarray) -> np.ndarray:
-    x = x ^ (x >> np.uint64(33))
-    x *= np.uint64(0xFF51AFD7ED558CCD)
-    x ^= x >> np.uint64(33)
-    x *= np.uint64(0xC4CEB9FE1A85EC53)
-    return x ^ (x >> np.uint64(33))
-
-
-class PhraseFilter:
-    """A Bloom filter with two bits for each phrase, by the first ``bits`` of its hash."""
-
-    def __init__(self, words: np.ndarray, bits: int) -> None:
-        self.words = words
-        self.mask = np.uint64(len(words) * 64 - 1)
-        self.drop = np.uint64(64 - bits)
-
-    def __call__(self, x: np.ndarray) -> np.ndarray:
-        x = spread((x >> self.drop) << self.drop)
-        return self._bit(x & self.mask) & self._bit((x >> np.uint64(32)) & self.mask)
-
-    def _bit(self, at: np.ndarray) -> np.ndarray:
-        word = self.words[(at >> np.uint64(6)).astype(np.int64)]
-        return (word >> (at & np.uint64(63))) & np.uint64(1) == 1
-
-
 def phrases(
     numbers: np.ndarray, hashes: np.ndarray, most: int, passes
 ) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -165,7 +138,7 @@ def phrases(
 
 
 def occurrences(
-    numbers: np.ndarray, hashes: np.ndarray, lang: str, lengths: tuple[int, int], known: PhraseFilter | None
+    numbers: np.ndarray, hashes: np.ndarray, lang: str, lengths: tuple[int, int], known: HashFilter | None
 ) -> Iterator[np.ndarray]:
     """The hashes of all phrases of these lengths whose parts of one word less, where
     they are shorter than these lengths, are known."""
@@ -214,7 +187,7 @@ def lowered(texts: DataFrame, support: int, shards: int) -> tuple[dict[tuple[int
 
 def mine(
     texts: DataFrame, support: int, least: dict[tuple[int, str], int], ranges: int, lengths: tuple[int, int],
-    known: PhraseFilter | None, unit_bytes: int,
+    known: HashFilter | None, unit_bytes: int,
 ) -> DataFrame:
     """hash: the first bits of the hashes of phrases that are frequent in a part.
 
@@ -278,34 +251,8 @@ def mine(
     return materialize(met.mapInArrow(merge, "hash long"), "local-phrases")
 
 
-def phrase_filter(hashes: DataFrame, ranges: int) -> PhraseFilter:
-    """A filter that the phrases of these ``mine``d hashes pass."""
-    bits = 32 + ranges.bit_length() - 1
-    n = hashes.agg(F.approx_count_distinct("hash").alias("n")).first()["n"]
-    size = 1 << min(MOST_BITS.bit_length() - 1, max(16, int(n * BITS_EACH).bit_length()))
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x = spread(batch.column(0).to_numpy().view(np.uint64) << np.uint64(64 - bits))
-            at = np.concatenate([x, x >> np.uint64(32)]) & np.uint64(size - 1)
-            yield pa.RecordBatch.from_arrays([pa.array(at.view(np.int64))], names=["at"])
-
-    found = (
-        hashes.mapInArrow(places, "at long")
-        .select(
-            F.shiftright("at", 6).alias("word"),
-            F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit"),
-        )
-        .groupBy("word").agg(F.bit_or("bit").alias("bits"))
-        .toArrow()
-    )
-    words = np.zeros(size // 64, dtype=np.int64)
-    words[found["word"].to_numpy()] = found["bits"].to_numpy()
-    return PhraseFilter(words.view(np.uint64), bits)
-
-
 def count(
-    texts: DataFrame, support: int, known: PhraseFilter, ranges: int, most: int, unit_bytes: int
+    texts: DataFrame, support: int, known: HashFilter, ranges: int, most: int, unit_bytes: int
 ) -> DataFrame:
     """lang, phrase, k (words), n: all phrases with ``support`` occurrences, stored; a row
     with k = 0 has the number of all words.
@@ -445,9 +392,9 @@ def collocations(
     least, ranges = lowered(texts, support, shards)
     local = mine(texts, support, least, ranges, (1, 2), None, unit_bytes)
     if words > 2:
-        pairs = phrase_filter(local, ranges)
+        pairs = hash_filter(local, 32 + ranges.bit_length() - 1)
         local = local.unionByName(mine(texts, support, least, ranges, (3, words), pairs, unit_bytes))
-    found = count(texts, support, phrase_filter(local, ranges), ranges, words, unit_bytes)
+    found = count(texts, support, hash_filter(local, 32 + ranges.bit_length() - 1), ranges, words, unit_bytes)
     counts = found.filter("k > 0")
     totals = materialize(found.filter("k = 0").select("lang", "n"), "language-words")
     scored = materialize(

@@ -5,6 +5,8 @@ from __future__ import annotations
 import sys
 import types
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SPACES = " \t\n\x0b\x0c\r"
 #: A group is hot when it holds more than this share of all rows.
 HOT_SHARE = 1_000
+#: Bits of a filter per hash, and at most (32 MB).
+BITS_EACH, MOST_BITS = 16, 1 << 28
 
 __all__ = ["ascii_lower", "attach", "documents", "materialize", "process_memo"]
 
@@ -86,3 +90,52 @@ def in_fold(id_col: Column, parts: int, part: int) -> Column:
     return F.coalesce(
         F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(parts)) == part, F.lit(False)
     )
+
+
+def spread(x: np.ndarray) -> np.ndarray:
+    """Hashes mixed once more."""
+    x = x ^ (x >> np.uint64(33))
+    x *= np.uint64(0xFF51AFD7ED558CCD)
+    x ^= x >> np.uint64(33)
+    x *= np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+class HashFilter:
+    """A Bloom filter with two bits for each hash, of which the first ``bits`` count."""
+
+    def __init__(self, words: np.ndarray, bits: int) -> None:
+        self.words = words
+        self.mask = np.uint64(len(words) * 64 - 1)
+        self.drop = np.uint64(64 - bits)
+
+    def __call__(self, x: np.ndarray) -> np.ndarray:
+        """Whether each unsigned hash may be among those of the filter."""
+        x = spread((x >> self.drop) << self.drop)
+        return self._bit(x & self.mask) & self._bit((x >> np.uint64(32)) & self.mask)
+
+    def _bit(self, at: np.ndarray) -> np.ndarray:
+        word = self.words[(at >> np.uint64(6)).astype(np.int64)]
+        return (word >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def hash_filter(hashes: DataFrame, bits: int) -> HashFilter:
+    """A filter of bounded size of a stored table ``hash``: the first ``bits`` of hashes."""
+    n = hashes.agg(F.approx_count_distinct("hash").alias("n")).first()["n"]
+    size = 1 << min(MOST_BITS.bit_length() - 1, max(16, int(n * BITS_EACH).bit_length()))
+
+    def places(batches):
+        for batch in batches:
+            x = spread(batch.column(0).to_numpy().view(np.uint64) << np.uint64(64 - bits))
+            at = np.concatenate([x, x >> np.uint64(32)]) & np.uint64(size - 1)
+            yield pa.RecordBatch.from_arrays([pa.array(at.view(np.int64))], names=["at"])
+
+    found = (
+        hashes.mapInArrow(places, "at long")
+        .select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit"))
+        .groupBy("word").agg(F.bit_or("bit").alias("bits"))
+        .toArrow()
+    )
+    words = np.zeros(size // 64, dtype=np.int64)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy()
+    return HashFilter(words.view(np.uint64), bits)

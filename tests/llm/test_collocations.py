@@ -13,6 +13,7 @@ import pytest
 sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parents[2])]
 
 from cohort.llm import collocations as col  # noqa: E402
+from cohort.llm import shared  # noqa: E402
 
 ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -95,7 +96,7 @@ def test_unknown_languages_are_mined_at_support_one(spark, monkeypatch):
 
 
 def test_full_filter_keeps_counts_exact(spark, monkeypatch):
-    monkeypatch.setattr(col, "MOST_BITS", 1 << 7)
+    monkeypatch.setattr(shared, "MOST_BITS", 1 << 7)
     rows = made(np.random.default_rng(8))
     df = spark.createDataFrame(rows, "text string, lang string")
     got = col.collocations(df, support=5, unit_bytes=700).collect()

@@ -95,3 +95,23 @@ def test_stage_with_null_and_repeated_ids(spark):
     assert Counter(r.doc_id for r in kept) == {7: 2, None: 2}
     assert {r.text for r in kept if r.doc_id == 7} == {other + " y", "alone here"}
     assert sum(r.text in (long, long + " x") for r in kept) == 1
+
+
+def test_columns_of_any_name(spark):
+    text = " ".join(f"a{k}" for k in range(60))
+    rows = [(1, text, 5, "k", 1, 2, 3), (2, text + " x", 5, "k", 1, 2, 3), (3, "other", 6, "l", 1, 2, 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int, key string, least int, near_group int, me long")
+    kept = corpus_pipeline.drop_near_copies(spark, df, "").collect()
+    assert sorted(map(tuple, kept)) == [rows[0], rows[2]]
+    groups = {r.doc_id: bytes(r.near_group) for r in near.near_copies(df).collect()}
+    assert groups[1] == groups[2] != groups[3]
+
+
+def test_rows_that_repeat_id_and_text(spark, monkeypatch):
+    text = " ".join(f"a{k}" for k in range(60))
+    df = spark.createDataFrame([(7, text, k) for k in range(3)] + [(8, text + " y", 3)], "doc_id long, text string, k int")
+    for most in (near.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(near, "BROADCAST_BYTES", most)
+        kept = corpus_pipeline.drop_near_copies(spark, df, "").collect()
+        assert [(r.doc_id, r.text) for r in kept] == [(7, text)]
+    assert corpus_pipeline.drop_near_copies(spark, df.filter("false"), "").count() == 0
