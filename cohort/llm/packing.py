@@ -32,6 +32,8 @@ CAPACITY = 4096
 END_ID = 1
 #: Words whose ids a worker keeps; the memo starts anew when it is full.
 MEMO_WORDS = 600_000
+#: Words that are encoded as one text.
+JOINED_WORDS = 512
 #: Text that is split into words at one time, in bytes.
 UNIT_BYTES = 1 << 20
 SLICES, SLICE_ROWS = 256, 1_000_000
@@ -49,6 +51,18 @@ def tokenizer_text(path: str | None = None) -> str:
     return Path(path).read_text(encoding="utf-8")
 
 
+class _Memo(dict):
+    """Ids of words; words without any are noted."""
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.new: set[bytes] = set()
+
+    def __missing__(self, word: bytes) -> bytes:
+        self.new.add(word)
+        return b""
+
+
 class WordEncoder:
     """Token ids of whole texts, word by word through a memo.
 
@@ -56,6 +70,9 @@ class WordEncoder:
     those of its words.  Where a text is free of special tokens and combining
     marks, A-Z are lowered and a mark after a word is split off beforehand; both
     leave the ids as they are and make far fewer different words.
+
+    New words are encoded many at a time, with a special token between them, as a
+    result of its own for each costs more than the encoding.
     """
 
     def __init__(self, model: str) -> None:
@@ -63,7 +80,20 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.memo: dict[bytes, bytes] = {}
+        self.memo = _Memo()
+        self.between = self._separator()
+
+    def _separator(self) -> tuple[str, int] | None:
+        """A special token that parts words without a trace, and its id."""
+        for number, token in sorted(self.tokenizer.get_added_tokens_decoder().items()):
+            if not token.special or token.normalized or token.single_word or token.lstrip or token.rstrip:
+                continue
+            words = ["one", "two's", "\u00c9t\u00e9", "4", "!?", "one"]
+            own = [self.tokenizer.encode(w, add_special_tokens=False).ids for w in words]
+            want = own[0] + [i for ids in own[1:] for i in (number, *ids)]
+            if self.tokenizer.encode(token.content.join(words), add_special_tokens=False).ids == want:
+                return token.content, number
+        return None
 
     @staticmethod
     def units(text: bytes) -> Iterator[bytes]:
@@ -82,17 +112,24 @@ class WordEncoder:
             text = _TRAILING_MARK.sub(rb" \1", text.lower())
         return text.split()
 
-    def learn(self, words: set[bytes]) -> None:
-        new = [w for w in words if w not in self.memo]
-        if not new:
-            return
-        if len(self.memo) + len(new) > MEMO_WORDS:
-            self.memo.clear()
-            new = list(words)
-        encoded = self.tokenizer.encode_batch(
-            [w.decode("utf-8") for w in new], add_special_tokens=False
-        )
-        for word, found in zip(new, encoded):
+    def learn(self, words: list[bytes]) -> None:
+        single = words
+        if self.between is not None:
+            text, number = self.between
+            begin = text[0].encode()
+            single = [w for w in words if begin in w]
+            joined = [w for w in words if begin not in w]
+            groups = [joined[a : a + JOINED_WORDS] for a in range(0, len(joined), JOINED_WORDS)]
+            encoded = self.tokenizer.encode_batch(
+                [text.join([w.decode("utf-8") for w in g]) for g in groups], add_special_tokens=False
+            )
+            for group, found in zip(groups, encoded):
+                ids = np.asarray(found.ids, dtype="<u4")
+                cuts = (np.flatnonzero(ids == number) * 4).tolist()
+                whole = ids.tobytes()
+                self.memo.update(zip(group, [whole[a:b] for a, b in zip([0, *[c + 4 for c in cuts]], [*cuts, len(whole)])]))
+        encoded = self.tokenizer.encode_batch([w.decode("utf-8") for w in single], add_special_tokens=False)
+        for word, found in zip(single, encoded):
             self.memo[word] = np.asarray(found.ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[bytes]) -> Iterator[bytes]:
@@ -110,16 +147,23 @@ class WordEncoder:
         yield from self._flush(batch, done)
 
     def _flush(self, batch, done: list[bytes]) -> Iterator[bytes]:
-        need: set[bytes] = set()
-        for _, words in batch:
-            need.update(words)
-        self.learn(need)
-        for last, words in batch:
-            done.append(b"".join(map(self.memo.__getitem__, words)))
+        found = self._joined(batch)
+        if self.memo.new:
+            if len(self.memo) + len(self.memo.new) > MEMO_WORDS:
+                self.memo.clear()
+                self.memo.new.update(*[words for _, words in batch])
+            self.learn(list(self.memo.new))
+            self.memo.new.clear()
+            found = self._joined(batch)
+        for (last, _), ids in zip(batch, found):
+            done.append(ids)
             if last:
                 yield b"".join(done)
                 done.clear()
 
+    def _joined(self, batch) -> list[bytes]:
+        return [b"".join(map(self.memo.__getitem__, words)) for _, words in batch]
+
 
 def encode_pieces(
     docs: DataFrame,
