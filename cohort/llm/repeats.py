@@ -39,12 +39,14 @@ LENGTH, GRAM = 200, 32
 CROWD = 4_000
 #: Bytes that are hashed, and that are indexed, at one time.
 UNIT_BYTES, INDEX_BYTES = 1 << 19, 1 << 20
-_ROW = ["doc_id", "version"]
+#: What tells a row from all but those with the same id and text: two hashes of both.
+_ROW = ["me", "me2"]
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """doc_id, version, text: a hash of the text tells rows of one id apart."""
-    return docs.select("doc_id", F.hash("text").alias("version"), F.col("text").cast("binary").alias("text"))
+    """me, me2, text as bytes, doc_id."""
+    hashes = [F.xxhash64(F.lit(k), "doc_id", "text").alias(name) for k, name in enumerate(_ROW)]
+    return docs.select(*hashes, F.col("text").cast("binary").alias("text"), "doc_id")
 
 
 # -- anchors ---------------------------------------------------------------
@@ -90,7 +92,7 @@ def anchor_places(buffer: np.ndarray, starts: np.ndarray, ends: np.ndarray, leng
 
 
 def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """gram_hash, context_hash, doc_id, version, pos for ``keyed`` documents."""
+    """gram_hash, context_hash, me, me2, pos for ``keyed`` documents."""
     reach = length - gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -124,11 +126,11 @@ def anchors(docs: DataFrame, length: int, gram: int) -> DataFrame:
                         batch.column(1).take(at),
                         pa.array((places - starts[row]).astype(np.int32)),
                     ],
-                    names=["gram_hash", "context_hash", "doc_id", "version", "pos"],
+                    names=["gram_hash", "context_hash", "me", "me2", "pos"],
                 )
 
     return docs.mapInArrow(
-        run, f"gram_hash long, context_hash long, doc_id {id_type(docs)}, version int, pos int"
+        run, f"gram_hash long, context_hash long, me long, me2 long, pos int"
     )
 
 
@@ -252,8 +254,9 @@ def index_spans(rows: list[tuple], length: int) -> Iterator[tuple]:
 # -- the job -----------------------------------------------------------------
 
 
-def packed_texts(docs: DataFrame) -> DataFrame:
-    """doc_id, version, packed: texts of at least one string, compressed to travel."""
+def packed_texts(docs: DataFrame, *more: str) -> DataFrame:
+    """me, me2, packed and ``more`` columns: texts, compressed to travel."""
+    names = [*_ROW, "packed", *more]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -262,11 +265,11 @@ def packed_texts(docs: DataFrame) -> DataFrame:
         for batch in batches:
             packed = [pack.compress(text) for text in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(packed, pa.binary())],
-                names=["doc_id", "version", "packed"],
+                [batch.column(0), batch.column(1), pa.array(packed, pa.binary()), *batch.columns[3:]], names=names
             )
 
-    return docs.mapInArrow(run, f"doc_id {id_type(docs)}, version int, packed binary")
+    fields = "".join(f", {c} {id_type(docs, c)}" for c in more)
+    return docs.select(*_ROW, "text", *more).mapInArrow(run, f"me long, me2 long, packed binary{fields}")
 
 
 def _unpack(packed: bytes) -> bytes:
@@ -276,18 +279,18 @@ def _unpack(packed: bytes) -> bytes:
 
 
 def _same_row(a: DataFrame, b: DataFrame):
-    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["version"] == b["version"])
+    return (a["me"] == b["me"]) & (a["me2"] == b["me2"])
 
 
 def contexts(docs: DataFrame, wanted: DataFrame, length: int, gram: int) -> DataFrame:
-    """gram_hash, crowded, doc_id, version, pos, first, context of wanted anchors."""
+    """gram_hash, crowded, me, me2, pos, first, context of wanted anchors."""
     reach = length - gram
     places = wanted.groupBy(*_ROW).agg(
         F.collect_list(F.struct("gram_hash", "crowded", "pos")).alias("places")
     )
     texts = packed_texts(docs.filter(F.octet_length("text") >= length))
     rows = texts.join(places, _same_row(texts, places)).select(
-        texts["doc_id"], texts["version"], "packed", "places"
+        texts["me"], texts["me2"], "packed", "places"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -320,19 +323,18 @@ def contexts(docs: DataFrame, wanted: DataFrame, length: int, gram: int) -> Data
                         pa.array(first, pa.int32()),
                         pa.array(context, pa.binary()),
                     ],
-                    names=["gram_hash", "crowded", "doc_id", "version", "pos", "first", "context"],
+                    names=["gram_hash", "crowded", "me", "me2", "pos", "first", "context"],
                 )
 
     return rows.mapInArrow(
         run,
-        f"gram_hash long, crowded boolean, doc_id {id_type(docs)}, version int, pos int, "
+        f"gram_hash long, crowded boolean, me long, me2 long, pos int, "
         "first int, context binary",
     )
 
 
 def indexed_spans(found: DataFrame, length: int) -> DataFrame:
-    """doc_id, version, first, end from contexts that meet by gram in run-length indexes."""
-    kind = found.schema["doc_id"].dataType
+    """me, me2, first, end from contexts that meet by gram in run-length indexes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
@@ -340,37 +342,33 @@ def indexed_spans(found: DataFrame, length: int) -> DataFrame:
 
         def flush() -> pa.RecordBatch:
             spans = list(index_spans(held, length))
-            ids = [key[1] if key[0] else None for key, _, _ in spans]
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, id_arrow),
-                    pa.array([key[2] for key, _, _ in spans], pa.int32()),
+                    pa.array([key[0] for key, _, _ in spans], pa.int64()),
+                    pa.array([key[1] for key, _, _ in spans], pa.int64()),
                     pa.array([f for _, f, _ in spans], pa.int32()),
                     pa.array([e for _, _, e in spans], pa.int32()),
                 ],
-                names=["doc_id", "version", "first", "end"],
+                names=["me", "me2", "first", "end"],
             )
 
-        id_arrow = None
         for batch in batches:
-            id_arrow = batch.schema.field("doc_id").type
-            columns = [batch.column(c).to_pylist() for c in ("gram_hash", "doc_id", "version", "first", "context")]
-            for gram, doc_id, version, first, context in zip(*columns):
+            columns = [batch.column(c).to_pylist() for c in ("gram_hash", "me", "me2", "first", "context")]
+            for gram, me, me2, first, context in zip(*columns):
                 if gram != last and size >= INDEX_BYTES:
                     yield flush()
                     held, size = [], 0
                 last = gram
-                # A null id is a key too; keys must compare.
-                held.append(((doc_id is not None, doc_id if doc_id is not None else 0, version), first, context))
+                held.append(((me, me2), first, context))
                 size += len(context)
         if held:
             yield flush()
 
     return (
-        found.select("gram_hash", "doc_id", "version", "first", "context")
+        found.select("gram_hash", "me", "me2", "first", "context")
         .repartition("gram_hash")
         .sortWithinPartitions("gram_hash")
-        .mapInArrow(run, f"doc_id {kind.simpleString()}, version int, first int, end int")
+        .mapInArrow(run, f"me long, me2 long, first int, end int")
     )
 
 
@@ -471,7 +469,7 @@ def string_digest(left: bytes, right: bytes, x: int, length: int) -> int:
 
 
 def crowded_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
-    """doc_id, version, first, end for grams with too many contexts for one index.
+    """me, me2, first, end for grams with too many contexts for one index.
 
     A string through the gram has x bytes on the left of it and the rest on the
     right.  All strings of one context hold its gram, so they cover what those of
@@ -493,16 +491,15 @@ def crowded_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
                 left.append(context[: pos - first][::-1])
                 right.append(context[pos - first :])
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c) for c in ("gram_hash", "doc_id", "version", "pos")],
+                [*[batch.column(c) for c in ("gram_hash", "me", "me2", "pos")],
                  pa.array(left, pa.binary()), pa.array(right, pa.binary())],
-                names=["gram_hash", "doc_id", "version", "pos", "left", "right"],
+                names=["gram_hash", "me", "me2", "pos", "left", "right"],
             )
 
-    id_kind = id_type(found)
     rows = materialize(
         found.mapInArrow(
             sides,
-            f"gram_hash long, doc_id {id_kind}, version int, pos int, left binary, right binary",
+            f"gram_hash long, me long, me2 long, pos int, left binary, right binary",
         ),
         "crowded-sides",
     )
@@ -538,7 +535,7 @@ def crowded_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
     stored = materialize(
         both.mapInArrow(
             hulls,
-            f"gram_hash long, doc_id {id_kind}, version int, first int, end int, offset int, "
+            f"gram_hash long, me long, me2 long, first int, end int, offset int, "
             "string_hash long",
         ),
         "crowded-spans",
@@ -576,10 +573,8 @@ def crowded_spans(found: DataFrame, length: int, gram: int) -> DataFrame:
 def cut_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
     """doc_id, n_bytes, removed (list of first, end), text: what is left, as bytes."""
     listed = spans.groupBy(*_ROW).agg(F.collect_list(F.struct("first", "end")).alias("spans"))
-    texts = packed_texts(docs)
-    rows = texts.join(listed, _same_row(texts, listed), "left").select(
-        texts["doc_id"], "packed", "spans"
-    )
+    texts = packed_texts(docs, "doc_id")
+    rows = texts.join(listed, _same_row(texts, listed), "left").select("doc_id", "packed", "spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
@@ -632,18 +627,17 @@ def remove_repeats(
         raise ValueError("gram must be a power of two below length")
     mine = keyed(documents(docs, id_col, text_col))
     listed = materialize(anchors(mine, length, gram), "anchors")
-    again = (
-        listed.groupBy("gram_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("gram_hash")
-    )
-    shared = materialize(listed.join(again, "gram_hash"), "shared-anchors")
+    again = listed.groupBy("gram_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    again = materialize(again, "shared-grams")
+    shared = materialize(attach(listed, again, ["gram_hash"], "n").drop("n"), "shared-anchors")
     by_context = materialize(
         shared.groupBy("gram_hash", "context_hash").agg(
             F.count(F.lit(1)).alias("n"), F.min(F.struct(*_ROW, "pos")).alias("place")
         ),
         "shared-contexts",
     )
-    twice = by_context.filter("n > 1").select("gram_hash", "context_hash")
-    whole = shared.join(twice, ["gram_hash", "context_hash"]).select(
+    twice = by_context.filter("n > 1").select("gram_hash", "context_hash", "n")
+    whole = attach(shared, twice, ["gram_hash", "context_hash"], "n").select(
         *_ROW,
         F.greatest(F.col("pos") - (length - gram), F.lit(0)).alias("first"),
         (F.col("pos") + length).alias("end"),

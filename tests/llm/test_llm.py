@@ -341,6 +341,20 @@ def test_repeats(spark, crowd):
     assert repeats.remove_repeats(df.filter("false")).count() == 0
 
 
+def test_repeats_tell_rows_of_one_id_apart(spark):
+    """Texts whose 32-bit hashes are equal, without ids and under one id."""
+    from pyspark.sql import functions as F
+
+    made = spark.range(200_000).select(F.sha2(F.col("id").cast("string"), 512).alias("s"))
+    text = F.concat(*[F.sha2(F.concat("s", F.lit(str(k))), 256) for k in range(5)]).alias("text")
+    pairs = made.select(text).groupBy(F.hash("text")).agg(F.collect_list("text").alias("t")).filter(F.size("t") > 1)
+    a, b = pairs.first()["t"][:2]
+    for doc_id in (None, 7):
+        df = spark.createDataFrame([(doc_id, a), (doc_id, b), (1, a)], "doc_id long, text string")
+        got = Counter((r.doc_id, bytes(r.text)) for r in repeats.remove_repeats(df).collect())
+        assert got == Counter([(doc_id, b""), (doc_id, b.encode()), (1, b"")])
+
+
 def test_match_lengths():
     rng = np.random.default_rng(7)
 
