@@ -76,6 +76,14 @@ from documents d join labels l on d.doc_id = l.doc_id
 """
 
 
+#: Numeric columns of the population, with gaps.
+WIDE = (
+    "annual_income_usd", "smokes_per_day", "drinks_per_week", "children_count", "attempts_to_quit_smoking",
+    "attempts_to_quit_drinking", "sleep_hours", "bmi", "social_support", "years_smoking", "pack_years",
+    "sleep_deficit", "diet_score", "exercise_score", "mh_score",
+)
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from cohort.checks.fixtures import LABELLED, POPULATION, RAW_POPULATION, SCORED
+from cohort.checks.fixtures import LABELLED, POPULATION, RAW_POPULATION, SCORED, WIDE
 
 TARGET = "has_health_issues"
 
@@ -323,6 +323,18 @@ def _catalog() -> str:
     return " union all ".join(rows)
 
 
+def _wide_correlations() -> str:
+    columns = [*WIDE, *[f"{c}_sq" for c in WIDE]]
+    value = {c: c for c in WIDE} | {f"{c}_sq": f"({c} * {c})" for c in WIDE}
+    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    lists = (
+        ", ".join(f"'{a}'" for a, _ in pairs), ", ".join(f"'{b}'" for _, b in pairs),
+        ", ".join(r6(f"corr({value[a]}, {value[b]})") for a, b in pairs),
+    )
+    x, y, corr = (f"unnest([{part}])" for part in lists)
+    return f"select {x} as x, {y} as y, {corr} as corr from population"
+
+
 def _correlations() -> str:
     columns = ["annual_income_usd", "smokes_per_day", "bmi", "sleep_hours"]
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
@@ -477,6 +489,23 @@ ORACLES: dict[str, str] = {
         "select marital_status, count(*) as count from population group by 1"
     ),
     "corr_matrix": on_population(_correlations()),
+    "corr_matrix_wide": on_population(_wide_correlations()),
+    "histogram_infinite": on_population(
+        f"select b.bin, {r6('lo + b.bin * w')} as \"left\", {r6('lo + (b.bin + 1) * w')} as \"right\", "
+        "(select count(*) from finite where least(floor((income - lo) / w), 9) = b.bin) as count "
+        "from (select cast(range as integer) as bin from range(10)) b, bounds "
+        "union all select cast(-1 as integer), '-infinity'::double, '-infinity'::double, count(*) "
+        "from incomes where income = '-infinity'::double having count(*) > 0 "
+        "union all select cast(10 as integer), 'infinity'::double, 'infinity'::double, count(*) "
+        "from incomes where income = 'infinity'::double having count(*) > 0",
+        (
+            "incomes",
+            "select case when id % 50 = 0 then 'infinity'::double when id % 70 = 1 then '-infinity'::double "
+            "else annual_income_usd end as income from population",
+        ),
+        ("finite", "select income from incomes where isfinite(income)"),
+        ("bounds", "select min(income) as lo, (max(income) - min(income)) / 10 as w from finite"),
+    ),
     "histogram": on_population(
         f"select b.bin, {r6('lo + b.bin * w')} as \"left\", {r6('lo + (b.bin + 1) * w')} as \"right\", "
         "(select count(*) from population where annual_income_usd is not null and "
@@ -680,6 +709,11 @@ ORACLES: dict[str, str] = {
         *_matrix(),
         ("nulls_after", _null_rows(MATRIX_COLUMNS, "matrix")),
     ),
+    "guard_report": on_population(
+        "select count(*) as rows, count(*) filter (where id % 97 = 0) as missing_keys, "
+        "count(*) filter (where id % 50 <> 0 and id % 60 = 1) as missing_labels, "
+        "count(*) filter (where id % 50 = 0 or id % 60 = 1) as strange_labels, '2' as example from population"
+    ),
     "class_weights": on_population(
         f"select {TARGET} as label, count(*) as n, "
         f"{r6('sum(count(*)) over () / (count(*) over () * count(*))')} as weight "
@@ -704,6 +738,11 @@ ORACLES: dict[str, str] = {
         + " from cells",
         _CELLS,
     ),
+    "roc_auc_continuous": f"select {r6('sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg))')} as roc_auc from ("
+    "select pos, neg, coalesce(sum(neg) over (order by score rows between unbounded preceding "
+    "and 1 preceding), 0) as below from (select l_extendedprice as score, "
+    "cast(count(*) filter (where l_returnflag = 'R') as double) as pos, "
+    "cast(count(*) filter (where l_returnflag <> 'R') as double) as neg from lineitem group by 1))",
     "roc_auc": on_scored(
         f"select {r6('sum(pos * (below + neg / 2)) / (sum(pos) * sum(neg))')} as roc_auc from ("
         "select pos, neg, coalesce(sum(neg) over (order by score rows between unbounded preceding "

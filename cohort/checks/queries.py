@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from cohort.checks.fixtures import labelled, population, raw_population, scored
+from cohort.checks.fixtures import WIDE, labelled, population, raw_population, scored
 from cohort.functions.values import quoted
 from cohort.operators import clean, features, groups, metrics, model, preprocess, profile, split
 from cohort.operators.numbers import exact_quantiles
@@ -239,6 +239,24 @@ def corr_matrix(spark, folder):
     return rounded(profile.corr_matrix(population(spark, folder), columns))
 
 
+@query
+def corr_matrix_wide(spark, folder):
+    """30 columns with gaps: 465 pairs."""
+    people = population(spark, folder)
+    squares = {f"{c}_sq": F.col(c) * F.col(c) for c in WIDE}
+    return rounded(profile.corr_matrix(people.withColumns(squares), [*WIDE, *squares]))
+
+
+@query
+def histogram_infinite(spark, folder):
+    income = F.expr(
+        "CASE WHEN id % 50 = 0 THEN double('infinity') WHEN id % 70 = 1 THEN double('-infinity') "
+        "ELSE annual_income_usd END"
+    )
+    rows = population(spark, folder).select(income.alias("income"))
+    return rounded(profile.histogram(rows, "income", 10))
+
+
 @query
 def histogram(spark, folder):
     return rounded(profile.histogram(population(spark, folder), "annual_income_usd", 10))
@@ -607,6 +625,16 @@ def assert_no_nulls(spark, folder):
 # --- model -------------------------------------------------------------------
 
 
+@query
+def guard_report(spark, folder):
+    """A table with missing keys, missing labels and labels other than 0 and 1."""
+    people = population(spark, folder).selectExpr(
+        "if(id % 97 = 0, null, id) AS id",
+        f"CASE WHEN id % 50 = 0 THEN 2 WHEN id % 60 = 1 THEN null ELSE {TARGET} END AS {TARGET}",
+    )
+    return model.guard_report(people, TARGET)
+
+
 @query
 def class_weights(spark, folder):
     return rounded(model.class_weights(population(spark, folder), TARGET))
@@ -673,6 +701,15 @@ def roc_auc(spark, folder):
     return rounded(metrics.roc_auc(scored(spark, folder)))
 
 
+@query
+def roc_auc_continuous(spark, folder):
+    """Nearly as many scores as rows, in ranges of a hundred."""
+    rows = spark.read.parquet(f"{folder}/lineitem.parquet").select(
+        F.col("l_extendedprice").alias("score"), (F.col("l_returnflag") == "R").cast("int").alias("label")
+    )
+    return rounded(metrics.roc_auc(rows, range_rows=100))
+
+
 @query
 def log_loss(spark, folder):
     return rounded(metrics.log_loss(scored(spark, folder)))

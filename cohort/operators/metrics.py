@@ -4,33 +4,48 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cohort.functions.values import nan_to_null, quoted
+from cohort.plans.workspace import materialize
 
 # Fixed value: probabilities are clipped by the spacing of doubles at 1.
 PROBABILITY_EPSILON = 2.220446049250313e-16
 
-SCORE_BUCKETS = 1_000
+#: Distinct scores that one task orders, about.
+RANGE_ROWS = 1_000_000
+
+
+def strange_label(df: DataFrame, column: str) -> Column:
+    """Whether a label is neither boolean nor 0/1; types that never are raise."""
+    dtype = df.schema[column].dataType
+    if isinstance(dtype, T.BooleanType):
+        return quoted(column).isNull()
+    if not isinstance(dtype, T.NumericType):
+        raise ValueError(f"labels must be boolean or 0/1, {column!r} is {dtype.simpleString()}")
+    return ~F.coalesce(quoted(column).isin(0, 1), F.lit(False))
+
+
+def forbid_strange(count: int, example: Any = None) -> None:
+    if count:
+        said = "" if example is None else f", for example {example}"
+        raise ValueError(f"labels must be boolean or 0/1: {count} rows differ{said}")
 
 
 def to01(df: DataFrame, column: str) -> DataFrame:
     """Labels as 0/1 integers; anything but booleans or 0/1 raises."""
-    dtype = df.schema[column].dataType
-    label = quoted(column)
-    if not isinstance(dtype, T.BooleanType):
-        if not isinstance(dtype, T.NumericType):
-            raise ValueError(f"labels must be boolean or 0/1, {column!r} is {dtype.simpleString()}")
-        allowed = F.coalesce(label.isin(0, 1), F.lit(False))
-        bad = df.agg(F.count_if(~allowed).alias("n"), F.min(F.when(~allowed, label)).alias("v")).first()
-        if bad["n"]:
-            raise ValueError(
-                f"labels must be boolean or 0/1: {bad['n']} rows differ, for example {bad['v']}"
-            )
-    return df.withColumn(column, label.cast("int"))
+    strange = strange_label(df, column)
+    if not isinstance(df.schema[column].dataType, T.BooleanType):
+        bad = df.agg(F.count_if(strange).alias("n"), F.min(F.when(strange, quoted(column))).alias("v")).first()
+        forbid_strange(bad["n"], bad["v"])
+    return as01(df, column)
+
+
+def as01(df: DataFrame, column: str) -> DataFrame:
+    """Labels that are known to be boolean or 0/1 as integers."""
+    return df.withColumn(column, quoted(column).cast("int"))
 
 
 def _cells(label: Column, pred: Column) -> list[Column]:
@@ -84,36 +99,32 @@ def support(df: DataFrame, label: str = "label") -> DataFrame:
 
 
 def roc_auc(
-    df: DataFrame, label: str = "label", score: str = "score", *, buckets: int = SCORE_BUCKETS
+    df: DataFrame, label: str = "label", score: str = "score", *, range_rows: int = RANGE_ROWS
 ) -> DataFrame:
     """Area under the ROC curve; tied scores count half.  One class gives NULL, and
     so does a missing score or label: an area over the rest would be another one.
 
-    Equal scores merge before the shuffle.  The distinct scores are then spread
-    over ranges cut at sketched quantiles; each range counts its own ordered
-    pairs, and what is left to combine is one small row per range.
+    Equal scores merge before the shuffle and are stored.  The distinct scores are
+    range-partitioned, as many ranges as make about ``range_rows`` scores each; a
+    range adds up the negatives below each of its scores, and the ranges, one row
+    each, add up those of the ranges below.
     """
     value = nan_to_null(quoted(score).cast("double"))
-    points = df.select(value.alias("score"), quoted(label).alias("label"))
-    steps = [i / buckets for i in range(1, buckets)]
-    known = points.agg(
-        F.percentile_approx("score", steps, 2 * buckets).alias("cuts"),
-        F.count_if(F.col("score").isNull() | F.col("label").isNull()).alias("missing"),
-    ).first()
-    if known["missing"]:
-        return df.sparkSession.range(1).select(F.lit(None).cast("double").alias("roc_auc"))
-    cuts = sorted({c for c in known["cuts"] or () if abs(c) < float("inf")}) or [0.0]
-    per_score = points.groupBy("score").agg(
-        F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg")
+    y = quoted(label)
+    per_score = materialize(
+        df.select(value.alias("score"), y.alias("label")).groupBy("score").agg(
+            F.count_if(F.col("label") == 1).alias("pos"), F.count_if(F.col("label") == 0).alias("neg"),
+            F.count_if(F.col("label").isNull() | F.col("score").isNull()).alias("missing"),
+        ),
+        "scores",
     )
-    placed = Bucketizer(
-        splits=[-float("inf"), *cuts, float("inf")], inputCol="score", outputCol="range"
-    ).transform(per_score)
-    lower = (
-        Window.partitionBy("range").orderBy("score")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    neg_below = F.coalesce(F.sum("neg").over(lower), F.lit(0))
+    missing, scores = per_score.agg(F.coalesce(F.sum("missing"), F.lit(0)), F.count(F.lit(1))).first()
+    if missing:
+        return df.sparkSession.range(1).select(F.lit(None).cast("double").alias("roc_auc"))
+    ranges = max(1, -(-scores // range_rows))
+    placed = per_score.repartitionByRange(ranges, "score").withColumn("range", F.spark_partition_id())
+    below = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
+    neg_below = F.coalesce(F.sum("neg").over(below), F.lit(0))
     per_range = (
         placed.withColumn("pairs", F.col("pos") * (neg_below + F.col("neg") / 2))
         .groupBy("range")

@@ -9,13 +9,20 @@ from typing import Any
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohort.functions.values import quoted
 from cohort.operators.clean import number_rows
 from cohort.operators.features import drop_target_columns
-from cohort.operators.metrics import metrics_of, positive_class_index, to01
+from cohort.operators.metrics import (
+    as01,
+    forbid_strange,
+    metrics_of,
+    positive_class_index,
+    strange_label,
+    to01,
+)
 from cohort.operators.preprocess import PreprocessorModel, fit_preprocessor, infer_columns
 from cohort.operators.split import plan_split
 from cohort.plans.workspace import materialize
@@ -51,6 +58,26 @@ def require_rows(df: DataFrame, what: str) -> None:
         raise ValueError(f"{what} table is empty")
 
 
+def guard_counts(df: DataFrame, target: str, key: str) -> dict[str, Column]:
+    """The conditions that no row of a training table may meet, by name."""
+    return {
+        "missing_keys": quoted(key).isNull(),
+        "missing_labels": quoted(target).isNull(),
+        "strange_labels": strange_label(df, target),
+    }
+
+
+def guard_report(df: DataFrame, target: str, *, key: str = "id") -> DataFrame:
+    """One row, from one pass: rows, missing_keys, missing_labels, strange_labels and the
+    least strange label as text.  Training counts the same in the scan of its split."""
+    require_target(df, target)
+    counts = guard_counts(df, target, key)
+    example = F.min(F.when(counts["strange_labels"], quoted(target).cast("string")))
+    return df.agg(
+        F.count(F.lit(1)).alias("rows"), *[F.count_if(c).alias(n) for n, c in counts.items()], example.alias("example")
+    )
+
+
 def pick_id(df: DataFrame) -> str | None:
     """The first known key name the table has (exact case)."""
     return next((c for c in ID_COLUMNS if c in df.columns), None)
@@ -80,10 +107,12 @@ def build_model(
     class_weight: str | None = "balanced",
     random_state: int = 42,
     max_samples: int | None = None,
+    checked: bool = False,
 ) -> RandomForestClassificationModel:
     """Fit a forest on a table with a feature vector and a 0/1 label.
 
-    ``max_samples`` is the expected number of rows each tree draws.
+    ``max_samples`` is the expected number of rows each tree draws.  Labels that
+    are ``checked`` are not looked at again.
     """
     if class_weight not in (None, "balanced"):
         raise ValueError(f"unknown class_weight: {class_weight}")
@@ -96,7 +125,7 @@ def build_model(
         minInstancesPerNode=min_samples_leaf,
         seed=random_state,
     )
-    data = to01(train, label)
+    data = as01(train, label) if checked else to01(train, label)
     if class_weight == "balanced":
         weights = class_weights(data, label).collect()
         weight = F.lit(None).cast("double")
@@ -210,11 +239,13 @@ def train_model(
     rows, or not at all (None: every column must already be numeric).
     """
     require_target(df, target)
-    require_rows(df, "training")
+    # What the guards ask is counted in the scan that plans the split.
     split = plan_split(
-        df, target, key=key, test_size=test_size, random_state=random_state, stratify=stratify
+        df, target, key=key, test_size=test_size, random_state=random_state, stratify=stratify,
+        count=guard_counts(df, target, key),
     )
-    marked = to01(split.marked(df, _TEST), target)
+    forbid_strange(split.counted["strange_labels"])
+    marked = as01(split.marked(df, _TEST), target)
     if preprocessor is None and fit_on is not None:
         if fit_on not in ("train", "all"):
             raise ValueError(f"unknown fit_on: {fit_on}")
@@ -234,7 +265,7 @@ def train_model(
     stored = materialize(vectors.withColumnRenamed(target, "label"), "vectors")
     train = stored.where(~F.col(_TEST)).drop(_TEST)
     test = stored.where(_TEST).drop(_TEST)
-    model = bind_features(build_model(train, random_state=random_state, **forest_options), names)
+    model = bind_features(build_model(train, random_state=random_state, checked=True, **forest_options), names)
     metrics = metrics_of(_scored_once(model, test))
     return Training(model, train, test, metrics, preprocessor, names)
 

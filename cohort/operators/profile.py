@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -107,38 +106,62 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 
 
 def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of each pair, over the rows that have both."""
+    """Pearson correlation of each pair, over the rows that have both.
+
+    A row becomes one cell per pair that it has, and one aggregate grouped by pair
+    adds them up, so the plan does not grow with the number of pairs.
+    """
     types = {f.name: f.dataType for f in df.schema.fields}
-    pairs = list(combinations_with_replacement(columns, 2))
-    value = {c: to_number(quoted(c), types[c]) for c in columns}
-    row = df.agg(*[F.corr(value[a], value[b]).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
-    entries = [
-        F.struct(F.lit(a).alias("x"), F.lit(b).alias("y"), F.col(f"c{i}").alias("corr"))
-        for i, (a, b) in enumerate(pairs)
-    ]
-    return row.select(F.inline(F.array(*entries)))
+    columns = list(columns)
+    values = df.select(F.array(*[to_number(quoted(c), types[c]) for c in columns]).alias("v"))
+    last = len(columns) - 1
+
+    def with_later(i: Column) -> Column:
+        return F.transform(
+            F.sequence(i, F.lit(last)),
+            lambda j: F.struct(i.alias("i"), j.alias("j"), F.get("v", i).alias("a"), F.get("v", j).alias("b")),
+        )
+
+    cells = F.flatten(F.transform(F.sequence(F.lit(0), F.lit(last)), with_later))
+    found = (
+        values.select(F.inline(cells)).where("a is not null and b is not null")
+        .groupBy("i", "j").agg(F.corr("a", "b").alias("corr"))
+    )
+    # A pair without common rows has a row too.
+    pairs = [(i, j, columns[i], columns[j]) for i in range(len(columns)) for j in range(i, len(columns))]
+    named = df.sparkSession.createDataFrame(pairs, "i int, j int, x string, y string")
+    return named.join(F.broadcast(found), ["i", "j"], "left").select("x", "y", "corr")
 
 
 def histogram(df: DataFrame, column: str, bins: int = 10) -> DataFrame:
-    """Equal-width bins; the last one includes the maximum."""
+    """Equal-width bins; the last one includes the maximum.
+
+    Infinite values are counted in bins of their own, -1 and ``bins``, which are
+    there if there are any; missing ones are not counted.
+    """
     value = to_number(quoted(column), df.schema[column].dataType)
-    value = F.when(F.abs(value) < float("inf"), value)
+    finite = F.when(F.abs(value) < float("inf"), value)
     schema = "bin int, left double, right double, count bigint"
     spark = df.sparkSession
-    low, high = df.agg(F.min(value), F.max(value)).first()
+    low, high, below, above = df.agg(
+        F.min(finite), F.max(finite), F.count_if(value == float("-inf")), F.count_if(value == float("inf"))
+    ).first()
+    infinite = [(at, x, x, n) for at, x, n in ((-1, float("-inf"), below), (bins, float("inf"), above)) if n]
     if low is None:
-        return spark.createDataFrame([], schema)
+        return spark.createDataFrame(infinite, schema)
     if low == high:
         low, high = low - 0.5, high + 0.5
+    value = finite
     width = (high - low) / bins
     place = F.least(F.floor((value - low) / width), F.lit(bins - 1)).cast("int")
     counts = df.where(value.isNotNull()).groupBy(place.alias("bin")).agg(
         F.count(F.lit(1)).alias("count")
     )
     frame = spark.range(bins).select(F.col("id").cast("int").alias("bin"))
-    return frame.join(F.broadcast(counts), "bin", "left").select(
+    found = frame.join(F.broadcast(counts), "bin", "left").select(
         "bin",
         (F.lit(low) + F.col("bin") * width).alias("left"),
         (F.lit(low) + (F.col("bin") + 1) * width).alias("right"),
         F.coalesce("count", F.lit(0)).cast("bigint").alias("count"),
     )
+    return found.unionByName(spark.createDataFrame(infinite, schema)) if infinite else found

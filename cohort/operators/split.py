@@ -17,7 +17,8 @@ the split itself needs no shuffle.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -51,6 +52,8 @@ class HoldOut:
     cuts: DataFrame | None = None
     rows: int = 0
     small: bool = True
+    #: How many rows met each condition that was to be counted on the way.
+    counted: dict[str, int] = field(default_factory=dict)
 
     def marked(self, df: DataFrame, column: str) -> DataFrame:
         """``df`` with a boolean column that holds for test rows."""
@@ -133,8 +136,12 @@ def plan_split(
     test_size: float = 0.2,
     random_state: int = 42,
     stratify: bool = True,
+    count: Mapping[str, Column] | None = None,
 ) -> HoldOut:
-    """Find the cut of each class; ``key`` must identify a row."""
+    """Find the cut of each class; ``key`` must identify a row.
+
+    ``count`` names conditions whose rows are counted in the same scan.
+    """
     if target not in df.columns:
         raise KeyError(f"target column {target!r} not in the table")
     if key not in df.columns:
@@ -142,9 +149,14 @@ def plan_split(
     label = quoted(target) if stratify else F.lit(None).cast("string")
     draws = df.select(label.alias("label"), row_draw(key, random_state).alias("draw"))
     # The first histogram also yields the class sizes and missing keys: one scan for all.
-    histogram = materialize(_buckets(draws, DIGITS_PER_ROUND), "draws")
+    asked = list((count or {}).items())
+    conditions = [c.alias(f"c{k}") for k, (_, c) in enumerate(asked)]
+    watched = df.select(label.alias("label"), row_draw(key, random_state).alias("draw"), *conditions)
+    histogram = materialize(_buckets(watched, DIGITS_PER_ROUND, *[f"c{k}" for k in range(len(asked))]), "draws")
     if not histogram.where("bucket is null").isEmpty():
         raise ValueError(f"key column {key!r} has missing values; it must identify every row")
+    sums = histogram.agg(F.count(F.lit(1)), *[F.sum(f"c{k}") for k in range(len(asked))]).first()
+    counted = {name: n or 0 for (name, _), n in zip(asked, sums[1:])}
     sizes = histogram.groupBy("label").agg(F.sum("n").alias("n"))
     quotas = materialize(_quotas(sizes, test_size, stratify), "quotas")
 
@@ -181,16 +193,18 @@ def plan_split(
     rows, size = cuts.agg(F.sum("n"), F.sum(width)).first()
     cut = None if without is None else without["cut"]
     if not stratify:
-        return HoldOut(key, random_state, None, cut)
+        return HoldOut(key, random_state, None, cut, counted=counted)
     return HoldOut(
-        key, random_state, target, cut, cuts.where("label is not null"), rows, size <= lookups.BROADCAST_BYTES
+        key, random_state, target, cut, cuts.where("label is not null"), rows, size <= lookups.BROADCAST_BYTES, counted
     )
 
 
-def _buckets(draws: DataFrame, digits: int) -> DataFrame:
+def _buckets(draws: DataFrame, digits: int, *conditions: str) -> DataFrame:
     """Rows per class and leading digits of the draw."""
     bucket = F.substring("draw", 1, digits).alias("bucket")
-    return draws.groupBy("label", bucket).agg(F.count(F.lit(1)).alias("n"))
+    return draws.groupBy("label", bucket).agg(
+        F.count(F.lit(1)).alias("n"), *[F.count_if(F.col(c)).alias(c) for c in conditions]
+    )
 
 
 def _boundaries(histogram: DataFrame, searched: DataFrame) -> DataFrame:

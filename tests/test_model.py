@@ -121,6 +121,16 @@ def test_guards(spark, table, training):
     assert pick_id(spark.createDataFrame([(1,)], ["Id"])) is None
 
 
+def test_training_names_what_is_wrong_with_the_table(spark, table):
+    for change, said in (
+        (("id", F.when(F.col("id") % 7 > 0, F.col("id"))), "missing values"),
+        ((TARGET, F.col(TARGET) + 1), "0/1"),
+        ((TARGET, F.when(F.col("id") % 7 > 0, F.col(TARGET))), "0/1"),
+    ):
+        with pytest.raises(ValueError, match=said):
+            cohort.train_model(table.withColumn(*change), target=TARGET, fit_on=None, n_estimators=1)
+
+
 def test_from_raw_file_to_predictions(spark, folder, tmp_path):
     path = {n: str(tmp_path / n) for n in (
         "raw", "interim", "features", "prep", "matrix", "model", "m1", "m2", "imp", "pred", "prep2",

@@ -20,7 +20,7 @@ from cohort.operators.clean import (
 )
 from cohort.operators.features import REGISTRY, IncomeFeatures, build_features, drop_target_columns
 from cohort.operators.groups import GroupFill, global_mode, group_modes
-from cohort.operators.profile import assert_no_nulls, histogram, schema_profile, value_counts
+from cohort.operators.profile import assert_no_nulls, corr_matrix, histogram, schema_profile, value_counts
 
 
 def one(spark, value, expression, kind="double"):
@@ -218,3 +218,19 @@ def test_build_features_keeps_the_key_and_skips_what_it_cannot_build(spark):
     out = build_features(df, key="id")
     assert out.columns == ["id", "annual_income_usd", "income_band", "log_income", "income_z", "income_decile"]
     assert build_features(df).columns[0] == "annual_income_usd"
+
+
+def test_histogram_counts_infinities(spark):
+    inf = float("inf")
+    df = spark.createDataFrame([(x,) for x in (1.0, 2.0, 3.0, inf, -inf, inf, None, float("nan"))], "x double")
+    got = [tuple(r) for r in histogram(df, "x", 2).orderBy("bin").collect()]
+    assert got == [(-1, -inf, -inf, 1), (0, 1.0, 2.0, 1), (1, 2.0, 3.0, 2), (2, inf, inf, 2)]
+    assert [tuple(r) for r in histogram(df.where("x > 5"), "x", 2).collect()] == [(2, inf, inf, 2)]
+
+
+def test_correlations_of_pairs_with_gaps(spark):
+    rows = [(1.0, 2.0, None), (2.0, 1.0, None), (3.0, None, 5.0), (4.0, 7.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double")
+    got = {(r["x"], r["y"]): r["corr"] for r in corr_matrix(df, ["a", "b", "c"]).collect()}
+    assert list(got) and len(got) == 6 and got["b", "c"] is None
+    assert got["a", "b"] == pytest.approx(np.corrcoef([1, 2, 4], [2, 1, 7])[0, 1]) and got["a", "a"] == 1.0
