@@ -13,7 +13,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohort.functions.values import quoted
@@ -69,30 +69,43 @@ def source_rates(
     )
 
 
-def poisson_steps(rate: Column) -> Column:
-    """P(X <= k) for k = 0, 1, ... of a Poisson variable, up to its far tail.
+def _log_factorial(k: Column) -> Column:
+    """ln k! by Stirling's series; from 20 on its error is below the spacing of doubles."""
+    series = 1 / (12 * k) - 1 / (360 * k * k * k) + 1 / (1260 * F.pow(k, F.lit(5.0)))
+    return k * F.log(k) - k + F.log(2 * math.pi * k) / 2 + series
 
-    Terms are computed from logarithms, so large rates do not underflow.
-    """
-    last = F.ceil(rate + 12.0 * F.sqrt(rate) + 30.0).cast("int")
 
-    def log_term(k: Column) -> Column:
-        return k.cast("double") * F.log(rate) - rate
+def poisson_steps(rates: DataFrame) -> DataFrame:
+    """mix_source, mix_first and mix_steps: P(X <= k) for k = mix_first, ... of a Poisson
+    variable of mean mix_rate, stored.
 
-    # acc: (log k!, sum so far, list of sums)
-    start = F.struct(
-        F.lit(0.0).alias("fact"), F.lit(0.0).alias("sum"), F.array().cast("array<double>").alias("all")
+    Numbers that are 12 deviations and 30 below the mean or above it are left out, so
+    there are about 24 sqrt(rate) + 60 steps.  Terms are computed from logarithms, so
+    large rates do not underflow.
+    """
+    rate = F.col("mix_rate")
+    reach = F.floor(12.0 * F.sqrt(rate)) + 30
+    first = F.greatest(F.floor(rate) - reach, F.lit(0).cast("long"))
+    wide = (
+        rates.filter(rate > 0).select("mix_source", "mix_rate", first.alias("mix_first"))
+        .withColumn("k", F.explode(F.sequence("mix_first", F.ceil(rate) + reach)))
     )
-
-    def step(acc: Column, k: Column) -> Column:
-        fact = acc["fact"] + F.when(k > 0, F.log(k.cast("double"))).otherwise(0.0)
-        total = acc["sum"] + F.exp(log_term(k) - fact)
-        return F.struct(
-            fact.alias("fact"), total.alias("sum"), F.concat(acc["all"], F.array(total)).alias("all")
-        )
-
-    steps = F.aggregate(F.sequence(F.lit(0), last), start, step, lambda acc: acc["all"])
-    return F.when(rate > 0, steps).otherwise(F.array(F.lit(1.0)))
+    # One row per step of a source.
+    upto = Window.partitionBy("mix_source").orderBy("k")
+    k = F.col("k").cast("double")
+    base = F.when(F.col("mix_first") > 0, _log_factorial(F.greatest("mix_first", F.lit(1)).cast("double"))).otherwise(0.0)
+    own = F.when(F.col("k") > F.col("mix_first"), F.log(F.greatest(k, F.lit(1.0)))).otherwise(0.0)
+    sums = (
+        wide.withColumn("fact", base + F.sum(own).over(upto))
+        .withColumn("p", F.sum(F.exp(k * F.log(rate) - rate - F.col("fact"))).over(upto))
+        .groupBy("mix_source", "mix_first")
+        .agg(F.array_sort(F.collect_list(F.struct("k", "p"))).alias("all"))
+        .select("mix_source", "mix_first", F.transform("all", lambda s: s["p"]).alias("mix_steps"))
+    )
+    never = rates.filter(~(rate > 0)).select(
+        "mix_source", F.lit(0).cast("long").alias("mix_first"), F.array(F.lit(1.0)).alias("mix_steps")
+    )
+    return materialize(sums.unionByName(never), "poisson-steps")
 
 
 def mix_sources(
@@ -106,35 +119,32 @@ def mix_sources(
 ) -> DataFrame:
     """All columns of ``docs`` plus mix_repeats, mix_copy (from 0) and mix_key.
 
-    A row appears mix_repeats times, rows in the order of mix_key within each
-    partition and spread over the partitions by its ranges.  A null source is a
+    A row appears mix_repeats times, rows dealt over the partitions by a hash of
+    mix_key and in its order within each.  A null source is a
     source of its own, a null or empty text has size one.  Rows that repeat an
-    id draw the same number.  Columns named mix_* in ``docs`` are refused.  An
+    id draw the same number; rows without an id draw by a hash of their text, a null
+    text as an empty one.  Columns named mix_* in ``docs`` are refused.  An
     empty table gives an empty result.
     """
     clash = [c for c in docs.columns if c.lower().startswith("mix_")]
     if clash:
         raise ValueError(f"columns {clash} clash with those of the result")
     rates = source_rates(docs, source_col, text_col, weights, temperature)
-    steps = materialize(
-        rates.select("mix_source", poisson_steps(F.col("mix_rate")).alias("mix_steps")),
-        "poisson-steps",
-    )
+    steps = poisson_steps(rates)
+    by_text = F.concat(F.lit("text:"), F.md5(F.coalesce(quoted(text_col).cast("string"), F.lit("")).cast("binary")))
+    name = F.coalesce(quoted(id_col).cast("string"), by_text)
+    passed = F.size(F.filter("mix_steps", lambda p: p < F.col("mix_uniform")))
     drawn = (
-        docs.withColumn("mix_uniform", uniform(seed, quoted(id_col)))
+        docs.withColumns({"mix_name": name, "mix_uniform": uniform(seed, name)})
         .join(steps, quoted(source_col).eqNullSafe(F.col("mix_source")))
-        .withColumn(
-            "mix_repeats",
-            F.size(F.filter("mix_steps", lambda p: p < F.col("mix_uniform"))),
-        )
+        .withColumn("mix_repeats", F.when(passed > 0, passed + F.col("mix_first")).otherwise(0).cast("int"))
         .filter(F.col("mix_repeats") > 0)
         .withColumn("mix_copy", F.explode(F.sequence(F.lit(0), F.col("mix_repeats") - 1)))
     )
     key = F.md5(
         F.concat_ws(
-            ":", F.lit(seed), F.lit("order"), F.coalesce(quoted(id_col).cast("string"), F.lit("")),
-            F.col("mix_copy").cast("string"),
+            ":", F.lit(seed), F.lit("order"), F.col("mix_name"), F.col("mix_copy").cast("string"),
         )
     )
-    keyed = drawn.drop("mix_source", "mix_steps", "mix_uniform").withColumn("mix_key", key)
+    keyed = drawn.withColumn("mix_key", key).drop("mix_source", "mix_first", "mix_steps", "mix_name", "mix_uniform")
     return keyed.repartition("mix_key").sortWithinPartitions("mix_key")

@@ -186,18 +186,18 @@ ORACLES: dict[str, str] = {
         ), c AS (
             SELECT source, sum(p) OVER (PARTITION BY source ORDER BY k) AS cdf FROM t
         ), u AS (
-            SELECT doc_id, source,
-                   (CAST('0x' || substr(md5('mix-1:' || doc_id), 1, 13) AS BIGINT) + 0.5)
+            SELECT doc_id, source, coalesce(doc_id::VARCHAR, 'text:' || md5(coalesce(text, ''))) AS name,
+                   (CAST('0x' || substr(md5('mix-1:' || name), 1, 13) AS BIGINT) + 0.5)
                    / 4503599627370496.0::DOUBLE AS u
             FROM documents
         ), n AS (
-            SELECT doc_id, u.source, count(*) FILTER (cdf < u) AS mix_repeats
-            FROM u JOIN c ON u.source IS NOT DISTINCT FROM c.source GROUP BY doc_id, u.source
+            SELECT doc_id, name, u.source, count(*) FILTER (cdf < u) AS mix_repeats
+            FROM u JOIN c ON u.source IS NOT DISTINCT FROM c.source GROUP BY doc_id, name, u.source
         ), e AS (
-            SELECT doc_id, source, mix_repeats, unnest(range(0, mix_repeats)) AS mix_copy FROM n
+            SELECT doc_id, name, source, mix_repeats, unnest(range(0, mix_repeats)) AS mix_copy FROM n
         )
         SELECT doc_id, source, mix_repeats::INT AS mix_repeats, mix_copy::INT AS mix_copy,
-               md5('mix-1:order:' || doc_id || ':' || mix_copy) AS mix_key
+               md5('mix-1:order:' || name || ':' || mix_copy) AS mix_key
         FROM e
     """,
     "op11_topk_search": f"""

@@ -26,7 +26,7 @@ from cohort.llm.exact_dedup import exact_dedup, merge_runs, digest_runs  # noqa:
 from cohort.llm.language_id import identify_language  # noqa: E402
 from cohort.llm.license_scan import license_scan, make_templates, matching_blocks, order_words  # noqa: E402
 from cohort.llm.line_dedup import line_dedup  # noqa: E402
-from cohort.llm.mixing import mix_sources  # noqa: E402
+from cohort.llm.mixing import mix_sources, poisson_steps  # noqa: E402
 from cohort.llm.packing import WordEncoder, best_fit_plan, pack_documents, packed_sequences, tokenizer_text  # noqa: E402
 from cohort.llm.quality import classify_quality  # noqa: E402
 
@@ -139,6 +139,25 @@ def test_mixing(spark, odd, empty):
         mix_sources(docs.withColumnRenamed("lang", "mix_key"))
 
 
+@pytest.mark.parametrize("rate", [0.3, 7.0, 180.0, 250.0, 1e6])
+def test_poisson_steps(spark, rate):
+    import math
+
+    (row,) = poisson_steps(spark.createDataFrame([("a", rate)], "mix_source string, mix_rate double")).collect()
+    k = np.arange(row.mix_first, row.mix_first + len(row.mix_steps))
+    terms = np.exp([x * math.log(rate) - rate - math.lgamma(x + 1) for x in k.tolist()])
+    assert np.allclose(row.mix_steps, np.cumsum(terms), atol=1e-7) and row.mix_steps[-1] == pytest.approx(1, abs=1e-7)
+    assert len(k) <= 24 * rate**0.5 + 70
+
+
+def test_mixing_rows_without_ids_are_spread(spark):
+    rows = [(None, f"text {k}", "a") for k in range(2_000)] + [(None, None, "a"), (None, "", "a"), (5, "x " * 40_000, "b")]
+    out = mix_sources(spark.createDataFrame(rows, "doc_id long, text string, source string")).filter("doc_id is null")
+    repeats = {r.text: r.mix_repeats for r in out.collect()}
+    assert len(set(repeats.values())) > 3 and repeats.get(None) == repeats.get("")
+    assert out.select("mix_key").distinct().count() >= out.filter("length(text) > 0").count()
+
+
 def test_best_fit_plan_round_trip():
     rng = np.random.default_rng(3)
     for capacity in (5, 17, 64):
