@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import json
 import os
 import re
 import zlib
@@ -23,6 +24,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,7 +40,14 @@ JOINED_WORDS = 512
 UNIT_BYTES = 1 << 20
 SLICES, SLICE_ROWS = 256, 1_000_000
 
-_TRAILING_MARK = re.compile(rb"(?<=[a-z0-9])([.,!?;:])(?=[ \t\n\x0b\x0c\r]|\Z)")
+_MARK = rb"[!-/:-@\[-`{-~]"
+#: Letters of Latin-1 outside ASCII in UTF-8, and those of them in lower case.
+_LETTER, _LOWER = rb"\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]", rb"\xc3[\x9f-\xb6\xb8-\xbf]"
+_TRAILING_MARKS = re.compile(
+    _MARK + rb"(?:(?<=[a-z0-9].)|(?<=" + _LETTER + rb".))" + _MARK + rb"*(?=[ \t\n\x0b\x0c\r]|\Z)"
+)
+#: Words that no step before the merges changes or splits.
+_PLAIN = re.compile(rb"(?:[a-z]|" + _LOWER + rb")+|" + _MARK + rb"+")
 _SPACE = re.compile(rb"[ \t\n\x0b\x0c\r]")
 
 
@@ -63,16 +72,58 @@ class _Memo(dict):
         return b""
 
 
+def byte_characters() -> dict[str, int]:
+    """The characters that stand for bytes in vocabularies on bytes: printable bytes for
+    themselves, the others from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in own]
+    return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(others)}
+
+
+def plain_encoding(model: str) -> tuple[tiktoken.Encoding, np.ndarray] | None:
+    """An encoding of lines, each a plain word, and which ids end a word.
+
+    A line break takes the place of the mark of a word's end.  None for a tokenizer
+    whose merges it could not follow: their order must be that of the ids, after the
+    bytes and the bytes that end a word.
+    """
+    given = json.loads(model)
+    bpe, before = given["model"], given.get("pre_tokenizer") or {}
+    end = bpe.get("end_of_word_suffix")
+    steps = [step["type"] for step in before.get("pretokenizers", [])]
+    if bpe["type"] != "BPE" or not end or steps != ["Split", "ByteLevel"] or bpe.get("continuing_subword_prefix"):
+        return None
+    characters, ranks = byte_characters(), {}
+    added = {token["content"] for token in given["added_tokens"]}
+    for token, number in bpe["vocab"].items():
+        if token in added:
+            continue
+        body = token.removesuffix(end)
+        found = bytes([characters[c] for c in body])
+        if b"\n" in found and len(found) > 1:
+            return None
+        ranks[found + b"\n" * (body != token)] = number
+    merges = [m.split(" ") if isinstance(m, str) else m for m in bpe["merges"]]
+    singles = sorted(n for found, n in ranks.items() if len(found.removesuffix(b"\n") or found) == 1)
+    numbers = [bpe["vocab"][a + b] for a, b in merges]
+    if singles != list(range(512)) or numbers != list(range(512, 512 + len(merges))) or len(ranks) != 512 + len(merges):
+        return None
+    ends = np.zeros(max(ranks.values()) + 1, dtype=bool)
+    ends[[n for found, n in ranks.items() if len(found) > 1 and found.endswith(b"\n")]] = True
+    return tiktoken.Encoding("lines", pat_str=r"[^\n]+\n", mergeable_ranks=ranks, special_tokens={}), ends
+
+
 class WordEncoder:
     """Token ids of whole texts, word by word through a memo.
 
     The tokenizer never joins characters across white space, so a text's ids are
     those of its words.  Where a text is free of special tokens and combining
-    marks, A-Z are lowered and a mark after a word is split off beforehand; both
+    marks, A-Z are lowered and marks after a word are split off beforehand; both
     leave the ids as they are and make far fewer different words.
 
-    New words are encoded many at a time, with a special token between them, as a
-    result of its own for each costs more than the encoding.
+    New words are encoded many at a time.  Plain ones only need the tokenizer's merges,
+    which ``plain_encoding`` does; the others go to the tokenizer with a special token
+    between them, as a result of its own for each costs more than the encoding.
     """
 
     def __init__(self, model: str) -> None:
@@ -82,6 +133,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(model)
         self.memo = _Memo()
         self.between = self._separator()
+        self.plain = plain_encoding(model)
 
     def _separator(self) -> tuple[str, int] | None:
         """A special token that parts words without a trace, and its id."""
@@ -109,10 +161,18 @@ class WordEncoder:
     @staticmethod
     def words(text: bytes) -> list[bytes]:
         if b"<|" not in text and b"\xcc" not in text and b"\xcd" not in text:
-            text = _TRAILING_MARK.sub(rb" \1", text.lower())
+            text = _TRAILING_MARKS.sub(rb" \g<0>", text.lower())
         return text.split()
 
     def learn(self, words: list[bytes]) -> None:
+        if self.plain is not None:
+            encoding, ends = self.plain
+            plain = [w for w in words if b"<|" not in w and _PLAIN.fullmatch(w)]
+            words = list(set(words).difference(plain))
+            ids = encoding.encode_to_numpy("".join([w.decode("utf-8") + "\n" for w in plain])).astype("<u4")
+            cuts = ((np.flatnonzero(ends[ids]) + 1) * 4).tolist()
+            whole = ids.tobytes()
+            self.memo.update(zip(plain, [whole[a:b] for a, b in zip([0, *cuts], cuts)]))
         single = words
         if self.between is not None:
             text, number = self.between

@@ -186,6 +186,30 @@ def test_best_fit_plan_round_trip():
         assert len(fill) == len(spaces)
 
 
+def test_packing_plain_words():
+    """Words encoded by merges alone have the tokenizer's ids."""
+    from random import Random
+
+    from tokenizers import Tokenizer
+
+    model = tokenizer_text()
+    encoder, tokenizer = WordEncoder(model), Tokenizer.from_str(model)
+    assert encoder.plain is not None
+    draw = Random(5)
+    letters = [chr(c) for c in range(97, 123)] * 2 + [chr(c) for c in range(0xDF, 0x100)] + list("\u00c9\u00d7\u0416\u0301'9")
+    marks = [chr(c) for c in range(33, 127) if not chr(c).isalnum()]
+    parts = [t.removesuffix("</w>") for t in tokenizer.get_vocab() if t.removesuffix("</w>").isascii()]
+    texts = [
+        "".join(draw.choices(letters, k=draw.randint(0, 9)) + draw.choices(parts, k=draw.randint(0, 2)) + draw.choices(marks, k=draw.randint(0, 3)))
+        for _ in range(20_000)
+    ]
+    texts += [" ".join(texts[k : k + 50]) for k in range(0, len(texts), 50)]
+    found = encoder.encode([t.encode() for t in texts])
+    for text, ids in zip(texts, found, strict=True):
+        want = tokenizer.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(ids, "<u4").tolist() == want, text
+
+
 def test_packing_ids(spark, odd, empty):
     from tokenizers import Tokenizer
 
