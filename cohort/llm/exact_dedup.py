@@ -17,7 +17,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohort.llm.shared import ascii_lower, attach, documents, materialize
+from cohort.functions.values import quoted
+from cohort.llm.shared import ascii_lower, attach, documents, drop_rows, dropping, materialize, told_apart
 
 FAN = 8
 
@@ -95,3 +96,18 @@ def exact_dedup(
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
+
+
+def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each group of equal texts, the one with the largest id.
+
+    A row that repeats it goes too; where no row of a group has an id, any one stays.
+    The digests say which rows go; only these are joined with the texts.
+    """
+    with dropping(docs.sparkSession):
+        rows = exact_dedup(docs, id_col, text_col).select("kept", *told_apart(F.col("doc_id"), F.col("text_sha256")))
+        gone = rows.groupBy("me", "me2").agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("copies"))
+        gone = materialize(gone.filter("NOT stays OR copies > 1"), "copies-dropped", outlives=True)
+    text = ascii_lower(F.coalesce(quoted(text_col).cast("string"), F.lit("")))
+    own = F.struct(*[quoted(c) for c in docs.columns]).alias("own")
+    return drop_rows(docs.select(own, *told_apart(quoted(id_col), F.sha2(text, 256))), gone)

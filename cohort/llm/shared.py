@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohort.functions.values import quoted
-from cohort.plans.workspace import materialize
+from cohort.plans.workspace import dropping, materialize
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: The six ASCII white space characters, U+0020 and U+0009 to U+000D.
@@ -20,8 +20,10 @@ SPACES = " \t\n\x0b\x0c\r"
 HOT_SHARE = 1_000
 #: Bits of a filter per hash, and at most (32 MB).
 BITS_EACH, MOST_BITS = 16, 1 << 28
+#: Bytes of a list of rows that may be broadcast, and of one such row.
+BROADCAST_BYTES, LISTED_BYTES = 32 << 20, 64
 
-__all__ = ["ascii_lower", "attach", "documents", "materialize", "process_memo"]
+__all__ = ["ascii_lower", "attach", "documents", "dropping", "materialize", "process_memo"]
 
 
 def ascii_lower(text: Column) -> Column:
@@ -60,6 +62,28 @@ def attach(rows: DataFrame, groups: DataFrame, keys: list[str], size: str) -> Da
     )
 
 
+def told_apart(*own: Column) -> list[Column]:
+    """Two 64-bit hashes, me and me2, that tell a row from all but those with the same values."""
+    return [F.xxhash64(F.lit(k), *own).alias(name) for k, name in enumerate(("me", "me2"))]
+
+
+def drop_rows(marked: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows ``own`` of ``marked`` whose me, me2 are not in the stored table ``gone``;
+    of those that it lists with ``stays``, one row each.
+
+    Only what goes is joined with whole rows, by broadcast if its size allows it.
+    """
+    few = gone.count() * LISTED_BYTES <= BROADCAST_BYTES
+    listed = F.broadcast(gone) if few else gone
+    kept = marked.join(listed, ["me", "me2"], "left_anti").select("own.*")
+    if gone.filter("stays").isEmpty():
+        return kept
+    again = F.broadcast(gone.filter("stays")) if few else gone.filter("stays")
+    return kept.unionByName(
+        marked.join(again, ["me", "me2"], "left_semi").dropDuplicates(["me", "me2"]).select("own.*")
+    )
+
+
 def process_memo(name: str, make):
     """A value that one Python worker process keeps between its tasks."""
     kept = sys.modules.setdefault("cohort_llm_memo", types.ModuleType("cohort_llm_memo"))

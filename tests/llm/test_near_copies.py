@@ -14,6 +14,8 @@ sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).res
 
 import corpus_pipeline  # noqa: E402
 from cohort.llm import near_copies as near  # noqa: E402
+from cohort.llm import shared  # noqa: E402
+from cohort.llm.exact_dedup import drop_copies  # noqa: E402
 
 ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -110,8 +112,20 @@ def test_columns_of_any_name(spark):
 def test_rows_that_repeat_id_and_text(spark, monkeypatch):
     text = " ".join(f"a{k}" for k in range(60))
     df = spark.createDataFrame([(7, text, k) for k in range(3)] + [(8, text + " y", 3)], "doc_id long, text string, k int")
-    for most in (near.BROADCAST_BYTES, 0):
-        monkeypatch.setattr(near, "BROADCAST_BYTES", most)
+    for most in (shared.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(shared, "BROADCAST_BYTES", most)
         kept = corpus_pipeline.drop_near_copies(spark, df, "").collect()
         assert [(r.doc_id, r.text) for r in kept] == [(7, text)]
     assert corpus_pipeline.drop_near_copies(spark, df.filter("false"), "").count() == 0
+
+
+def test_drop_copies(spark, monkeypatch):
+    rows = [(1, "Aa b"), (3, "aa B"), (3, "aa B"), (None, "aa b"), (None, "x"), (None, "X"), (2, None), (5, ""), (4, "É"), (4, "é")]
+    df = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, own int")
+    for most in (shared.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(shared, "BROADCAST_BYTES", most)
+        kept = drop_copies(df)
+        assert kept.columns == df.columns
+        found = sorted((r.doc_id or 0, (r.text or "").lower()) for r in kept.collect())
+        assert found == [(0, "x"), (3, "aa b"), (4, "é"), (4, "é"), (5, "")]
+        assert drop_copies(df.filter("false")).count() == 0
