@@ -92,6 +92,11 @@ def process_memo(name: str, make):
     return getattr(kept, name)
 
 
+def forget_memos() -> None:
+    """Free what earlier operators have kept in this worker process."""
+    sys.modules.pop("cohort_llm_memo", None)
+
+
 def id_type(df: DataFrame, name: str = "doc_id") -> str:
     """The SQL name of a column's type, for the schema of a Python step."""
     return df.schema[name].dataType.simpleString()
