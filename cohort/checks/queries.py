@@ -19,7 +19,7 @@ from cohort.checks.fixtures import WIDE, labelled, population, raw_population, s
 from cohort.functions.values import quoted
 from cohort.operators import clean, features, groups, metrics, model, preprocess, profile, split
 from cohort.operators.numbers import exact_quantiles
-from cohort.plans.workspace import materialize, shared_folder
+from cohort.plans.workspace import materialize, shared_folder, spread
 from cohort.sources import tables
 from cohort.sources.tables import read_csv, write_csv
 
@@ -647,7 +647,9 @@ def class_weights_imbalanced(spark, folder):
 
 def _feature_table(spark, folder) -> DataFrame:
     """Features with a target that one of them determines, so the result is known."""
-    built = features.build_features(population(spark, folder), key="id")
+    people = population(spark, folder)
+    people = materialize(spread(people, people.count()), "people")
+    built = features.build_features(people, key="id")
     target = (F.col("heavy_smoker_flag") > 0).cast("int")
     return materialize(built.withColumn(TARGET, target), "features")
 

@@ -25,7 +25,7 @@ from cohort.operators.metrics import (
 )
 from cohort.operators.preprocess import PreprocessorModel, fit_preprocessor, infer_columns
 from cohort.operators.split import plan_split
-from cohort.plans.workspace import materialize
+from cohort.plans.workspace import materialize, spread
 from cohort.sources.tables import path_exists
 
 # Names under which a table may already carry a row key.
@@ -261,8 +261,9 @@ def train_model(
         names = plain_features(rest, [key])
 
     vectors = feature_vector(marked, preprocessor, keep=[key, target, _TEST], features=names)
-    # The forest reads its input several times; it is computed once.
-    stored = materialize(vectors.withColumnRenamed(target, "label"), "vectors")
+    # The forest reads its input several times; it is computed once, and every core trains.
+    vectors = spread(vectors.withColumnRenamed(target, "label"), split.rows)
+    stored = materialize(vectors, "vectors")
     train = stored.where(~F.col(_TEST)).drop(_TEST)
     test = stored.where(_TEST).drop(_TEST)
     model = bind_features(build_model(train, random_state=random_state, checked=True, **forest_options), names)

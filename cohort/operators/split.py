@@ -193,7 +193,7 @@ def plan_split(
     rows, size = cuts.agg(F.sum("n"), F.sum(width)).first()
     cut = None if without is None else without["cut"]
     if not stratify:
-        return HoldOut(key, random_state, None, cut, counted=counted)
+        return HoldOut(key, random_state, None, cut, rows=rows, counted=counted)
     return HoldOut(
         key, random_state, target, cut, cuts.where("label is not null"), rows, size <= lookups.BROADCAST_BYTES, counted
     )

@@ -33,6 +33,12 @@ def test_training(table, training):
     assert again.test.select("id").exceptAll(training.test.select("id")).isEmpty()
 
 
+def test_a_table_of_one_task_is_trained_by_all_cores(spark, table):
+    one = table.coalesce(1)
+    found = cohort.train_model(one, target=TARGET, n_estimators=2)
+    assert found.train.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
 def test_evaluation_uses_the_same_rows(training):
     found = cohort.evaluate(training.model, training.test)
     assert found["n_samples"] == training.metrics["support"]["n"]

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from cohort.plans.workspace import dropping, materialize
+from cohort.plans.workspace import dropping, materialize, spread
 
 
 def stored(df):
@@ -30,3 +30,11 @@ def test_dropping_after_an_error(spark):
         gone = materialize(spark.range(4), "gone")
         raise ValueError
     assert not stored(gone) and kept.count() == 3
+
+
+def test_spread(spark):
+    rows = spark.range(1_000, numPartitions=1)
+    cores = spark.sparkContext.defaultParallelism
+    sizes = spread(rows, 1_000).rdd.glom().map(len).collect()
+    assert len(sizes) == cores and sum(sizes) == 1_000 and max(sizes) < 2 * 1_000 / cores
+    assert spread(rows, 1_000, each=10).rdd.getNumPartitions() == 100
