@@ -16,6 +16,18 @@ PROBABILITY_EPSILON = 2.220446049250313e-16
 
 #: Distinct scores that one task orders, about.
 RANGE_ROWS = 1_000_000
+#: Ranges that there may be for less; a range is a task and a row of the last, single one.
+MOST_RANGES = 64
+
+
+def score_ranges(scores: int, range_rows: int) -> int:
+    """How many ranges order so many distinct scores.
+
+    Ranges of ``range_rows`` scores while they are few: many small ones cost a task each
+    and save nothing.  Beyond ``MOST_RANGES`` they grow to ``RANGE_ROWS`` scores first.
+    """
+    asked = max(1, -(-scores // range_rows))
+    return min(asked, max(MOST_RANGES, -(-scores // RANGE_ROWS)))
 
 
 def strange_label(df: DataFrame, column: str) -> Column:
@@ -105,9 +117,9 @@ def roc_auc(
     so does a missing score or label: an area over the rest would be another one.
 
     Equal scores merge before the shuffle and are stored.  The distinct scores are
-    range-partitioned, as many ranges as make about ``range_rows`` scores each; a
-    range adds up the negatives below each of its scores, and the ranges, one row
-    each, add up those of the ranges below.
+    range-partitioned, as many ranges as ``score_ranges`` says; a range adds up the
+    negatives below each of its scores, and the ranges, one row each, add up those of
+    the ranges below.
     """
     value = nan_to_null(quoted(score).cast("double"))
     y = quoted(label)
@@ -121,7 +133,7 @@ def roc_auc(
     missing, scores = per_score.agg(F.coalesce(F.sum("missing"), F.lit(0)), F.count(F.lit(1))).first()
     if missing:
         return df.sparkSession.range(1).select(F.lit(None).cast("double").alias("roc_auc"))
-    ranges = max(1, -(-scores // range_rows))
+    ranges = score_ranges(scores, range_rows)
     placed = per_score.repartitionByRange(ranges, "score").withColumn("range", F.spark_partition_id())
     below = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
     neg_below = F.coalesce(F.sum("neg").over(below), F.lit(0))

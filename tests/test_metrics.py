@@ -12,6 +12,7 @@ from cohort.operators.metrics import (
     metrics_of,
     positive_class_index,
     roc_auc,
+    score_ranges,
     to01,
 )
 
@@ -52,6 +53,13 @@ def test_auc_equals_counting_pairs(spark, range_rows):
     assert got == pytest.approx(evaluator.evaluate(df.withColumn("label", F.col("label").cast("double"))), abs=1e-9)
 
 
+def test_ranges_do_not_grow_with_the_scores_until_they_are_full():
+    assert score_ranges(0, 100) == score_ranges(100, 100) == 1
+    assert score_ranges(350, 100) == 4
+    assert score_ranges(400_000, 100) == score_ranges(40_000_000, 100) == 64
+    assert score_ranges(1_000_000_000, 100) == score_ranges(1_000_000_000, 1_000_000) == 1_000
+
+
 def test_log_loss_clips(spark):
     df = spark.createDataFrame([(1, 0.0), (0, 0.0), (1, 0.5)], "label int, score double")
     want = (-math.log(2.220446049250313e-16) + 0 + math.log(2)) / 3
