@@ -1,4 +1,4 @@
-"""Near copies by an exact similarity join of word shingles.
+"""Near copies by SimHash, completed by an exact similarity join of word shingles.
 
 Texts whose sets of shingles have a Jaccard similarity of at least ``threshold``
 are linked, every such pair of them: a set's prefix is its first n - ceil(threshold
@@ -8,9 +8,14 @@ it in both (position filter).  The order puts the ``LATE`` most frequent shingle
 last.  Any order gives the same links, so these counts are only those seen within
 tasks.
 
-Texts with the same shingles are one entry.  Least members of MinHash groups, as
-far as verified, give first components; the join then passes over pairs within
-one of these, so a large group of near copies costs few pairs.  Of the pairs found,
+Texts with the same shingles are one entry.  Fingerprints of these shingles that are
+within ``BITS`` bits, found by operator 1's multi-index hashing, and least members of
+MinHash groups are verified and give first components.  At the least similarity a
+SimHash of 64 bits differs in about ten, so the join follows for the links it misses.
+It passes over pairs within a first component, so a large group of near copies costs
+few pairs, and over those whose sketches differ too much: a bit of a sketch is the
+parity of the shingles that fall on it, so two sets differ in at least as many
+shingles as their sketches in bits, and no link is lost.  Of the pairs found,
 the likeliest of each end are verified first, then those that are still apart.
 
 Texts are read where they lie and travel only to be verified.  One pass makes the
@@ -35,9 +40,14 @@ from pyspark.sql import functions as F
 from cohort.functions.values import quoted
 from cohort.llm.components import components
 from cohort.llm.shared import HashFilter, attach, drop_rows, dropping, forget_memos, hash_filter, id_type, materialize, told_apart
-from cohort.llm.simhash import whole_groups
+from cohort.llm.simhash import links as print_links
+from cohort.llm.simhash import majority, segment_count, whole_groups
 
 WORDS, THRESHOLD, SEED = 5, 0.8, 42
+#: Bits in which fingerprints of near copies may differ; three segments, one bit of each flipped.
+BITS = 5
+#: Bits of a sketch.
+SKETCH = 256
 #: MinHashes of a set, and how many must agree before a pair is verified ahead of the join.
 HASHES, AGREE = 8, 4
 #: Rows of one frequent shingle that one group holds, about.
@@ -65,6 +75,12 @@ def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     return np.unique(np.frombuffer(digests, dtype=">u8").astype(np.uint64))
 
 
+def sketch(own: np.ndarray) -> bytes:
+    """The parity of the shingles that fall on each of ``SKETCH`` places."""
+    places = (own % np.uint64(SKETCH)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=SKETCH).astype(np.uint8) & 1).tobytes()
+
+
 def _least_overlap(n, threshold: float):
     """How many of ``n`` shingles, of two sets together, must be common."""
     return threshold / (1 + threshold) * n - 1e-9
@@ -79,15 +95,15 @@ def _me(df: DataFrame, id_col: str | None, text_col: str) -> list[Column]:
 
 def sets_of(docs: DataFrame, id_col: str | None, text_col: str, words: int) -> DataFrame:
     """Stored rows of two kinds.  With a key: me, me2, id, digest (of the text), key (of
-    the set of shingles) and least (its MinHashes) of each row; without: shingles
-    (tokens) that a task met more than once, and how often (counts)."""
+    the set of shingles), fp (its fingerprint) and least (its MinHashes) of each row;
+    without: shingles (tokens) that a task met more than once, and how often (counts)."""
     own = F.lit(None).cast("long") if id_col is None else quoted(id_col)
     text = quoted(text_col).cast("string")
     given = docs.select(
         *_me(docs, id_col, text_col), own.alias("id"), F.sha2(F.coalesce(text, F.lit("")), 256).alias("digest"),
         F.coalesce(text, F.lit("")).cast("binary").alias("text"),
     )
-    names = ["me", "me2", "id", "digest", "key", "least", "tokens", "counts"]
+    names = ["me", "me2", "id", "digest", "key", "fp", "least", "tokens", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_memos()
@@ -109,14 +125,16 @@ def sets_of(docs: DataFrame, id_col: str | None, text_col: str, words: int) -> D
             )
 
         for batch in batches:
-            keys, least = [], []
+            keys, prints, least = [], [], []
             for text in batch.column(4).to_pylist():
                 own = shingles(text, words)
                 keys.append(blake2b(own.tobytes(), digest_size=16).digest())
+                prints.append(majority(own.astype(">u8").view(np.uint8).reshape(-1, 8)))
                 least.append([int((own * f).min().view(np.int64)) for f in _FACTORS] if len(own) else [])
                 held.append(own)
                 total += len(own)
-            made = [*batch.columns[:4], pa.array(keys, pa.binary()), pa.array(least, pa.list_(pa.int64()))]
+            fps = pa.array(np.array(prints, dtype=np.uint64).view(np.int64))
+            made = [*batch.columns[:4], pa.array(keys, pa.binary()), fps, pa.array(least, pa.list_(pa.int64()))]
             schema = [pa.field(n, c.type) for n, c in zip(names, made)]
             nothing = pa.nulls(len(keys), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([*made, nothing, nothing], names=names)
@@ -127,7 +145,7 @@ def sets_of(docs: DataFrame, id_col: str | None, text_col: str, words: int) -> D
             yield flush()
 
     schema = (
-        f"me long, me2 long, id {id_type(given, 'id')}, digest string, key binary, least array<long>, "
+        f"me long, me2 long, id {id_type(given, 'id')}, digest string, key binary, fp long, least array<long>, "
         "tokens array<long>, counts array<long>"
     )
     return materialize(given.mapInArrow(run, schema), "shingle-sets")
@@ -209,7 +227,7 @@ def repeated(texts: DataFrame, late, words: int, threshold: float, ranges: int)
 def prefix_rows(
     texts: DataFrame, known: DataFrame, late, often: HashFilter, words: int, threshold: float
 ) -> DataFrame:
-    """token, key, size, rest, first: a stored row for each set and shingle of its prefix
+    """token, key, size, sketch, rest, first: a stored row for each set and shingle of its prefix
     that others may have; ``rest`` of its ``size`` shingles are not before it in the order.
     ``first`` is the component of the set in ``known`` (node, component), else its key.
 
@@ -220,7 +238,7 @@ def prefix_rows(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         late, passes = shared.value
         for batch in batches:
-            keys, sizes, tokens, rests = [], [], [], []
+            keys, sizes, sketches, tokens, rests = [], [], [], [], []
             for text in batch.column(0).to_pylist():
                 if not len(own := shingles(text, words)):
                     continue
@@ -229,19 +247,21 @@ def prefix_rows(
                 if len(at):
                     keys.append(blake2b(own.tobytes(), digest_size=16).digest())
                     sizes.append(len(own))
+                    sketches.append(sketch(own))
                     tokens.append(begin[at].view(np.int64))
                     rests.append((len(own) - at).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()),
+                    pa.array(keys, pa.binary()), pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary()),
                     pa.array(tokens, pa.list_(pa.int64())), pa.array(rests, pa.list_(pa.int32())),
                 ],
-                names=["key", "size", "token", "rest"],
+                names=["key", "size", "sketch", "token", "rest"],
             )
 
-    sets = texts.mapInArrow(run, "key binary, size int, token array<long>, rest array<int>").dropDuplicates(["key"])
+    kind = "key binary, size int, sketch binary, token array<long>, rest array<int>"
+    sets = texts.mapInArrow(run, kind).dropDuplicates(["key"])
     parted = sets.join(known, F.col("key") == F.col("node"), "left").select(
-        "key", "size", F.coalesce("component", "key").alias("first"), F.inline(F.arrays_zip("token", "rest"))
+        "key", "size", "sketch", F.coalesce("component", "key").alias("first"), F.inline(F.arrays_zip("token", "rest"))
     )
     return materialize(parted, "prefixes")
 
@@ -268,14 +288,20 @@ def _grouped(
     group: np.ndarray, columns: list[np.ndarray], threshold: float
 ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Places of rows of one group that may be linked and have different components."""
-    mine, alone, size, rest, first = columns
+    mine, alone, size, rest, sketches, first = columns
 
     def fit(a, b: np.ndarray) -> np.ndarray:
-        return (
+        """Which of the places ``b`` may be linked with ``a``, one for all or one each."""
+        fits = (
             (np.minimum(rest[a], rest[b]) >= _least_overlap(size[a] + size[b], threshold))
             & (alone[a] | (mine[a] != mine[b]))
             & (first[a] != first[b])
         )
+        at = np.flatnonzero(fits)
+        x, y = (a if np.ndim(a) == 0 else a[at]), b[at]
+        # Shingles that only one of both has.
+        apart = np.bitwise_count(sketches[x] ^ sketches[y]).sum(axis=-1, dtype=np.int64)
+        return at[size[x] + size[y] - apart >= 2 * _least_overlap(size[x] + size[y], threshold)]
 
     starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     sizes = np.diff(np.append(starts, len(group)))
@@ -301,6 +327,8 @@ def candidates(rows: DataFrame, threshold: float) -> DataFrame:
             token, pair = table.column("token").to_numpy(), table.column("pair").to_numpy()
             group = np.cumsum(np.append(0, (token[1:] != token[:-1]) | (pair[1:] != pair[:-1])))
             columns = [table.column(c).to_numpy() for c in ("mine", "alone", "size", "rest")]
+            packed = b"".join(table.column("sketch").to_pylist())
+            columns.append(np.frombuffer(packed, np.uint64).reshape(-1, SKETCH // 64))
             first = table.column("first").combine_chunks().dictionary_encode().indices.to_numpy()
             key = table.column("key").combine_chunks()
             held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -383,7 +411,25 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -
     return materialize(found, "near-links")
 
 
-def first_pairs(entries: DataFrame) -> DataFrame:
+def print_pairs(entries: DataFrame) -> DataFrame:
+    """a, b: entries whose fingerprints are equal or near, each fingerprint by its least key.
+
+    Of a dense group there is a spanning forest of links within ``BITS`` bits.
+    """
+    prints = materialize(
+        entries.groupBy("fp").agg(F.min("key").alias("hub"), F.count(F.lit(1)).alias("n")), "set-fingerprints"
+    )
+    near = print_links(prints.select("fp", F.col("fp").alias("rep")), BITS, segment_count(prints), direct=True)
+    for end in ("a", "b"):
+        hubs = prints.select(F.col("fp").alias(end), F.col("hub").alias(f"hub_{end}"))
+        near = near.join(hubs, end)
+    same = attach(entries.select("key", "fp"), prints.filter("n > 1"), ["fp"], "n").filter("key <> hub")
+    return near.select(F.col("hub_a").alias("a"), F.col("hub_b").alias("b")).unionByName(
+        same.select(F.col("hub").alias("a"), F.col("key").alias("b"))
+    )
+
+
+def minhash_pairs(entries: DataFrame) -> DataFrame:
     """a, b: entries and the least member of a MinHash group, if more MinHashes agree."""
     rows = materialize(
         entries.select("key", "least", F.posexplode("least").alias("k", "hash")), "minhashes"
@@ -398,7 +444,13 @@ def first_pairs(entries: DataFrame) -> DataFrame:
         lambda n, x: n + (x["least"] == x["other"]).cast("int"),
     )
     met = attach(rows, groups, ["k", "hash"], "n").filter((F.col("key") != F.col("hub.key")) & (same >= AGREE))
-    return met.select(F.col("hub.key").alias("a"), F.col("key").alias("b")).distinct()
+    return met.select(F.col("hub.key").alias("a"), F.col("key").alias("b"))
+
+
+def first_pairs(entries: DataFrame) -> DataFrame:
+    """a, b: pairs of entries that SimHash and MinHash take for near copies, not verified."""
+    found = print_pairs(entries).unionByName(minhash_pairs(entries))
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def grouped_rows(
@@ -418,10 +470,12 @@ def _grouped_rows(
 ) -> DataFrame:
     sets = sets_of(docs, id_col, text_col, words)
     rows = sets.filter("key IS NOT NULL").drop("tokens", "counts")
+    # Equal sets have equal fingerprints.
     entries = materialize(
         rows.groupBy("key").agg(
-            F.min(F.struct("me", "me2")).alias("own"), F.any_value("least").alias("least"), F.count(F.lit(1)).alias("n")
-        ).select("key", "own.*", "least", "n"),
+            F.min(F.struct("me", "me2")).alias("own"), F.any_value("fp").alias("fp"), F.any_value("least").alias("least"),
+            F.count(F.lit(1)).alias("n"),
+        ).select("key", "own.*", "fp", "least", "n"),
         "set-entries",
     )
 

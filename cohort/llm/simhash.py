@@ -36,6 +36,14 @@ THREE_SEGMENTS = 1 << 26
 SMALL = 12
 
 
+def majority(digests: np.ndarray) -> int:
+    """The bits that are set in over half of the digests, rows of 8 bytes each."""
+    ones = np.zeros(64, dtype=np.int64)
+    for k in range(0, len(digests), 1 << 16):
+        ones += np.unpackbits(digests[k : k + (1 << 16)], axis=1).sum(axis=0, dtype=np.int64)
+    return int.from_bytes(np.packbits(2 * ones > len(digests)).tobytes(), "big")
+
+
 def fingerprint(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
     """The 64-bit SimHash of UTF-8 text over its word shingles, as an unsigned number."""
     from xxhash import xxh64_digest
@@ -53,11 +61,7 @@ def fingerprint(text: bytes, words: int = WORDS, seed: int = SEED) -> int:
         digests = b"".join(
             [xxh64_digest(joined[a:b], seed) for a, b in zip(starts, ends[words - 1 :].tolist())]
         )
-    rows = np.frombuffer(digests, dtype=np.uint8).reshape(-1, 8)
-    ones = np.zeros(64, dtype=np.int64)
-    for k in range(0, len(rows), 1 << 16):
-        ones += np.unpackbits(rows[k : k + (1 << 16)], axis=1).sum(axis=0, dtype=np.int64)
-    return int.from_bytes(np.packbits(2 * ones > len(rows)).tobytes(), "big")
+    return majority(np.frombuffer(digests, dtype=np.uint8).reshape(-1, 8))
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS, seed: int = SEED) -> DataFrame:
@@ -86,6 +90,11 @@ def segments(distance: int, pieces: int) -> list[tuple[int, int, int]]:
     return found
 
 
+def segment_count(entries: DataFrame) -> int:
+    """Into how many segments the fingerprints of a stored table are best cut."""
+    return 3 if entries.count() <= THREE_SEGMENTS else 2
+
+
 def _masks(width: int, radius: int) -> np.ndarray:
     """All ways to flip 1 to ``radius`` bits of a segment."""
     return np.array(
@@ -132,8 +141,9 @@ def index_rows(entries: DataFrame, cut: list[tuple[int, int, int]]) -> DataFrame
     )
 
 
-def forest(fps: np.ndarray, distance: int) -> np.ndarray:
-    """For each fingerprint the place of the first of its component in this list.
+def forest(fps: np.ndarray, distance: int, direct: bool = False) -> np.ndarray:
+    """For each fingerprint the place of the first of its component in this list, or,
+    if ``direct``, of the one that it was reached from, which is within ``distance``.
 
     Breadth first: each reached fingerprint is compared with those not reached yet,
     so a dense group costs little more than one comparison each.
@@ -145,17 +155,18 @@ def forest(fps: np.ndarray, distance: int) -> np.ndarray:
         root[seed] = seed
         frontier = [seed]
         while frontier and len(left):
-            near = np.bitwise_count(fps[left] ^ fps[frontier.pop()]) <= distance
+            at = frontier.pop()
+            near = np.bitwise_count(fps[left] ^ fps[at]) <= distance
             if near.any():
                 reached = left[near]
                 left = left[~near]
-                root[reached] = seed
+                root[reached] = at if direct else seed
                 frontier.extend(reached.tolist())
     return root
 
 
 def group_links(
-    bucket: np.ndarray, probe: np.ndarray, fps: np.ndarray, distance: int
+    bucket: np.ndarray, probe: np.ndarray, fps: np.ndarray, distance: int, direct: bool = False
 ) -> tuple[np.ndarray, np.ndarray]:
     """Places of linked rows, a spanning forest at least; rows come sorted by group."""
     n = len(bucket)
@@ -179,7 +190,7 @@ def group_links(
             linked = np.bitwise_count(tabled[:, None] ^ values[None, :]) <= distance
             if linked.sum() == len(tabled):  # each with itself only
                 continue
-        root = forest(values, distance)
+        root = forest(values, distance, direct)
         child = np.flatnonzero(root != np.arange(size))
         left.append(start + child)
         right.append(start + root[child])
@@ -209,8 +220,13 @@ def whole_groups(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Itera
         yield pa.Table.from_batches(held)
 
 
-def links(entries: DataFrame, distance: int = DISTANCE, pieces: int = 3, block: int = BLOCK) -> DataFrame:
-    """a, b: links between the ids of ``entries`` (fp, rep), components kept whole."""
+def links(
+    entries: DataFrame, distance: int = DISTANCE, pieces: int = 3, block: int = BLOCK, direct: bool = False
+) -> DataFrame:
+    """a, b: links between the ids of ``entries`` (fp, rep), components kept whole.
+
+    With ``direct`` each is within ``distance`` itself, else some join by way of others.
+    """
     rows = index_rows(entries, segments(distance, pieces)).withColumn("pair", F.lit(0))
     crowded = (
         rows.filter(~F.col("probe")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
@@ -240,7 +256,7 @@ def links(entries: DataFrame, distance: int = DISTANCE, pieces: int = 3, block:
             )
             probe = table.column("probe").to_numpy()
             fps = table.column("fp").to_numpy().view(np.uint64)
-            left, right = group_links(group, probe, fps, distance)
+            left, right = group_links(group, probe, fps, distance, direct)
             if len(left):
                 rep = table.column("rep").combine_chunks()
                 yield pa.RecordBatch.from_arrays(
@@ -280,7 +296,7 @@ def simhash_dedup(
         "fingerprint-entries",
     )
     known = entries.filter(F.col("rep").isNotNull())
-    pieces = 3 if known.count() <= THREE_SEGMENTS else 2
+    pieces = segment_count(known)
     found = components(links(known, distance, pieces, block))
     labelled = materialize(
         entries.join(found, entries["rep"] == found["node"], "left").select(

@@ -129,3 +129,49 @@ def test_drop_copies(spark, monkeypatch):
         found = sorted((r.doc_id or 0, (r.text or "").lower()) for r in kept.collect())
         assert found == [(0, "x"), (3, "aa b"), (4, "é"), (4, "é"), (5, "")]
         assert drop_copies(df.filter("false")).count() == 0
+
+
+def test_stage_takes_links_of_fingerprints(spark, monkeypatch):
+    # 99: MinHash gives none.
+    monkeypatch.setattr(near, "AGREE", 99)
+    words = [f"w{k}" for k in range(400)]
+    texts = [" ".join(words), " ".join([*words[:-1], "other"]), " ".join(f"v{k}" for k in range(400))]
+    prints = [near.majority(near.shingles(t.encode()).astype(">u8").view(np.uint8).reshape(-1, 8)) for t in texts]
+    assert (prints[0] ^ prints[1]).bit_count() <= near.BITS < (prints[0] ^ prints[2]).bit_count()
+    asked = []
+    monkeypatch.setattr(near, "verified", lambda *a, of=near.verified: asked.append(a[0].count()) or of(*a))
+    joined = []
+    monkeypatch.setattr(near, "candidates", lambda *a, of=near.candidates: joined.append(of(*a)) or joined[-1])
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()) == [0, 2]
+    # The fingerprints' pair is verified; nothing is left to the join.
+    assert asked[0] == 1 and sum(asked[1:]) == 0
+
+
+def test_sketches_lose_no_link():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        n = int(rng.integers(1, 2_000))
+        own = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        other = own[rng.random(len(own)) < rng.uniform(0.7, 1)]
+        other = np.unique(np.append(other, rng.integers(0, 1 << 63, int(rng.integers(0, 1 + n // 4)), dtype=np.uint64)))
+        apart = int.from_bytes(near.sketch(own)) ^ int.from_bytes(near.sketch(other))
+        assert apart.bit_count() <= len(np.setxor1d(own, other))
+
+
+def test_a_dense_group_is_not_paired_with_itself(spark, monkeypatch):
+    """Texts that share frequent passages but are no near copies make few pairs."""
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in range(150)]
+    texts = []
+    for _ in range(200):
+        other = list(base)
+        for at in rng.integers(0, 150, 3):
+            other[at] = f"x{rng.integers(0, 1 << 40)}"
+        texts.append(" ".join(other))
+    made = []
+    monkeypatch.setattr(near, "best_pairs", lambda pairs, of=near.best_pairs: made.append(pairs.count()) or of(pairs))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: bytes(r.near_group) for r in near.near_copies(df).collect()}
+    assert same_parts([got[k] for k in range(len(texts))], brute_groups(texts))
+    assert made[0] < 2_000
