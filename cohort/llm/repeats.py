@@ -145,7 +145,8 @@ def suffix_order(packed: np.ndarray, left: np.ndarray, segment: np.ndarray, step
     for the suffixes that are still tied only.
     """
     n = len(packed)
-    order = np.argsort(packed, kind="stable")
+    # Ties are all resolved below, so neither sort has to be stable.
+    order = np.argsort(packed)
     head = np.append(True, packed[order[1:]] != packed[order[:-1]])
     first = np.maximum.accumulate(np.where(head, np.arange(n), 0))
     rank = np.empty(n, dtype=np.int64)
@@ -158,7 +159,7 @@ def suffix_order(packed: np.ndarray, left: np.ndarray, segment: np.ndarray, step
         then = np.minimum(here + step, n - 1)
         second = np.where(inside, rank[then] + segments, segment[here])
         group = rank[here]
-        resort = np.lexsort((second, group))
+        resort = np.argsort(group * (n + segments) + second)
         here, second, group = here[resort], second[resort], group[resort]
         order[tied] = here
         head = np.append(True, (group[1:] != group[:-1]) | (second[1:] != second[:-1]))
