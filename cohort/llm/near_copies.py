@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from cohort.functions.values import quoted
 from cohort.llm.components import components
-from cohort.llm.shared import HashFilter, attach, drop_rows, dropping, forget_memos, hash_filter, id_type, materialize, told_apart
+from cohort.llm.shared import HashFilter, attach, drop_rows, dropping, forget_memos, hash_filter, id_type, in_turn, lean, materialize, told_apart
 from cohort.llm.simhash import links as print_links
 from cohort.llm.simhash import majority, segment_count, whole_groups
 
@@ -126,7 +126,7 @@ def sets_of(docs: DataFrame, id_col: str | None, text_col: str, words: int) -> D
 
         for batch in batches:
             keys, prints, least = [], [], []
-            for text in batch.column(4).to_pylist():
+            for text in in_turn(batch.column(4)):
                 own = shingles(text, words)
                 keys.append(blake2b(own.tobytes(), digest_size=16).digest())
                 prints.append(majority(own.astype(">u8").view(np.uint8).reshape(-1, 8)))
@@ -148,7 +148,7 @@ def sets_of(docs: DataFrame, id_col: str | None, text_col: str, words: int) -> D
         f"me long, me2 long, id {id_type(given, 'id')}, digest string, key binary, fp long, least array<long>, "
         "tokens array<long>, counts array<long>"
     )
-    return materialize(given.mapInArrow(run, schema), "shingle-sets")
+    return materialize(given.mapInArrow(lean(run), schema), "shingle-sets")
 
 
 def late_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -203,7 +203,7 @@ def repeated(texts: DataFrame, late, words: int, threshold: float, ranges: int)
             )
 
         for batch in batches:
-            for text in batch.column(0).to_pylist():
+            for text in in_turn(batch.column(0)):
                 if len(own := shingles(text, words)):
                     held.append(prefix(own, shared.value, threshold))
                     total += len(held[-1])
@@ -220,8 +220,8 @@ def repeated(texts: DataFrame, late, words: int, threshold: float, ranges: int)
             found = np.unique(low[1:][low[1:] == low[:-1]])
             yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64) | np.int64(place << 32))], names=["hash"])
 
-    met = texts.mapInArrow(pack, "place long, low binary").repartition("place").sortWithinPartitions("place")
-    return materialize(met.mapInArrow(merge, "hash long"), "repeated-shingles")
+    met = texts.mapInArrow(lean(pack), "place long, low binary").repartition("place").sortWithinPartitions("place")
+    return materialize(met.mapInArrow(lean(merge), "hash long"), "repeated-shingles")
 
 
 def prefix_rows(
@@ -239,7 +239,7 @@ def prefix_rows(
         late, passes = shared.value
         for batch in batches:
             keys, sizes, sketches, tokens, rests = [], [], [], [], []
-            for text in batch.column(0).to_pylist():
+            for text in in_turn(batch.column(0)):
                 if not len(own := shingles(text, words)):
                     continue
                 begin = prefix(own, late, threshold)
@@ -259,7 +259,7 @@ def prefix_rows(
             )
 
     kind = "key binary, size int, sketch binary, token array<long>, rest array<int>"
-    sets = texts.mapInArrow(run, kind).dropDuplicates(["key"])
+    sets = texts.mapInArrow(lean(run), kind).dropDuplicates(["key"])
     parted = sets.join(known, F.col("key") == F.col("node"), "left").select(
         "key", "size", "sketch", F.coalesce("component", "key").alias("first"), F.inline(F.arrays_zip("token", "rest"))
     )
@@ -345,7 +345,7 @@ def candidates(rows: DataFrame, threshold: float) -> DataFrame:
     found = (
         rows.repartition("token", "pair")
         .sortWithinPartitions("token", "pair")
-        .mapInArrow(run, "a binary, b binary")
+        .mapInArrow(lean(run), "a binary, b binary")
     )
     return (
         found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -386,7 +386,7 @@ def texts_of(docs: DataFrame, id_col: str | None, text_col: str, keys: DataFrame
             yield batch.filter(pa.array(shared.value(batch.column(0).to_numpy().view(np.uint64))))
 
     text = F.coalesce(quoted(text_col).cast("string"), F.lit("")).cast("binary").alias("text")
-    picked = docs.select(*_me(docs, id_col, text_col), text).mapInArrow(run, "me long, me2 long, text binary")
+    picked = docs.select(*_me(docs, id_col, text_col), text).mapInArrow(lean(run), "me long, me2 long, text binary")
     return materialize(picked.join(wanted, ["me", "me2"]).dropDuplicates(["key"]).select("key", "text"), "wanted-texts")
 
 
@@ -396,7 +396,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for one, other in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for one, other in zip(in_turn(batch.column(2)), in_turn(batch.column(3))):
                 x, y = shingles(one, words), shingles(other, words)
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(common >= _least_overlap(len(x) + len(y), threshold))
@@ -406,7 +406,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -
         pairs.join(texts.withColumnsRenamed({"key": "a", "text": "one"}), "a")
         .join(texts.withColumnsRenamed({"key": "b", "text": "other"}), "b")
         .select("a", "b", "one", "other")
-        .mapInArrow(run, "a binary, b binary")
+        .mapInArrow(lean(run), "a binary, b binary")
     )
     return materialize(found, "near-links")
 

@@ -19,7 +19,7 @@ import json
 import os
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from pathlib import Path
 
 import numpy as np
@@ -28,7 +28,7 @@ import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohort.llm.shared import documents, id_type, materialize, process_memo
+from cohort.llm.shared import documents, id_type, in_turn, lean, materialize, process_memo
 
 CAPACITY = 4096
 END_ID = 1
@@ -192,7 +192,7 @@ class WordEncoder:
         for word, found in zip(single, encoded):
             self.memo[word] = np.asarray(found.ids, dtype="<u4").tobytes()
 
-    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+    def encode(self, texts: Iterable[bytes]) -> Iterator[bytes]:
         """Per text its ids as little-endian unsigned 32-bit numbers."""
         batch: list[tuple[bool, list[bytes]]] = []
         size, done = 0, []
@@ -245,7 +245,7 @@ def encode_pieces(
         encoder = process_memo(name, lambda: WordEncoder(shared_model.value))
         for batch in batches:
             at, piece, start, length, crc, ids = [], [], [], [], [], []
-            for row, found in enumerate(encoder.encode(batch.column(1).to_pylist())):
+            for row, found in enumerate(encoder.encode(in_turn(batch.column(1)))):
                 found += end
                 for k, begin in enumerate(range(0, len(found), step)):
                     part = found[begin : begin + step]
@@ -271,7 +271,7 @@ def encode_pieces(
 
     schema = f"doc_id {id_type(docs)}, piece int, start long, length long, ids_crc32 long"
     return docs.select("doc_id", F.col("text").cast("binary")).mapInArrow(
-        encode, schema + (", ids array<int>" if with_ids else "")
+        lean(encode), schema + (", ids array<int>" if with_ids else "")
     )
 
 

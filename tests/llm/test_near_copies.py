@@ -8,6 +8,7 @@ from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parents[2])]
@@ -175,3 +176,33 @@ def test_a_dense_group_is_not_paired_with_itself(spark, monkeypatch):
     got = {r.doc_id: bytes(r.near_group) for r in near.near_copies(df).collect()}
     assert same_parts([got[k] for k in range(len(texts))], brute_groups(texts))
     assert made[0] < 2_000
+
+
+def own_mb():
+    """MB of this process, without mapped files."""
+    found = re.findall(r"\nPss_(?:Anon|Shmem):\s+(\d+)", Path("/proc/self/smaps_rollup").read_text())
+    return sum(map(int, found)) / 1024
+
+
+def test_worker_gives_memory_back(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "one text")], "doc_id long, text string")
+    steps = []
+    with monkeypatch.context() as patch:
+        patch.setattr(near, "materialize", lambda df, label: df)
+        given = type(docs).mapInArrow
+        patch.setattr(type(docs), "mapInArrow", lambda df, step, kind: (steps.append(step), given(df, step, kind))[1])
+        near.sets_of(docs, "doc_id", "text", 5)
+
+    def batches():
+        rng = np.random.default_rng(3)
+        for k in range(2):
+            texts = [" ".join(map(str, rng.integers(0, 1 << 40, 250))) for _ in range(5_000)]
+            own = pa.array(range(k * 5_000, k * 5_000 + 5_000), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [own, own, own, pa.array(map(str, range(5_000))), pa.array(texts).cast(pa.binary())],
+                names=["me", "me2", "id", "digest", "text"],
+            )
+
+    before = own_mb()
+    assert sum(found.num_rows for found in steps[0](batches())) >= 10_000
+    assert own_mb() - before < 25
