@@ -15,8 +15,11 @@ SimHash of 64 bits differs in about ten, so the join follows for the links it mi
 It passes over pairs within a first component, so a large group of near copies costs
 few pairs, and over those whose sketches differ too much: a bit of a sketch is the
 parity of the shingles that fall on it, so two sets differ in at least as many
-shingles as their sketches in bits, and no link is lost.  Of the pairs found,
-the likeliest of each end are verified first, then those that are still apart.
+shingles as their sketches in bits, and no link is lost.  A short sketch travels
+with the rows of the join; it is full for long texts.  So all pairs found, the first
+ones too, then meet sketches as long as the sets, which leave little but links.  Of
+these pairs the likeliest of each end are verified first, then those that are still
+apart.
 
 Texts are read where they lie and travel only to be verified.  One pass makes the
 keys of the sets; one counts the shingles of prefixes, packed by range of hashes;
@@ -39,14 +42,17 @@ from pyspark.sql import functions as F
 
 from cohort.functions.values import quoted
 from cohort.llm.components import components
-from cohort.llm.shared import HashFilter, attach, drop_rows, dropping, forget_memos, hash_filter, id_type, in_turn, lean, materialize, told_apart
+from cohort.llm.shared import (
+    HashFilter, attach, drop_rows, dropping, few_rows, forget_memos, hash_filter, id_type, in_turn, lean, materialize,
+    told_apart,
+)
 from cohort.llm.simhash import links as print_links
 from cohort.llm.simhash import majority, segment_count, whole_groups
 
 WORDS, THRESHOLD, SEED = 5, 0.8, 42
 #: Bits in which fingerprints of near copies may differ; three segments, one bit of each flipped.
 BITS = 5
-#: Bits of a sketch.
+#: Bits of a short sketch, and of a long one at least.
 SKETCH = 256
 #: MinHashes of a set, and how many must agree before a pair is verified ahead of the join.
 HASHES, AGREE = 8, 4
@@ -75,10 +81,23 @@ def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     return np.unique(np.frombuffer(digests, dtype=">u8").astype(np.uint64))
 
 
-def sketch(own: np.ndarray) -> bytes:
-    """The parity of the shingles that fall on each of ``SKETCH`` places."""
-    places = (own % np.uint64(SKETCH)).astype(np.int64)
-    return np.packbits(np.bincount(places, minlength=SKETCH).astype(np.uint8) & 1).tobytes()
+def sketch(own: np.ndarray, bits: int = SKETCH) -> bytes:
+    """The parity of the shingles that fall on each of ``bits`` places."""
+    places = (own % np.uint64(bits)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=bits).astype(np.uint8) & 1).tobytes()
+
+
+def long_sketch(own: np.ndarray) -> bytes:
+    """A sketch of at least a bit for each shingle, their number a power of two."""
+    return sketch(own, max(SKETCH, 1 << max(0, len(own) - 1).bit_length()))
+
+
+def apart(one: bytes, other: bytes) -> int:
+    """In how many shingles sets with these long sketches differ at least."""
+    x, y = sorted((np.frombuffer(s, np.uint8) for s in (one, other)), key=len)
+    while len(y) > len(x):  # the halves of a sketch make the sketch of half as many places
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum(dtype=np.int64))
 
 
 def _least_overlap(n, threshold: float):
@@ -95,15 +114,16 @@ def _me(df: DataFrame, id_col: str | None, text_col: str) -> list[Column]:
 
 def sets_of(docs: DataFrame, id_col: str | None, text_col: str, words: int) -> DataFrame:
     """Stored rows of two kinds.  With a key: me, me2, id, digest (of the text), key (of
-    the set of shingles), fp (its fingerprint) and least (its MinHashes) of each row;
-    without: shingles (tokens) that a task met more than once, and how often (counts)."""
+    the set of shingles), fp (its fingerprint), least (its MinHashes), size and long (its
+    long sketch) of each row; without: shingles (tokens) that a task met more than once,
+    and how often (counts)."""
     own = F.lit(None).cast("long") if id_col is None else quoted(id_col)
     text = quoted(text_col).cast("string")
     given = docs.select(
         *_me(docs, id_col, text_col), own.alias("id"), F.sha2(F.coalesce(text, F.lit("")), 256).alias("digest"),
         F.coalesce(text, F.lit("")).cast("binary").alias("text"),
     )
-    names = ["me", "me2", "id", "digest", "key", "fp", "least", "tokens", "counts"]
+    names = ["me", "me2", "id", "digest", "key", "fp", "least", "size", "long", "tokens", "counts"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget_memos()
@@ -125,16 +145,21 @@ def sets_of(docs: DataFrame, id_col: str | None, text_col: str, words: int) -> D
             )
 
         for batch in batches:
-            keys, prints, least = [], [], []
+            keys, prints, least, sizes, sketches = [], [], [], [], []
             for text in in_turn(batch.column(4)):
                 own = shingles(text, words)
+                sizes.append(len(own))
+                sketches.append(long_sketch(own))
                 keys.append(blake2b(own.tobytes(), digest_size=16).digest())
                 prints.append(majority(own.astype(">u8").view(np.uint8).reshape(-1, 8)))
                 least.append([int((own * f).min().view(np.int64)) for f in _FACTORS] if len(own) else [])
                 held.append(own)
                 total += len(own)
             fps = pa.array(np.array(prints, dtype=np.uint64).view(np.int64))
-            made = [*batch.columns[:4], pa.array(keys, pa.binary()), fps, pa.array(least, pa.list_(pa.int64()))]
+            made = [
+                *batch.columns[:4], pa.array(keys, pa.binary()), fps, pa.array(least, pa.list_(pa.int64())),
+                pa.array(sizes, pa.int32()), pa.array(sketches, pa.binary()),
+            ]
             schema = [pa.field(n, c.type) for n, c in zip(names, made)]
             nothing = pa.nulls(len(keys), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays([*made, nothing, nothing], names=names)
@@ -146,7 +171,7 @@ def sets_of(docs: DataFrame, id_col: str | None, text_col: str, words: int) -> D
 
     schema = (
         f"me long, me2 long, id {id_type(given, 'id')}, digest string, key binary, fp long, least array<long>, "
-        "tokens array<long>, counts array<long>"
+        "size int, long binary, tokens array<long>, counts array<long>"
     )
     return materialize(given.mapInArrow(lean(run), schema), "shingle-sets")
 
@@ -268,19 +293,26 @@ def prefix_rows(
 
 def in_blocks(rows: DataFrame, block: int) -> DataFrame:
     """``rows`` with pair, mine, alone: a group is a token and a ``pair`` of blocks;
-    ``mine`` is the row's own block, ``alone`` says that the pair is this block with itself."""
-    # Rows of one first component have nothing to find with each other.
-    sizes = rows.groupBy("token").agg(
-        F.count(F.lit(1)).alias("n"), F.min("first").alias("low"), F.max("first").alias("high")
-    ).filter("low < high")
-    sizes = materialize(sizes.select("token", F.ceil(F.col("n") / block).alias("blocks"), "n"), "token-sizes")
-    mine = F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")
+    ``mine`` is the row's own block, ``alone`` says that the pair is this block with itself.
+
+    Only crowded tokens, with more than ``block`` rows, have several blocks, or none if
+    all their rows have one first component and so nothing to find with each other.
+    """
+    crowded = rows.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
+    crowded = materialize(crowded, "crowded-tokens")
+    if crowded.isEmpty():
+        return rows.withColumns({"mine": F.lit(0), "pair": F.lit(0).cast("long"), "alone": F.lit(True)})
+    blocks = F.when(F.min("first") < F.max("first"), F.ceil(F.any_value("n") / block)).otherwise(0)
+    dealt = rows.join(few_rows(crowded), "token").groupBy("token").agg(blocks.alias("blocks"))
+    dealt = few_rows(materialize(dealt, "token-blocks"))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
     return (
-        attach(rows, sizes, ["token"], "n").withColumn("mine", mine).withColumn("other", other)
+        rows.join(dealt, "token", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1).cast("long")))
+        .filter("blocks > 0")
+        .withColumn("mine", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int")).withColumn("other", other)
         .withColumn("pair", F.least("mine", "other") * F.col("blocks") + F.greatest("mine", "other"))
         .withColumn("alone", F.col("mine") == F.col("other"))
-        .drop("blocks", "n", "other")
+        .drop("blocks", "other")
     )
 
 
@@ -300,8 +332,8 @@ def _grouped(
         at = np.flatnonzero(fits)
         x, y = (a if np.ndim(a) == 0 else a[at]), b[at]
         # Shingles that only one of both has.
-        apart = np.bitwise_count(sketches[x] ^ sketches[y]).sum(axis=-1, dtype=np.int64)
-        return at[size[x] + size[y] - apart >= 2 * _least_overlap(size[x] + size[y], threshold)]
+        differ = np.bitwise_count(sketches[x] ^ sketches[y]).sum(axis=-1, dtype=np.int64)
+        return at[size[x] + size[y] - differ >= 2 * _least_overlap(size[x] + size[y], threshold)]
 
     starts = np.flatnonzero(np.append(True, group[1:] != group[:-1]))
     sizes = np.diff(np.append(starts, len(group)))
@@ -312,6 +344,8 @@ def _grouped(
         a = a[fit(a, a + lag)]
         yield a, a + lag
     for start, n in zip(starts[sizes > SMALL].tolist(), sizes[sizes > SMALL].tolist()):
+        if (first[start : start + n] == first[start]).all():
+            continue
         for k in range(start, start + n - 1):
             others = np.arange(k + 1, start + n)
             others = others[fit(k, others)]
@@ -353,6 +387,25 @@ def candidates(rows: DataFrame, threshold: float) -> DataFrame:
     )
 
 
+def hopeful(pairs: DataFrame, entries: DataFrame, threshold: float) -> DataFrame:
+    """The rows of ``pairs`` (a, b, maybe more) that may be linked by their long sketches, every link."""
+    columns = pairs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y, one, other = (batch.column(c) for c in ("size_a", "size_b", "long_a", "long_b"))
+            both = x.to_numpy().astype(np.int64) + y.to_numpy()
+            differ = np.array([apart(*p) for p in zip(in_turn(one), in_turn(other))], dtype=np.int64)
+            yield batch.select(columns).filter(pa.array(both - differ >= 2 * _least_overlap(both, threshold)))
+
+    met = pairs
+    for end in ("a", "b"):
+        part = entries.select(F.col("key").alias(end), F.col("size").alias(f"size_{end}"), F.col("long").alias(f"long_{end}"))
+        met = met.join(part, end)
+    met = met.select(*columns, "size_a", "size_b", "long_a", "long_b")
+    return met.mapInArrow(lean(run), pairs.schema)
+
+
 def best_pairs(pairs: DataFrame) -> DataFrame:
     """Of ``pairs`` (a, b, n) the one with the largest n of each end."""
     ends = pairs.select(
@@ -387,11 +440,13 @@ def texts_of(docs: DataFrame, id_col: str | None, text_col: str, keys: DataFrame
 
     text = F.coalesce(quoted(text_col).cast("string"), F.lit("")).cast("binary").alias("text")
     picked = docs.select(*_me(docs, id_col, text_col), text).mapInArrow(lean(run), "me long, me2 long, text binary")
-    return materialize(picked.join(wanted, ["me", "me2"]).dropDuplicates(["key"]).select("key", "text"), "wanted-texts")
+    # Of a key one row is wanted, so rows that repeat are alike in me, me2, by which the join has dealt them.
+    texts = picked.join(wanted, ["me", "me2"]).dropDuplicates(["me", "me2"]).select("key", "text")
+    return materialize(texts, "wanted-texts")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -> DataFrame:
-    """The rows (a, b) of ``pairs`` whose texts have the similarity, stored."""
+    """The rows (a, b) of ``pairs`` whose texts have the similarity, stored; they outlive the texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -408,7 +463,7 @@ def verified(pairs: DataFrame, texts: DataFrame, words: int, threshold: float) -
         .select("a", "b", "one", "other")
         .mapInArrow(lean(run), "a binary, b binary")
     )
-    return materialize(found, "near-links")
+    return materialize(found, "near-links", outlives=True)
 
 
 def print_pairs(entries: DataFrame) -> DataFrame:
@@ -430,18 +485,20 @@ def print_pairs(entries: DataFrame) -> DataFrame:
 
 
 def minhash_pairs(entries: DataFrame) -> DataFrame:
-    """a, b: entries and the least member of a MinHash group, if more MinHashes agree."""
-    rows = materialize(
-        entries.select("key", "least", F.posexplode("least").alias("k", "hash")), "minhashes"
-    )
+    """a, b: entries and the least member of a MinHash group, if more MinHashes agree.
+
+    Of the others some bits tell whether they agree.
+    """
+    bits = F.transform("least", lambda x: x.bitwiseAND(F.lit(0x7FFF)).cast("short"))
+    rows = entries.select("key", bits.alias("bits"), F.posexplode("least").alias("k", "hash"))
     groups = materialize(
-        rows.groupBy("k", "hash").agg(F.min(F.struct("key", "least")).alias("hub"), F.count(F.lit(1)).alias("n"))
+        rows.groupBy("k", "hash").agg(F.min(F.struct("key", "bits")).alias("hub"), F.count(F.lit(1)).alias("n"))
         .filter("n > 1"),
         "minhash-groups",
     )
     same = F.aggregate(
-        F.arrays_zip("least", F.col("hub.least").alias("other")), F.lit(0),
-        lambda n, x: n + (x["least"] == x["other"]).cast("int"),
+        F.arrays_zip("bits", F.col("hub.bits").alias("other")), F.lit(0),
+        lambda n, x: n + (x["bits"] == x["other"]).cast("int"),
     )
     met = attach(rows, groups, ["k", "hash"], "n").filter((F.col("key") != F.col("hub.key")) & (same >= AGREE))
     return met.select(F.col("hub.key").alias("a"), F.col("key").alias("b"))
@@ -473,17 +530,22 @@ def _grouped_rows(
     # Equal sets have equal fingerprints.
     entries = materialize(
         rows.groupBy("key").agg(
-            F.min(F.struct("me", "me2")).alias("own"), F.any_value("fp").alias("fp"), F.any_value("least").alias("least"),
-            F.count(F.lit(1)).alias("n"),
-        ).select("key", "own.*", "fp", "least", "n"),
+            F.min(F.struct("me", "me2")).alias("own"), F.count(F.lit(1)).alias("n"),
+            *[F.any_value(c).alias(c) for c in ("fp", "least", "size", "long")],
+        ).select("key", "own.*", "fp", "least", "size", "long", "n"),
         "set-entries",
     )
 
     def ends(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
 
-    pairs = materialize(first_pairs(entries), "first-pairs")
-    first = verified(pairs, texts_of(docs, id_col, text_col, ends(pairs), entries), words, threshold)
+    def check(some: DataFrame) -> DataFrame:
+        with dropping(docs.sparkSession):  # texts go as soon as they are compared
+            return verified(some, texts_of(docs, id_col, text_col, ends(some), entries), words, threshold)
+
+    with dropping(docs.sparkSession):
+        pairs = materialize(hopeful(first_pairs(entries), entries, threshold), "first-pairs", outlives=True)
+    first = check(pairs)
     known = materialize(components(first), "first-components")
 
     late, texts = late_shingles(sets), _texts(docs, text_col)
@@ -492,10 +554,7 @@ def _grouped_rows(
     ranges = 1 << min(31, (size // 30 // RANGE).bit_length())
     often = hash_filter(repeated(texts, late, words, threshold, ranges), 32 + ranges.bit_length() - 1)
     prefixes = prefix_rows(texts, known, late, often, words, threshold)
-    pairs = materialize(candidates(in_blocks(prefixes, block), threshold), "pairs")
-
-    def check(some: DataFrame) -> DataFrame:
-        return verified(some, texts_of(docs, id_col, text_col, ends(some), entries), words, threshold)
+    pairs = materialize(hopeful(candidates(in_blocks(prefixes, block), threshold), entries, threshold), "pairs")
 
     # The likeliest partner of each end comes first: what that joins needs no more pairs.
     best = materialize(best_pairs(pairs), "best-pairs")

@@ -17,6 +17,7 @@ import corpus_pipeline  # noqa: E402
 from cohort.llm import near_copies as near  # noqa: E402
 from cohort.llm import shared  # noqa: E402
 from cohort.llm.exact_dedup import drop_copies  # noqa: E402
+from cohort.plans.workspace import shared_folder  # noqa: E402
 
 ASCII = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -160,6 +161,66 @@ def test_sketches_lose_no_link():
         assert apart.bit_count() <= len(np.setxor1d(own, other))
 
 
+def test_long_sketches_lose_no_link():
+    rng = np.random.default_rng(4)
+    for n in [1, 255, 256, 257, 511, 1_024, 1_025, *rng.integers(1, 5_000, 200).tolist()]:
+        own = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+        other = own[rng.random(len(own)) < rng.uniform(0.4, 1)]
+        other = np.unique(np.append(other, rng.integers(0, 1 << 63, int(rng.integers(0, 1 + n // 2)), dtype=np.uint64)))
+        one, two = near.long_sketch(own), near.long_sketch(other)
+        assert near.apart(one, two) == near.apart(two, one) <= len(np.setxor1d(own, other))
+        assert len(own) <= max(256, 8 * len(one)) and 8 * len(one) <= max(256, 2 * len(own))
+        assert near.apart(one, near.sketch(own)) == 0
+
+
+def test_long_texts_that_are_no_near_copies_do_not_travel(spark, monkeypatch):
+    """Texts too long for short sketches that share over half their shingles are told apart by long ones."""
+    rng = np.random.default_rng(6)
+    pair = [[f"w{k}" for k in rng.integers(0, 1 << 40, 1_500)] for _ in range(8)]
+    texts = [" ".join(p) for p in pair]
+    texts += [" ".join(p[:900] + [f"v{k}" for k in rng.integers(0, 1 << 40, 600)]) for p in pair]
+    texts[9] = " ".join(pair[1][:-20])  # one link
+    asked = []
+    monkeypatch.setattr(near, "verified", lambda *a, of=near.verified: asked.append(a[0].count()) or of(*a))
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_copies(spark, df.repartition(4, "doc_id"), "").collect()
+    assert sorted(r.doc_id for r in kept) == [k for k in range(16) if k != 9]
+    assert sum(asked) == 1
+
+
+def test_rows_of_a_crowded_shingle_meet_once(spark):
+    rows = [(1, f"k{k}", "one") for k in range(5)]  # one component: nothing to find
+    rows += [(2, f"k{k}", f"f{k % 3}") for k in range(9)] + [(3, "k0", "f0"), (3, "k1", "f1")]
+    df = spark.createDataFrame(rows, "token long, key string, first string")
+    for block in (2, 4, 100):
+        met = near.in_blocks(near.materialize(df, "rows"), block).collect()
+        groups = {}
+        for r in met:
+            groups.setdefault((r.token, r.pair), []).append(r)
+        pairs = Counter(
+            (token, *sorted((x.key, y.key)))
+            for (token, _), own in groups.items()
+            for i, x in enumerate(own)
+            for y in own[:i]
+            if x.alone or x.mine != y.mine
+        )
+        want = {(t, *sorted((x, y))) for t, x, _ in rows for u, y, _ in rows if t == u and x < y}
+        assert set(pairs.values()) == {1}
+        assert {p for p in pairs if block > 5 or p[0] > 1} == {p for p in want if block > 5 or p[0] > 1}
+        assert block > 4 or not any(r.token == 1 for r in met)
+
+
+def test_texts_are_deleted_once_they_are_compared(spark, monkeypatch):
+    texts = [" ".join(f"a{k}" for k in range(60)) + end for end in ("", " x", " y z")]
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    before, left = set(folder.iterdir()), []
+    monkeypatch.setattr(near, "components", lambda edges, of=near.components: left.extend(folder.iterdir()) or of(edges))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r.doc_id for r in corpus_pipeline.drop_near_copies(spark, df, "").collect()] == [0]
+    names = {p.name.removeprefix("cohort-").rpartition("-")[0] for p in set(left) - before}
+    assert "near-links" in names and not names & {"wanted", "wanted-texts", "set-fingerprints", "minhash-groups"}
+
+
 def test_a_dense_group_is_not_paired_with_itself(spark, monkeypatch):
     """Texts that share frequent passages but are no near copies make few pairs."""
     rng = np.random.default_rng(5)
