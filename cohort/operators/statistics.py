@@ -35,6 +35,7 @@ FETCH_ROWS = 100_000
 PARTS, INTERVALS_PER_PASS = 4_096, 64
 #: Buckets per unit of ln|x|, what keeps them positive, and the place of infinity.
 _PER_LOG, _SHIFT, _INFINITE = 256 / math.log(2), 300_000, 800.0
+_AT, _X, _MANY = "_cohort_at", "_cohort_x", "_cohort_numbers"
 
 
 @dataclass(frozen=True)
@@ -52,6 +53,14 @@ class Request:
     settled = False
 
     def cells(self, df: DataFrame) -> list[Cell]:
+        return []
+
+    def numbers(self, df: DataFrame) -> list[Column]:
+        """Doubles of a row that ``number_cell`` gives a key, instead of ``cells``."""
+        return []
+
+    def number_cell(self, at: Column, x: Column) -> Cell:
+        """The cell of the number ``x`` that stands at ``at`` in ``numbers``."""
         raise NotImplementedError
 
     def take(self, sums: DataFrame) -> None:
@@ -67,32 +76,53 @@ def gather(df: DataFrame, requests: Sequence[Request]) -> None:
 
 def gather_round(df: DataFrame, requests: Sequence[Request]) -> None:
     """One scan of ``df`` for all requests."""
-    made = [r.cells(df) for r in requests]
-    probe = df.select(*[cells[0].key.alias(f"g{i}") for i, cells in enumerate(made)])
-    # As text, types have no word of nulls, which cells of one request may differ in.
-    types = {f.name: f.dataType.simpleString() for f in probe.schema.fields}
-    entries = []
-    for i, cells in enumerate(made):
+    made = {i: cells for i, r in enumerate(requests) if (cells := r.cells(df))}
+    numbers = {i: found for i, r in enumerate(requests) if (found := r.numbers(df))}
+    late = {i: requests[i].number_cell(F.col(_AT), F.col(_X)) for i in numbers}
+    probes = {i: df.select(cells[0].key.alias("key")) for i, cells in made.items()}
+    pairs = df.select(F.lit(0).alias(_AT), F.lit(0.0).alias(_X))
+    probes.update({i: pairs.select(cell.key.alias("key")) for i, cell in late.items()})
+    # Keys field by field: Spark's fast hash map takes no structs.  Types as text have
+    # no word of nulls, which cells of one request may differ in.
+    fields = {
+        i: [(f.name, f"g{i}_{k}", f.dataType.simpleString()) for k, f in enumerate(probe.schema["key"].dataType.fields)]
+        for i, probe in probes.items()
+    }
+    keys = [column for own in fields.values() for _, column, _ in own]
+    none = F.lit(None)
+
+    def entry(i: int, key: Column | None, x: Column | None, many: Column = none) -> Column:
+        parts = [
+            (none if key is None or j != i else key[name]).cast(kind).alias(column)
+            for j, own in fields.items()
+            for name, column, kind in own
+        ]
+        x = (none if x is None else x).cast("double").alias("x")
+        return F.struct(F.lit(i).alias("request"), *parts, x, many.cast("array<double>").alias(_MANY))
+
+    entries = [entry(i, None, None, F.array(*xs)) for i, xs in numbers.items()]
+    for i, cells in made.items():
         for cell in cells:
-            keys = [
-                (cell.key if name == f"g{i}" else F.lit(None)).cast(kind).alias(name)
-                for name, kind in types.items()
-            ]
-            x = F.lit(None) if cell.x is None else cell.x
-            entry = F.struct(F.lit(i).alias("request"), *keys, x.cast("double").alias("x"))
-            entries.append(entry if cell.where is None else F.when(cell.where, entry))
-    sums = (
-        df.select(F.inline(F.array(*entries))).where("request is not null")
-        .groupBy("request", *types)
-        .agg(
-            F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"),
-            F.sum("x").alias("total"), F.var_pop("x").alias("var"),
-        )
+            one = entry(i, cell.key, cell.x)
+            entries.append(one if cell.where is None else F.when(cell.where, one))
+    rows = df.select(F.inline(F.array(*entries))).where("request is not null")
+    if late:
+        rows = rows.select("request", *keys, "x", F.posexplode_outer(_MANY).alias(_AT, _X))
+        keyed = {}
+        for i, cell in late.items():
+            own = F.col("request") == i
+            if cell.where is not None:
+                rows = rows.where(~own | cell.where)
+            keyed.update({c: F.when(own, cell.key[name]).cast(kind) for name, c, kind in fields[i]})
+        rows = rows.select("request", *[keyed.get(c, F.col(c)).alias(c) for c in keys], F.coalesce(_X, "x").alias("x"))
+    sums = rows.groupBy("request", *keys).agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("low"), F.max("x").alias("high"),
+        F.sum("x").alias("total"), F.var_pop("x").alias("var"),
     )
     stored = materialize(sums, "statistics")
     for i, r in enumerate(requests):
-        own = stored.where(F.col("request") == i)
-        r.take(own.select(f"g{i}.*", "n", "low", "high", "total", "var"))
+        own = [F.col(column).alias(name) for name, column, _ in fields.get(i, [])]
+        r.take(stored.where(F.col("request") == i).select(*own, "n", "low", "high", "total", "var"))
 
 
 @dataclass
@@ -211,19 +241,25 @@ class NumberStats(Request):
         self._ranks: dict[tuple[int, int], _Rank] = {}
         self.settled = not self.columns
 
-    def cells(self, df: DataFrame) -> list[Cell]:
-        out = []
-        intervals = {r.interval for r in self._open()}
-        for place, name in enumerate(self.columns):
-            x = to_number(quoted(name), df.schema[name].dataType)
-            if not self.summaries:
-                out.append(Cell(F.struct(F.lit(place).alias("place"), bucket(x).alias("at")), x))
-                continue
-            own = [F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for p, a, b in sorted(intervals) if p == place]
-            if own:
-                inside = F.exists(F.array(*own), lambda i: (x >= i["a"]) & (x <= i["b"]))  # noqa: B023
-                out.append(Cell(F.struct(F.lit(place).alias("place"), x.alias("at")), where=inside))
-        return out
+    def _asked(self) -> list[int]:
+        """Places of the columns that this round reads."""
+        if not self.summaries:
+            return list(range(len(self.columns)))
+        return sorted({r.place for r in self._open()})
+
+    def numbers(self, df: DataFrame) -> list[Column]:
+        names = [self.columns[place] for place in self._asked()]
+        return [to_number(quoted(name), df.schema[name].dataType).cast("double") for name in names]
+
+    def number_cell(self, at: Column, x: Column) -> Cell:
+        asked = self._asked()
+        place = F.get(F.array(*[F.lit(p) for p in asked]), at)
+        if not self.summaries:
+            return Cell(F.struct(place.alias("place"), bucket(x).alias("at")), x)
+        inside = F.lit(False)
+        for p, low, high in sorted({r.interval for r in self._open()}):
+            inside = inside | ((at == asked.index(p)) & (x >= low) & (x <= high))
+        return Cell(F.struct(place.alias("place"), x.alias("at")), where=F.coalesce(inside, F.lit(False)))
 
     def _open(self) -> list[_Rank]:
         return [r for r in self._ranks.values() if not r.found]
