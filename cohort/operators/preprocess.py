@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml.feature import OneHotEncoder, VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,6 +38,9 @@ log = logging.getLogger(__name__)
 # Fixed value: the category given to a column without any value.
 MISSING_LABEL = "missing"
 
+#: Vectors of up to so many places are dense, and their categories are listed in the plan.
+DENSE_WIDTH = 256
+
 
 def infer_columns(df: DataFrame) -> tuple[list[str], list[str]]:
     """Numeric columns, and text or boolean columns; other types are ignored."""
@@ -219,12 +223,15 @@ class PreprocessorModel:
     def transform_vector(
         self, df: DataFrame, *, keep: Sequence[str] = (), output: str = "features"
     ) -> DataFrame:
-        """The same features as one sparse vector column.
+        """The same features as one vector column, sparse if it is wider than ``DENSE_WIDTH``.
 
-        Each categorical column is joined to its categories by itself, so rows keep
+        Then each categorical column is joined to its categories by itself, so rows keep
         their identity without a key.  The vector knows its length and no names.
         """
         self._check(df)
+        if len(self.numeric) + self.size <= DENSE_WIDTH and all(s.bytes <= self.broadcast_bytes for s in self.sizes):
+            dense = self._dense(df).alias(output, metadata={"ml_attr": {"num_attrs": len(self.numeric) + self.size}})
+            return df.select(*[quoted(c) for c in keep], dense)
         numbers = [f"_n{i}" for i in range(len(self.numeric))]
         texts = [f"_t{i}" for i in range(len(self.categorical))]
         own = [*numbers, *texts]
@@ -251,6 +258,27 @@ class PreprocessorModel:
         whole = F.col(output).alias(output, metadata={"ml_attr": {"num_attrs": first}})
         return out.select(*[F.col("_kept")[c].alias(c) for c in keep], whole)
 
+    def _dense(self, df: DataFrame) -> Column:
+        """The vector of a row as one expression: numbers, then a one or zero per category.
+
+        Spark generates no code for ``transform``, so it splits that of the numbers into
+        methods short enough to be compiled.
+        """
+        numbers = F.array(*[self.scaled(df, s) for s in self.numeric]).cast("array<double>")
+        listed = self.listed()
+        if not listed:
+            return array_to_vector(numbers)
+        # Where the ones and zeros of a column begin in its pattern, which has a one in the
+        # middle; those of a category that the model does not know have none.
+        starts = F.array(*[
+            F.lit(len(known) + 1) - F.array_position(F.lit(known), self.filled(df, step)).cast("int")
+            for step, known in zip(self.categorical, listed)
+        ])
+        patterns = F.array(*[F.lit([0.0] * (len(known) - 1) + [1.0] + [0.0] * len(known)) for known in listed])
+        lengths = F.lit([len(known) for known in listed])
+        ones = F.transform(starts, lambda at, k: F.slice(F.get(patterns, k), at, F.get(lengths, k)))
+        return array_to_vector(F.concat(numbers, F.flatten(ones)))
+
     def transform_long(self, df: DataFrame, *, key: str) -> DataFrame:
         """(key, feature, value) for every non-zero entry of the matrix."""
         self._check(df)
