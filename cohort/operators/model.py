@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from cohort.functions.values import quoted
 from cohort.operators.clean import number_rows
 from cohort.operators.features import drop_target_columns
+from cohort.operators.forest import can_grow, can_score, grow, score_rows
 from cohort.operators.metrics import (
     as01,
     forbid_strange,
@@ -108,11 +109,14 @@ def build_model(
     random_state: int = 42,
     max_samples: int | None = None,
     checked: bool = False,
+    key: str | None = None,
 ) -> RandomForestClassificationModel:
     """Fit a forest on a table with a feature vector and a 0/1 label.
 
     ``max_samples`` is the expected number of rows each tree draws.  Labels that
-    are ``checked`` are not looked at again.
+    are ``checked`` are not looked at again.  With a ``key`` the forest does not depend
+    on how the table is stored.  MLlib itself fits what is too deep or too wide for
+    ``cohort.operators.forest``.
     """
     if class_weight not in (None, "balanced"):
         raise ValueError(f"unknown class_weight: {class_weight}")
@@ -127,14 +131,21 @@ def build_model(
     )
     data = as01(train, label) if checked else to01(train, label)
     if class_weight == "balanced":
-        weights = class_weights(data, label).collect()
+        found = class_weights(data, label).collect()
         weight = F.lit(None).cast("double")
-        for r in weights:
+        for r in found:
             weight = F.when(quoted(label) == r["label"], F.lit(r["weight"])).otherwise(weight)
         data = data.withColumn(_WEIGHT, weight)
         forest = forest.setWeightCol(_WEIGHT)
+        weights = {r["label"]: r["weight"] for r in found}
+    else:
+        found = data.groupBy(quoted(label).alias("label")).agg(F.count(F.lit(1)).alias("n")).collect()
+        weights = {r["label"]: 1.0 for r in found}
+    rows = {r["label"]: r["n"] for r in found}
     if max_samples is not None:
-        forest = forest.setSubsamplingRate(min(1.0, max_samples / train.count()))
+        forest = forest.setSubsamplingRate(min(1.0, max_samples / sum(rows.values())))
+    if can_grow(forest, data, features, rows):
+        return grow(forest, data, label=label, features=features, rows=rows, weights=weights, key=key)
     return forest.fit(data)
 
 
@@ -266,7 +277,8 @@ def train_model(
     stored = materialize(vectors, "vectors")
     train = stored.where(~F.col(_TEST)).drop(_TEST)
     test = stored.where(_TEST).drop(_TEST)
-    model = bind_features(build_model(train, random_state=random_state, checked=True, **forest_options), names)
+    forest = build_model(train, random_state=random_state, checked=True, key=key, **forest_options)
+    model = bind_features(forest, names)
     metrics = metrics_of(_scored_once(model, test))
     return Training(model, train, test, metrics, preprocessor, names)
 
@@ -276,6 +288,8 @@ def train_model(
 
 def score(model: Any, vectors: DataFrame, *, keep: Sequence[str] = ()) -> DataFrame:
     """Kept columns, ``pred``, and ``score`` (probability, else margin)."""
+    if can_score(model) and (scored := score_rows(model, vectors, keep)) is not None:
+        return scored
     out = model.transform(vectors)
     index = positive_class_index(model)
     source = "probability" if "probability" in out.columns else "rawPrediction"
