@@ -26,7 +26,7 @@ from cohort.operators.metrics import (
 )
 from cohort.operators.preprocess import PreprocessorModel, fit_preprocessor, infer_columns
 from cohort.operators.split import plan_split
-from cohort.plans.workspace import materialize, spread
+from cohort.plans.workspace import materialize, spread, uneven
 from cohort.sources.tables import path_exists
 
 # Names under which a table may already carry a row key.
@@ -273,7 +273,9 @@ def train_model(
 
     vectors = feature_vector(marked, preprocessor, keep=[key, target, _TEST], features=names)
     # The forest reads its input several times; it is computed once, and every core trains.
-    vectors = spread(vectors.withColumnRenamed(target, "label"), split.rows)
+    vectors = vectors.withColumnRenamed(target, "label")
+    if uneven(df.select(quoted(key)), split.rows):
+        vectors = spread(vectors, split.rows)
     stored = materialize(vectors, "vectors")
     train = stored.where(~F.col(_TEST)).drop(_TEST)
     test = stored.where(_TEST).drop(_TEST)

@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from cohort.plans.workspace import dropping, materialize, spread
+from cohort.plans.workspace import dropping, materialize, spread, uneven
 
 
 def stored(df):
@@ -38,3 +38,10 @@ def test_spread(spark):
     sizes = spread(rows, 1_000).rdd.glom().map(len).collect()
     assert len(sizes) == cores and sum(sizes) == 1_000 and max(sizes) < 2 * 1_000 / cores
     assert spread(rows, 1_000, each=10).rdd.getNumPartitions() == 100
+
+
+def test_uneven(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert uneven(spark.range(1_000, numPartitions=1), 1_000) == (cores > 2)
+    assert not uneven(spark.range(1_000, numPartitions=cores), 1_000)
+    assert not uneven(spark.range(0), 0)
